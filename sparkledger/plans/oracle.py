@@ -222,7 +222,7 @@ def oracle_sql() -> dict[str, str]:
   {digits} AS amount_digits,
   trim(amount) LIKE '(%)' AS is_bracketed,
   {amount_try} AS amount_try,
-  TRY_CAST({amount_try} AS BIGINT) AS amount_whole,
+  TRY_CAST(trunc({amount_try}) AS BIGINT) AS amount_whole,
   sha256({key_text}) AS key_sha256,
   md5({key_text}) AS key_md5,
   {date_sql('payment_date')} AS payment_day,
@@ -288,8 +288,8 @@ FROM assured ORDER BY payment_month, transaction_id, source_department LIMIT 50"
     q["row_policy"] = _with(ASSURED_CTES, """SELECT source_department, count(*) AS rows_visible,
   CAST(sum(amount_gbp) AS DECIMAL(38,2)) AS total_spend
 FROM assured WHERE source_department = 'asia' GROUP BY source_department ORDER BY source_department""")
-    q["upsert_latest"] = _with(UPSERT_CTES + ",\nboth AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming)",
-                               f"SELECT {UPSERT_OUTPUT_SQL} FROM ({latest_sql('both')})")
+    q["upsert_latest"] = _with(UPSERT_CTES + ",\nboth_batches AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming)",
+                               f"SELECT {UPSERT_OUTPUT_SQL} FROM ({latest_sql("both_batches")})")
     pick = ("(s.transaction_id IS NOT NULL AND (t.transaction_id IS NULL "
             "OR t.record_hash IS NULL OR t.record_hash <> s.record_hash))")
     cols = ", ".join(f"CASE WHEN {pick} THEN s.{c} ELSE t.{c} END AS {c}"
