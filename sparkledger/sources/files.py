@@ -35,16 +35,13 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(base_name(path), r"\.[^.]*$", "")
 
 
-def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
-                    hash_content: bool = True) -> DataFrame:
-    """One row per file: path, file_name, source_key, length, modified, file_hash, header.
+def describe_files(binary: DataFrame, hash_content: bool = True) -> DataFrame:
+    """``binaryFile`` rows -> path, file_name, source_key, length, modified, file_hash, header.
 
     ``hash_content`` fingerprints the bytes (MD5; a renamed copy is recognised). With
     ``False`` the identity is (path, length, modification time), which avoids loading
-    very large files whole; the header is then read from the first bytes only either way.
+    very large files whole. The header comes from the first bytes only either way.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .load(raw_dir))
     head = F.decode(F.substring(F.col("content"), 1, HEADER_PROBE_BYTES), "UTF-8")
     header = F.regexp_replace(F.substring_index(head, "\n", 1), "\r$", "")
     if hash_content:
@@ -52,7 +49,7 @@ def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
     else:
         fingerprint = F.sha2(F.concat_ws("|", F.col("path"), F.col("length").cast("string"),
                                          F.col("modificationTime").cast("string")), 256)
-    return files.select(
+    return binary.select(
         F.col("path"),
         base_name(F.col("path")).alias("file_name"),
         source_key(F.col("path")).alias("source_key"),
@@ -63,6 +60,13 @@ def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
     )
 
 
+def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
+                    hash_content: bool = True) -> DataFrame:
+    """One row per feed file under ``raw_dir`` (see :func:`describe_files`)."""
+    binary = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(raw_dir)
+    return describe_files(binary, hash_content)
+
+
 def distinct_contents(files: DataFrame) -> DataFrame:
     """Byte-identical files within one listing are processed once (first path wins)."""
     return keep_one(files, ["file_hash"], ["path"])

@@ -1,0 +1,36 @@
+from datetime import datetime
+
+from sparkledger.operators.keys import keep_latest, keep_one
+
+SCHEMA = ("transaction_id string, source_department string, record_hash string, "
+          "amount_gbp int, supplier_name string, ingested_at timestamp")
+
+
+def test_latest_ingested_wins_then_hash_then_payload(spark):
+    t9, t10 = datetime(2026, 6, 1, 9), datetime(2026, 6, 1, 10)
+    rows = [("T1", "mod", "a", 1, "x", t9), ("T1", "mod", "b", 2, "x", t10),
+            ("T2", "mod", "a", 5, "x", t9), ("T2", "mod", "b", 6, "x", t9),
+            ("T3", "mod", "h", 7, "a", t9), ("T3", "mod", "h", 8, "b", t9),
+            ("T1", "dhsc", "z", 9, "x", t9)]
+    out = {(r.transaction_id, r.source_department): r.amount_gbp
+           for r in keep_latest(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out == {("T1", "mod"): 2, ("T2", "mod"): 6, ("T3", "mod"): 8, ("T1", "dhsc"): 9}
+
+
+def test_missing_id_falls_back_to_record_hash(spark):
+    t = datetime(2026, 6, 1)
+    rows = [(None, "mod", "h1", 1, "x", t), (None, "mod", "h2", 2, "x", t), (None, "mod", "h1", 3, "x", t)]
+    out = keep_latest(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r.record_hash for r in out.collect()) == ["h1", "h2"]
+
+
+def test_keep_latest_plans_a_partial_top1_before_the_shuffle(spark):
+    t = datetime(2026, 6, 1)
+    df = spark.createDataFrame([("T1", "mod", "h", 1, "x", t)] * 4, SCHEMA)
+    plan = keep_latest(df)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_keep_one_is_reproducible(spark):
+    df = spark.createDataFrame([("T1", "b"), ("T1", "a"), ("T2", "c")], "transaction_id string, v string")
+    assert sorted(tuple(r) for r in keep_one(df, ["transaction_id"]).collect()) == [("T1", "a"), ("T2", "c")]
