@@ -23,19 +23,38 @@ def parse_amount(c: str | Column) -> Column:
     Keeps digits, ``.`` and ``-``; a number wrapped in parentheses anywhere in the text
     is a credit (negative absolute value). A comma after a dot is a European-style
     number this parser does not accept, so it is NULL rather than silently rescaled.
+    Cheap ``contains`` tests guard the regular expressions.
     """
     text = F.trim(_col(c))
     value = F.regexp_replace(text, r"[^0-9.\-]", "").try_cast(MONEY_TYPE)
-    return (F.when(text.rlike(r"\..*,"), F.lit(None).cast(MONEY_TYPE))
-            .when(text.rlike(r"\(.*\)"), -F.abs(value))
+    european = text.contains(",") & text.rlike(r"\..*,")
+    credit = text.contains("(") & text.rlike(r"\(.*\)")
+    return (F.when(european, F.lit(None).cast(MONEY_TYPE))
+            .when(credit, -F.abs(value))
             .otherwise(value))
 
 
+# Text shapes each known format could possibly parse (deliberate supersets). A text
+# without the shape cannot parse under that format, so the (exception-driven, slow)
+# parse attempt is skipped; the first format that parses still wins.
+DATE_SHAPES = {
+    "dd/MM/yyyy": r"^[0-9]{2}/[0-9]{2}/[+-]?[0-9]{4,}$",
+    "yyyy-MM-dd": r"^[+-]?[0-9]{4,}-[0-9]{2}-[0-9]{2}$",
+    "dd-MMM-yyyy": r"^[0-9]{2}-[^-]+-[+-]?[0-9]{4,}$",
+    "d/M/yyyy": r"^[0-9]+/[0-9]+/[+-]?[0-9]{4,}$",
+}
+
+
 def parse_date(c: str | Column, formats: list[str] | None = None) -> Column:
     """First format (in order) that parses wins; impossible dates such as 31/02 give NULL."""
     text = F.trim(_col(c))
     formats = DATE_FORMATS if formats is None else formats
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]))
+    attempts = []
+    for f in formats:
+        parsed = F.try_to_timestamp(text, F.lit(f))
+        shape = DATE_SHAPES.get(f)
+        attempts.append(F.when(text.rlike(shape), parsed) if shape else parsed)
+    return F.to_date(F.coalesce(*attempts))
 
 
 def month_bucket(c: str | Column) -> Column:

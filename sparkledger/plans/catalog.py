@@ -166,9 +166,7 @@ def q_broadcast_lookup(spark, sf_dir):
 # ---- keep latest, silver --------------------------------------------------------------------
 
 def q_dedup_latest(spark, sf_dir):
-    tagged = S.ledger_tagged(spark, sf_dir)
-    valid = tagged.filter(F.col("rejection_reason").isNull())
-    return keep_latest(valid).select(
+    return S.latest_valid(S.ledger_tagged(spark, sf_dir)).select(
         "transaction_id", "source_department", "payment_date", "amount_gbp", "supplier_name",
         "record_hash", "ingested_at")
 

@@ -14,7 +14,7 @@ from sparkledger.config import (LEDGER_DEPARTMENT_GROUPS, LEDGER_FEEDS, SILVER_C
 from sparkledger.operators.cleanse import add_record_hash, type_columns
 from sparkledger.operators.enrich import (attach_assurance, department_groups,
                                           prepare_approvals, prepare_suppliers)
-from sparkledger.operators.keys import keep_latest
+from sparkledger.operators.keys import keep_latest, latest_order
 from sparkledger.operators.marts import gold_metrics
 from sparkledger.operators.policy import open_layer
 from sparkledger.operators.quality import tag_rejections
@@ -36,10 +36,23 @@ def silver_contract(valid: DataFrame) -> DataFrame:
     return valid.select(*SILVER_COLUMNS)
 
 
+def latest_valid(tagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The latest valid row per natural key.
+
+    Valid rows sort first inside each key, so rank 1 is the latest valid row, and a key
+    whose rank-1 row is invalid has no valid row at all. Keeping ``rank = 1 AND valid``
+    above the window gives exactly "filter valid, then keep latest", but the validity
+    test cannot be pushed below the window into the scan/join, where the optimizer
+    would inline (and so evaluate twice) every parser the rules depend on.
+    """
+    valid = F.col("rejection_reason").isNull()
+    order = [valid.desc()] + latest_order(columns=tagged.columns)
+    return keep_latest(tagged, keys, order).filter(valid).drop("rejection_reason")
+
+
 def build_silver(tagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Valid rows, latest per natural key, projected to the silver contract."""
-    valid = tagged.filter(F.col("rejection_reason").isNull()).drop("rejection_reason")
-    return silver_contract(keep_latest(valid, keys))
+    return silver_contract(latest_valid(tagged, keys))
 
 
 # ---- the same layers over the spend ledger derived from the driver tables -----------
