@@ -42,7 +42,9 @@ def describe_files(binary: DataFrame, hash_content: bool = True) -> DataFrame:
     ``False`` the identity is (path, length, modification time), which avoids loading
     very large files whole. The header comes from the first bytes only either way.
     """
-    head = F.decode(F.substring(F.col("content"), 1, HEADER_PROBE_BYTES), "UTF-8")
+    # The byte prefix may end inside a multi-byte character; a cast (unlike decode)
+    # does not validate, and only the text before the first newline is kept.
+    head = F.substring(F.col("content"), 1, HEADER_PROBE_BYTES).cast("string")
     header = F.regexp_replace(F.substring_index(head, "\n", 1), "\r$", "")
     if hash_content:
         fingerprint = F.md5(F.col("content"))

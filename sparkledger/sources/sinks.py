@@ -8,15 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkledger.session import scratch_path
 
 
+def balanced(df: DataFrame, partition_cols: list[str] | None) -> DataFrame:
+    """Group rows by output partition before a partitioned write.
+
+    A ``rebalance`` hint (not a plain repartition): AQE packs small output partitions
+    into few tasks and splits a hot one across several, so a partition holding a third
+    of the rows is written in parallel and small partitions do not get one file from
+    every upstream task.
+    """
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def write_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite, set per write)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(df, partition_cols).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
     """Full (static) overwrite, for layers fully derived from another table."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = balanced(df, partition_cols).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
@@ -30,7 +43,7 @@ def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None) ->
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("overwrite")
+    writer = balanced(df, partition_cols).write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
