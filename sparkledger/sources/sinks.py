@@ -19,9 +19,15 @@ def balanced(df: DataFrame, partition_cols: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def write_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite, set per write)."""
-    (balanced(df, partition_cols).write.mode("overwrite")
+def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
+                     rebalance: bool = True) -> None:
+    """Replace only the partitions present in ``df`` (dynamic overwrite, set per write).
+
+    ``rebalance=False`` when rows already arrive clustered by partition (e.g. one
+    partition per source file, read one file per task).
+    """
+    out = balanced(df, partition_cols) if rebalance else df
+    (out.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
 
