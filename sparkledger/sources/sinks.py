@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,14 +43,16 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
     writer.parquet(path)
 
 
-def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None,
+          scratch: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder (or under ``scratch``) and read it back.
 
     Freezes non-deterministic columns, cuts lineage (a lost executor recomputes from
     the staged files, not from the sources), and lets a job replace the table it read.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = (f"{scratch.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}" if scratch
+            else scratch_path(spark, name))
     writer = balanced(df, partition_cols).write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -76,3 +80,12 @@ def ensure_table(spark: SparkSession, name: str, like: DataFrame,
         writer = writer.partitionBy(*partition_cols)
     writer.saveAsTable(name)
     return True
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively remove a folder through Hadoop's FileSystem (any storage scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
