@@ -89,13 +89,16 @@ class FileGroup:
 
 
 def plan_groups(files: DataFrame) -> list[FileGroup]:
-    """Collect the (source, header) -> paths plan. Only file metadata reaches the driver
-    (as with any file listing); row data never does."""
-    rows = (files.groupBy("source_key", "header")
-            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy("source_key", "header")
-            .collect())
-    return [FileGroup(r["source_key"], r["header"], tuple(r["paths"])) for r in rows]
+    """The (source, header) -> paths read plan.
+
+    File paths reach the driver as plain rows (as in any file listing); they are not
+    aggregated into one array per layout inside a single task. Row data never moves.
+    """
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in files.select("source_key", "header", "path").collect():
+        groups.setdefault((r["source_key"], r["header"]), []).append(r["path"])
+    return [FileGroup(source, header, tuple(sorted(paths)))
+            for (source, header), paths in sorted(groups.items())]
 
 
 def read_csv_strings(spark: SparkSession, paths: list[str] | str, multiline: bool = False
