@@ -8,8 +8,6 @@ is the feature). Matching SQL for every query lives in :mod:`sparkledger.plans.o
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +27,9 @@ from sparkledger.sources.files import source_key
 from sparkledger.sources.ledger import (approvals_ledger, feed_frame, spend_ledger,
                                         supplier_reference)
 
-# Split point between the "existing" and the "incoming" batch in the upsert queries.
-UPSERT_CUTOFF = datetime(1999, 1, 1)
+# Split point between the "existing" and the "incoming" batch in the upsert queries
+# (a timestamp_ntz, like the ship dates it is compared with: no session time zone).
+UPSERT_CUTOFF = "1999-01-01 00:00:00"
 # The department the row-policy principal may read.
 ROW_POLICY_DEPARTMENT = "asia"
 # Rows in the analyst's top-k proof report.
@@ -231,8 +230,9 @@ def q_row_policy(spark, sf_dir):
 
 def _split_batches(spark, sf_dir):
     tagged = S.ledger_tagged(spark, sf_dir)
-    existing = S.build_silver(tagged.filter(F.col("ingested_at") < F.lit(UPSERT_CUTOFF)))
-    incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= F.lit(UPSERT_CUTOFF)))
+    cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    existing = S.build_silver(tagged.filter(F.col("ingested_at") < cutoff))
+    incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= cutoff))
     return existing, incoming
 
 
