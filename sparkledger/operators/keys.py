@@ -39,8 +39,9 @@ def keep_latest(df: DataFrame, keys: list[str] | None = None,
     ``transaction_id`` a missing id falls back to ``record_hash``.
     """
     keys = ["transaction_id", "source_department"] if keys is None else keys
-    key_cols = [F.coalesce(F.col(k), F.col("record_hash")) if k == "transaction_id" else F.col(k)
-                for k in keys]
+    fallback = "record_hash" in df.columns
+    key_cols = [F.coalesce(F.col(k), F.col("record_hash")) if k == "transaction_id" and fallback
+                else F.col(k) for k in keys]
     order = latest_order(columns=df.columns) if order is None else order
     return keep_first(df, key_cols, order)
 

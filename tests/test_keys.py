@@ -34,3 +34,11 @@ def test_keep_latest_plans_a_partial_top1_before_the_shuffle(spark):
 def test_keep_one_is_reproducible(spark):
     df = spark.createDataFrame([("T1", "b"), ("T1", "a"), ("T2", "c")], "transaction_id string, v string")
     assert sorted(tuple(r) for r in keep_one(df, ["transaction_id"]).collect()) == [("T1", "a"), ("T2", "c")]
+
+
+def test_keep_latest_without_record_hash_column(spark):
+    t = datetime(2026, 6, 1)
+    df = spark.createDataFrame([("T1", "mod", 1, t), ("T1", "mod", 2, datetime(2026, 6, 2))],
+                               "transaction_id string, source_department string, amount_gbp int, "
+                               "ingested_at timestamp")
+    assert [r.amount_gbp for r in keep_latest(df).collect()] == [2]
