@@ -9,14 +9,24 @@ from sparkledger.config import REJECTED_COLUMNS
 from sparkledger.functions.casts import is_blank
 
 
-def default_rules() -> list[tuple[str, Column]]:
-    """(reason, failed-predicate) in reporting order. Credits are valid, not rejected."""
-    return [
+CORRUPT_RECORD = "_corrupt_record"
+
+
+def default_rules(columns: list[str] | None = None) -> list[tuple[str, Column]]:
+    """(reason, failed-predicate) in reporting order. Credits are valid, not rejected.
+
+    When rows carry the CSV reader's ``_corrupt_record`` (wrong field count), a
+    ``malformed_row`` rule is added after the four field rules.
+    """
+    rules = [
         ("missing_transaction_id", is_blank("transaction_id")),
         ("missing_supplier", is_blank("supplier_name")),
         ("invalid_payment_date", F.col("payment_date").isNull()),
         ("invalid_amount", F.col("amount_gbp").isNull()),
     ]
+    if columns is not None and CORRUPT_RECORD in columns:
+        rules.append(("malformed_row", F.col(CORRUPT_RECORD).isNotNull()))
+    return rules
 
 
 def rejection_reason(rules: list[tuple[str, Column]] | None = None) -> Column:
@@ -27,6 +37,7 @@ def rejection_reason(rules: list[tuple[str, Column]] | None = None) -> Column:
 
 
 def tag_rejections(df: DataFrame, rules: list[tuple[str, Column]] | None = None) -> DataFrame:
+    rules = default_rules(df.columns) if rules is None else rules
     return df.withColumn("rejection_reason", rejection_reason(rules))
 
 
@@ -40,6 +51,8 @@ def rejected_rows(tagged: DataFrame) -> DataFrame:
                .withColumnRenamed("amount_raw", "raw_amount")
                .withColumnRenamed("payment_date_raw", "raw_date"))
     extra = [c for c in ("source_name",) if c in tagged.columns]
+    if CORRUPT_RECORD in tagged.columns:
+        extra.append(F.col(CORRUPT_RECORD).alias("raw_record"))
     return renamed.select(*REJECTED_COLUMNS, *extra)
 
 

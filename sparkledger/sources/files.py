@@ -8,6 +8,7 @@ header to a file with a different layout).
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,15 +102,41 @@ def plan_groups(files: DataFrame) -> list[FileGroup]:
             for (source, header), paths in sorted(groups.items())]
 
 
-def read_csv_strings(spark: SparkSession, paths: list[str] | str, multiline: bool = False
-                     ) -> DataFrame:
+CORRUPT_RECORD = "_corrupt_record"
+
+
+def header_columns(header: str) -> list[str]:
+    """Column names from a CSV header line (quoted names allowed). Empty names become
+    ``_c<i>`` and repeated names get their position appended, so every name is unique."""
+    names = next(csv.reader([header])) if header else []
+    seen = {n for n in names}
+    out = []
+    for i, name in enumerate(names):
+        if not name:
+            name = f"_c{i}"
+        elif names.count(name) > 1 or name == CORRUPT_RECORD:
+            name = f"{name}{i}"
+            while name in seen:
+                name = f"{name}_"
+        out.append(name)
+    return out
+
+
+def read_csv_strings(spark: SparkSession, paths: list[str] | str, multiline: bool = False,
+                     columns: list[str] | None = None) -> DataFrame:
     """Header CSV, UTF-8, every column a string; file lineage from ``_metadata``.
 
-    Malformed rows are kept (PERMISSIVE) so quality rules, not the reader, decide.
+    Malformed rows are kept (PERMISSIVE) so quality rules, not the reader, decide. With
+    ``columns`` (the layout's header) the schema is explicit and a row with too many or
+    too few fields keeps its raw text in ``_corrupt_record`` instead of being silently
+    truncated or padded.
     """
     reader = (spark.read.option("header", True).option("encoding", "UTF-8")
               .option("inferSchema", False).option("mode", "PERMISSIVE")
               .option("multiLine", multiline))
+    if columns is not None:
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT_RECORD])
+        reader = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD)
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
@@ -122,7 +149,7 @@ def read_feeds(spark: SparkSession, groups: list[FileGroup], mappings: dict[str,
     """
     frames = []
     for g in groups:
-        raw = read_csv_strings(spark, list(g.paths))
+        raw = read_csv_strings(spark, list(g.paths), columns=header_columns(g.header))
         conformed = conform(raw, mappings[g.source], source_department=g.source,
                             schema_version=schema_version)
         frames.append(conformed.withColumn("source_name", stem(F.col("source_file"))))

@@ -52,3 +52,9 @@ def test_manifest_records_and_detects_processed_files(spark, tmp_path):
     append_manifest(row, path)
     left = [r.file_name for r in unprocessed(files, load_manifest(spark, path)).collect()]
     assert "mod_spend_2026_04.csv" not in left and len(left) == len(FIRST_RUN) - 1
+
+
+def test_header_columns_parse_quotes_blanks_and_repeats():
+    from sparkledger.sources.files import header_columns
+    assert header_columns('Ref,"Gross (£), net",Vendor') == ["Ref", "Gross (£), net", "Vendor"]
+    assert header_columns("a,,a") == ["a0", "_c1", "a2"]
