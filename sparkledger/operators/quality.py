@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkledger.config import REJECTED_COLUMNS
+from sparkledger.config import REJECTED_COLUMNS, REJECTION_RULE_NAMES
 from sparkledger.functions.casts import is_blank
 
 
@@ -18,12 +18,13 @@ def default_rules(columns: list[str] | None = None) -> list[tuple[str, Column]]:
     When rows carry the CSV reader's ``_corrupt_record`` (wrong field count), a
     ``malformed_row`` rule is added after the four field rules.
     """
-    rules = [
-        ("missing_transaction_id", is_blank("transaction_id")),
-        ("missing_supplier", is_blank("supplier_name")),
-        ("invalid_payment_date", F.col("payment_date").isNull()),
-        ("invalid_amount", F.col("amount_gbp").isNull()),
+    failed = [
+        is_blank("transaction_id"),
+        is_blank("supplier_name"),
+        F.col("payment_date").isNull(),
+        F.col("amount_gbp").isNull(),
     ]
+    rules = list(zip(REJECTION_RULE_NAMES, failed))
     if columns is not None and CORRUPT_RECORD in columns:
         rules.append(("malformed_row", F.col(CORRUPT_RECORD).isNotNull()))
     return rules
