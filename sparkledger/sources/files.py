@@ -63,11 +63,63 @@ def describe_files(binary: DataFrame, hash_content: bool = True) -> DataFrame:
     )
 
 
+# Files up to this size are fingerprinted by content; larger ones by metadata.
+DEFAULT_MAX_HASH_BYTES = 256 * 1024 * 1024
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header): each file's first line from a distributed text read.
+
+    Only the split that starts at offset 0 of each file is kept, so all candidate rows
+    of a file come from one task, in file order; the earliest is its first line.
+    """
+    text = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_start"))
+    return (text.filter(F.col("_start") == 0)
+            .withColumn("_pos", F.monotonically_increasing_id())
+            .groupBy("path").agg(F.min_by("value", "_pos").alias("header")))
+
+
 def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
-                    hash_content: bool = True) -> DataFrame:
-    """One row per feed file under ``raw_dir`` (see :func:`describe_files`)."""
+                    hash_content: bool = True,
+                    max_hash_bytes: int = DEFAULT_MAX_HASH_BYTES) -> DataFrame:
+    """One row per feed file under ``raw_dir`` (see :func:`describe_files`).
+
+    Files up to ``max_hash_bytes`` get a content MD5. Larger files (or every file with
+    ``hash_content=False``) are listed without reading their bytes (the ``length``
+    filter is pushed into the binaryFile scan): identity is (path, length, modification
+    time) and the header comes from :func:`first_lines`.
+    """
     binary = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(raw_dir)
-    return describe_files(binary, hash_content)
+    return describe_listing(binary, hash_content, max_hash_bytes)
+
+
+def describe_listing(binary: DataFrame, hash_content: bool = True,
+                     max_hash_bytes: int = DEFAULT_MAX_HASH_BYTES) -> DataFrame:
+    """Size-aware :func:`describe_files` over a binaryFile listing (batch or one
+    micro-batch): only files up to ``max_hash_bytes`` have their bytes read."""
+    spark = binary.sparkSession
+    limit = max_hash_bytes if hash_content else -1
+    small = describe_files(binary.filter(F.col("length") <= F.lit(limit)), True)
+    large = binary.filter(F.col("length") > F.lit(limit)).select("path", "length", "modificationTime")
+    large_paths = [r[0] for r in large.select("path").collect()]
+    if not large_paths:
+        return small
+    if limit < 0:
+        small = None  # every file is "large": the plan never reads file bytes
+    fingerprint = F.sha2(F.concat_ws("|", F.col("path"), F.col("length").cast("string"),
+                                     F.col("modificationTime").cast("string")), 256)
+    described = large.join(first_lines(spark, large_paths), "path", "left").select(
+        F.col("path"),
+        base_name(F.col("path")).alias("file_name"),
+        source_key(F.col("path")).alias("source_key"),
+        F.col("length"),
+        F.col("modificationTime").alias("modified"),
+        fingerprint.alias("file_hash"),
+        F.coalesce(F.regexp_replace(F.col("header"), "\r$", ""), F.lit("")).alias("header"),
+    )
+    return described if small is None else small.unionByName(described)
 
 
 def distinct_contents(files: DataFrame) -> DataFrame:

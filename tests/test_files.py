@@ -1,4 +1,5 @@
 import hashlib
+import re
 import os
 
 from pyspark.sql import functions as F
@@ -58,3 +59,21 @@ def test_header_columns_parse_quotes_blanks_and_repeats():
     from sparkledger.sources.files import header_columns
     assert header_columns('Ref,"Gross (£), net",Vendor') == ["Ref", "Gross (£), net", "Vendor"]
     assert header_columns("a,,a") == ["a0", "_c1", "a2"]
+
+
+def test_large_files_are_listed_without_reading_their_bytes(spark, tmp_path):
+    raw, _, _ = landing(tmp_path)
+    small_only = {r.file_name: r for r in list_feed_files(spark, raw).collect()}
+    mixed = {r.file_name: r for r in list_feed_files(spark, raw, max_hash_bytes=60).collect()}
+    assert set(mixed) == set(small_only)
+    for name, r in mixed.items():
+        assert r.header == small_only[name].header
+        if r.length > 60:
+            assert len(r.file_hash) == 64  # metadata identity (sha-256), not content md5
+        else:
+            assert r.file_hash == small_only[name].file_hash
+    meta = list_feed_files(spark, raw, hash_content=False)
+    assert all(len(r.file_hash) == 64 for r in meta.collect())
+    plan = meta._jdf.queryExecution().executedPlan().toString()
+    schemas = [m for m in re.findall(r"ReadSchema: struct<[^>]*>", plan) if "length" in m]
+    assert schemas and all("content" not in m for m in schemas)
