@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import decontaminate, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_mixing": mixing.op2_mixing,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mixing": mixing.SQL,
+        "op9_decontaminate": decontaminate.SQL,
     }
