@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing
+from . import decontaminate, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_mixing": mixing.op2_mixing,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
