@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, toxicity
+from . import decontaminate, mixing, pii, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_mixing": mixing.op2_mixing,
         "op4_pii": pii.op4_pii,
+        "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
     }
@@ -23,5 +24,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mixing": mixing.SQL,
+        "op8_substring_dedup": substring_dedup.SQL,
         "op9_decontaminate": decontaminate.SQL,
     }
