@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, substring_dedup, toxicity
+from . import decontaminate, mixing, near_dedup, pii, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_near_dedup": near_dedup.op1_near_dedup,
         "op2_mixing": mixing.op2_mixing,
         "op4_pii": pii.op4_pii,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_near_dedup": near_dedup.SQL,
         "op2_mixing": mixing.SQL,
         "op8_substring_dedup": substring_dedup.SQL,
         "op9_decontaminate": decontaminate.SQL,
