@@ -13,7 +13,6 @@ Pass 3: every document removes its estimated windows but for the first places se
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +22,11 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import id_and_text, partitions, staged, table
+from .sketches import FLUSH, repeated, sketch
 
 WINDOW = 20
 #: Words of an anchor; one is chosen among the window - anchor + 1 inside a window.
 ANCHOR = 12
-#: Sketch: DEPTH rows of 2**CELL_BITS counters (0, 1, 2 or more), merged in ranges.
-DEPTH = 2
-CELL_BITS = 27
-RANGE_BITS = 19
-#: Windows grouped inside a task before they are sent.
-FLUSH = 1 << 20
 _SEED = 811
 #: A null doc_id comes after all others.
 _NO_ID = (1 << 63) - 1
@@ -65,106 +59,20 @@ def _windows(block: K.Block, window: int, anchor: int):
     return words, hashes, starts, place, grams
 
 
-def _cells(hashes: np.ndarray) -> list[np.ndarray]:
-    mask = K.U64((1 << CELL_BITS) - 1)
-    return [((K.mix(hashes + K.U64(r)) if r else hashes) & mask).astype(np.uint32)
-            for r in range(DEPTH)]
-
-
-def _coded(cells: np.ndarray) -> bytes:
-    return zlib.compress(np.diff(cells, prepend=np.uint32(0)).astype("<u4").tobytes(), 1)
-
-
-def _decoded(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u4"), dtype=np.int64)
-
-
-def _sketch(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
-    """This partition's sketch: of each row and range, the cells counted once and more."""
-    seen: list[list] = [[] for _ in range(DEPTH)]
-    pending = 0
-
-    def summed(r: int) -> tuple[np.ndarray, np.ndarray]:
-        cells = np.concatenate([c for c, _ in seen[r]])
-        order = np.argsort(cells, kind="stable")
-        cells = cells[order]
-        counts = np.concatenate([n for _, n in seen[r]])[order]
-        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-        return cells[first], np.minimum(np.add.reduceat(counts, first), 2).astype(np.uint8)
-
+def _chosen(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
+    """Hashes of the anchors, each place once."""
     for block in K.text_blocks(batches, "text"):
-        _, _, _, place, grams = _windows(block, window, anchor)
-        chosen = np.unique(place)
-        if not len(chosen):
-            continue
-        for r, cells in enumerate(_cells(grams[chosen])):
-            seen[r].append((cells, np.ones(len(cells), np.uint8)))
-        pending += len(chosen)
-        if pending >= FLUSH:
-            for r in range(DEPTH):
-                seen[r] = [summed(r)]
-            pending = 0
-    keys, once, more = [], [], []
-    for r in range(DEPTH):
-        if not seen[r]:
-            continue
-        cells, counts = summed(r)
-        ranges = cells >> RANGE_BITS
-        cuts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1], [True]]))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            inside = cells[a:b] & np.uint32((1 << RANGE_BITS) - 1)
-            keys.append(int(r << (CELL_BITS - RANGE_BITS) | ranges[a]))
-            once.append(_coded(inside[counts[a:b] == 1]))
-            more.append(_coded(inside[counts[a:b] > 1]))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int32()), K.binary_list(once), K.binary_list(more)],
-        names=["range", "once", "more"])
-
-
-def _merge(batches: Iterator[pa.RecordBatch]):
-    """Ranges with a bit for each cell counted twice or more; two bitmaps are held a range."""
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for key, once, more in zip(batch.column("range").to_pylist(),
-                                   batch.column("once").to_pylist(),
-                                   batch.column("more").to_pylist(), strict=True):
-            have = held.setdefault(key, np.zeros(1 << RANGE_BITS, np.uint8))
-            cells = _decoded(once)
-            have[cells] = np.minimum(have[cells] + 1, 2)
-            have[_decoded(more)] = 2
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.int32()),
-         K.binary_list([zlib.compress(np.packbits(h > 1).tobytes(), 1) for h in held.values()])],
-        names=["range", "bits"])
+        *_, place, grams = _windows(block, window, anchor)
+        yield grams[np.unique(place)]
 
 
-def sketch(docs: DataFrame, window: int, anchor: int) -> bytes:
-    """The merged sketch: DEPTH * 2**CELL_BITS bits (fixed size, whatever the input)."""
-    parts = docs.select("text").mapInArrow(lambda b: _sketch(b, window, anchor),
-                                           "range int, once binary, more binary")
-    merged = parts.repartition(partitions(docs.sparkSession), "range") \
-        .mapInArrow(_merge, "range int, bits binary").collect()
-    size = 1 << (RANGE_BITS - 3)
-    out = np.zeros(DEPTH << (CELL_BITS - 3), np.uint8)
-    for r in merged:
-        out[r["range"] * size:(r["range"] + 1) * size] = \
-            np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return out.tobytes()
-
-
-def _repeated(grams: np.ndarray, place: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _repeated(grams: np.ndarray, place: np.ndarray, bits: bytes) -> np.ndarray:
     """Mask of the windows whose anchor's estimate is above 1."""
-    if not len(place):
-        return np.empty(0, bool)
     chosen, index = np.unique(place, return_inverse=True)
-    high = np.ones(len(chosen), bool)
-    for r, cells in enumerate(_cells(grams[chosen])):
-        byte = bits[(r << (CELL_BITS - 3)) + (cells >> 3).astype(np.int64)]
-        high &= (byte >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
-    return high[index]
+    return repeated(grams[chosen], bits)[index]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], bits: np.ndarray, window: int, anchor: int):
+def _grouped(batches: Iterator[pa.RecordBatch], bits: bytes, window: int, anchor: int):
     """(h1, h2, doc, place): the first place that this task has of each estimated window."""
     held: list[list[np.ndarray]] = [[], [], [], []]
 
@@ -224,7 +132,7 @@ def kept_words(block: K.Block, words: K.Words, kept: np.ndarray) -> tuple[np.nda
     return out, np.concatenate([[0], ends])[per_doc]
 
 
-def _removed(batches: Iterator[pa.RecordBatch], bits: np.ndarray, window: int, anchor: int,
+def _removed(batches: Iterator[pa.RecordBatch], bits: bytes, window: int, anchor: int,
              with_text: bool):
     for block in K.text_blocks(batches, "text"):
         words, _, starts, place, grams = _windows(block, window, anchor)
@@ -262,20 +170,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     spark = docs.sparkSession
     own = id_and_text(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"),
                                    F.col("doc_id").alias("id"), "text")
-    sent = spark.sparkContext.broadcast(sketch(own, window, anchor))
-
-    def bits():
-        return np.frombuffer(sent.value, np.uint8)
-
+    sent = spark.sparkContext.broadcast(
+        sketch(own.select("text"), lambda b: _chosen(b, window, anchor)))
     grouped = own.select("doc_id", "text").mapInArrow(
-        lambda b: _grouped(b, bits(), window, anchor), "h1 long, h2 int, doc long, place int")
+        lambda b: _grouped(b, sent.value, window, anchor), "h1 long, h2 int, doc long, place int")
     firsts = grouped.repartition(partitions(spark), "h1") \
         .sortWithinPartitions("h1", "h2", "doc", "place") \
         .mapInArrow(_firsts, "doc long, place int")
     lists = staged(firsts.groupBy("doc").agg(F.collect_list("place").alias("firsts")),
                    "first-places")
     joined = own.join(lists, own["doc_id"] == lists["doc"], "left").select("id", "text", "firsts")
-    return joined.mapInArrow(lambda b: _removed(b, bits(), window, anchor, with_text),
+    return joined.mapInArrow(lambda b: _removed(b, sent.value, window, anchor, with_text),
                              "doc_id long, n_words long, n_removed long, kept_sha256 string, "
                              "kept string")
 
