@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dedup, pii, substring_dedup, toxicity
+from . import (
+    decontaminate,
+    mixing,
+    near_dedup,
+    pii,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +23,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": near_dedup.op1_near_dedup,
         "op2_mixing": mixing.op2_mixing,
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_pii": pii.op4_pii,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
