@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontaminate,
+    lm_score,
     mixing,
     near_dedup,
     pii,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": mixing.op2_mixing,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_pii": pii.op4_pii,
+        "op7_lm_score": lm_score.op7_lm_score,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
