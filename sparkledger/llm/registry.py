@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    ann,
     decontaminate,
     lm_score,
     mixing,
@@ -26,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": mixing.op2_mixing,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_pii": pii.op4_pii,
+        "op6_ann": ann.op6_ann,
         "op7_lm_score": lm_score.op7_lm_score,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
