@@ -9,6 +9,7 @@ every sentence of every document, which also locates the offending sentences.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,14 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import id_and_text, table
+from .common import id_and_text, staged, table
 
 #: Hashed features; the model is one 32-bit weight for each.
 FEATURE_BITS = 20
 #: Bytes of a word's beginning that are features of their own, besides the whole word.
 PREFIXES = (4, 5, 6)
 #: Bound on the labelled rows of each class that train the model, and on their text bytes.
-SAMPLE_ROWS = 2500
+SAMPLE_ROWS = 5000
 SAMPLE_TEXT_BYTES = 1 << 16
 THRESHOLD = 0.3
 #: Log-odds of a sentence without any telling feature, before training.
@@ -69,40 +70,22 @@ def sentence_bags(block: K.Block) -> Bags:
                 words.start[first], words.end[last])
 
 
-def telling(index: np.ndarray, doc: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Mask of the features whose documents are toxic more often than chance allows: their
-    log-likelihood ratio is above 2 ln(number of features)."""
-    n = int(index.max()) + 1
-    pairs = np.unique(index * np.int64(len(labels)) + doc)
-    toxic = labels[pairs % len(labels)] == 1
-    held = pairs // len(labels)
-    a = np.bincount(held[toxic], minlength=n).astype(float)
-    c = np.bincount(held[~toxic], minlength=n).astype(float)
-    rate = labels.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        part = np.where(a > 0, a * np.log(a / ((a + c) * rate)), 0)
-        part += np.where(c > 0, c * np.log(c / ((a + c) * (1 - rate))), 0)
-    return (2 * part > 2 * np.log(max(n, 2))) & (a > (a + c) * rate)
-
-
-def fit_bags(features: np.ndarray, offsets: np.ndarray, doc: np.ndarray, labels: np.ndarray,
-             weight: np.ndarray) -> tuple[float, np.ndarray]:
-    """(bias, weights) of the noisy-or model over the telling features: gradient descent on
-    the documents' log loss with a step size for each feature and soft thresholding (L1)."""
-    sentence = K.doc_of(offsets)
+def fit_bags(features: np.ndarray, sentence: np.ndarray, doc: np.ndarray, plain: np.ndarray,
+             labels: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """(bias, weights) of the noisy-or model by gradient descent on the documents' log loss,
+    with a step size for each feature and soft thresholding (L1).
+
+    features[i] is in sentence[i], which is in document doc[sentence[i]]; a document also
+    has plain[d] sentences without any feature."""
     used, index = np.unique(features, return_inverse=True)
-    kept = telling(index, doc[sentence], labels) if len(index) else np.empty(0, bool)
-    new = np.cumsum(kept) - 1
-    index, sentence = new[index[kept[index]]], sentence[kept[index]]
-    used, n = used[kept], len(doc)
     w, bias = np.zeros(len(used)), BIAS
     size, bias_size = np.full(len(used), 1e-8), 1e-8
-    counts = np.bincount(doc, minlength=len(labels))
     scale = 1.0 / max(weight.sum(), 1e-9)
-    for _ in range(ROUNDS if n else 0):
-        z = bias + np.bincount(sentence, w[index], minlength=n)
-        harm = np.bincount(doc, np.logaddexp(0, z), minlength=len(labels))
-        harm = np.maximum(np.where(counts > 0, harm, 1e-6), 1e-6)
+    for _ in range(ROUNDS):
+        z = bias + np.bincount(sentence, w[index], minlength=len(doc))
+        harm = np.bincount(doc, np.logaddexp(0, z), minlength=len(labels)) \
+            + plain * np.logaddexp(0, bias)
+        harm = np.maximum(harm, 1e-6)
         pull = np.where(labels == 1, -np.exp(-harm) / -np.expm1(-harm), 1.0) * weight * scale
         g = pull[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
         grad = np.bincount(index, g[sentence], minlength=len(used))
@@ -110,7 +93,7 @@ def fit_bags(features: np.ndarray, offsets: np.ndarray, doc: np.ndarray, labels:
         step = RATE / np.sqrt(size)
         w -= step * grad
         w = np.sign(w) * np.maximum(np.abs(w) - step * L1 * scale, 0)
-        bias_grad = g.sum()
+        bias_grad = g.sum() + (pull * plain).sum() / (1 + np.exp(-bias))
         bias_size += bias_grad * bias_grad
         bias -= RATE * 0.2 * bias_grad / np.sqrt(bias_size)
     weights = np.zeros(1 << FEATURE_BITS, np.float32)
@@ -123,16 +106,66 @@ def training_rows(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) != 2
 
 
-def _features(batches: Iterator[pa.RecordBatch]):
+def _document_counts(batches: Iterator[pa.RecordBatch]):
+    """(feature, toxic, documents) of this partition."""
+    counts = np.zeros((2, 1 << FEATURE_BITS), np.int32)
+    for block in K.text_blocks(batches, "text"):
+        bags = sentence_bags(block)
+        doc = np.repeat(bags.doc, np.diff(bags.offsets))
+        pairs = np.unique(doc << FEATURE_BITS | bags.features)
+        toxic = np.asarray(block.batch.column("toxic"))[pairs >> FEATURE_BITS]
+        for y in (0, 1):
+            counts[y] += np.bincount(pairs[toxic == y] & ((1 << FEATURE_BITS) - 1),
+                                     minlength=1 << FEATURE_BITS).astype(np.int32)
+    for y in (0, 1):
+        used = np.flatnonzero(counts[y])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), y, np.int32)),
+             pa.array(counts[y][used].astype(np.int64))], names=["feature", "toxic", "n"])
+
+
+def telling_features(sample: DataFrame, toxic_share: float) -> np.ndarray:
+    """Features whose documents are toxic more often than chance allows: their
+    log-likelihood ratio is above 1.4 ln(number of features)."""
+    counts = sample.mapInArrow(_document_counts, "feature int, toxic int, n long")
+    a, c = (F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)) for y in (1, 0))
+    per = counts.groupBy("feature").agg(a.alias("a"), c.alias("c"))
+    n = F.col("a") + F.col("c")
+
+    def part(x: str, rate: float) -> Column:
+        return F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (n * rate))).otherwise(0.0)
+
+    ratio = 2 * (part("a", toxic_share) + part("c", 1 - toxic_share))
+    per = staged(per.select("feature", (F.col("a") > n * toxic_share).alias("more"),
+                            ratio.alias("ratio")), "toxic-features")
+    total = per.count()
+    rows = per.filter(F.col("more") & (F.col("ratio") > 1.4 * math.log(max(total, 2)))) \
+        .select("feature").collect()  # at most 2**FEATURE_BITS
+    return np.sort(np.array([r.feature for r in rows], np.int32))
+
+
+def _bags(batches: Iterator[pa.RecordBatch], kept: np.ndarray):
+    """Of each document: the telling features and their sentences, numbered from 0, and the
+    number of sentences without any."""
+    wanted = np.zeros(1 << FEATURE_BITS, bool)
+    wanted[kept] = True
     for block in K.text_blocks(batches, "text"):
         bags = sentence_bags(block)
-        cut = np.searchsorted(bags.doc, np.arange(len(block) + 1))
-        rows = [(bags.features[bags.offsets[a]:bags.offsets[b]].tobytes(),
-                 np.diff(bags.offsets[a:b + 1]).astype(np.int32).tobytes())
-                for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        sentence = K.doc_of(bags.offsets)
+        told = wanted[bags.features]
+        features, sentence = bags.features[told], sentence[told]
+        total = np.bincount(bags.doc, minlength=len(block))
+        cut = np.searchsorted(bags.doc[sentence], np.arange(len(block) + 1))
+        rows = []
+        for d, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            which, local = np.unique(sentence[a:b], return_inverse=True)
+            rows.append((features[a:b].tobytes(), local.astype(np.int32).tobytes(), len(which),
+                         int(total[d]) - len(which)))
         yield pa.RecordBatch.from_arrays(
             [block.batch.column("toxic"), K.binary_list([r[0] for r in rows]),
-             K.binary_list([r[1] for r in rows])], names=["toxic", "features", "lengths"])
+             K.binary_list([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.int64()),
+             pa.array([r[3] for r in rows], pa.int64())],
+            names=["toxic", "features", "sentence", "marked", "plain"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
@@ -141,33 +174,37 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     more than ``sample_text_bytes``; rows of each class are weighted up to their number.
 
     Without labels of both classes the model knows nothing and scores all alike."""
+    spark = docs.sparkSession
+    nothing = BIAS, np.zeros(1 << FEATURE_BITS, np.float32)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.col("toxic").cast("int").alias("toxic")) \
         .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
                 & training_rows(F.col("doc_id")))
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id", F.lit(_SEED)), F.col("doc_id")]
-    sample = [known.filter(F.col("toxic") == y).orderBy(*order).limit(sample_rows)
-              for y in (0, 1)]
-    rows = [(r.doc_id, r.toxic) for part in sample for r in part.collect()]
-    if not rows:
-        return BIAS, np.zeros(1 << FEATURE_BITS, np.float32)
-    spark = docs.sparkSession
+    rows = [(r.doc_id, r.toxic) for y in (0, 1) for r in
+            known.filter(F.col("toxic") == y).orderBy(*order).limit(sample_rows).collect()]
+    if len(totals) < 2:
+        return nothing
     wanted = spark.createDataFrame(rows, "doc_id long, toxic int").dropDuplicates(["doc_id"])
-    texts = id_and_text(docs).filter(F.octet_length("text") <= sample_text_bytes) \
-        .join(F.broadcast(wanted), "doc_id")  # at most 2 * sample_rows ids
-    got = texts.select("toxic", "text").mapInArrow(
-        _features, "toxic int, features binary, lengths binary").collect()
+    sample = staged(id_and_text(docs).filter(F.octet_length("text") <= sample_text_bytes)
+                    .join(F.broadcast(wanted), "doc_id").select("toxic", "text"),
+                    "toxic-sample")  # at most 2 * sample_rows ids are broadcast
+    sampled = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if len(sampled) < 2:
+        return nothing
+    kept = telling_features(sample, sampled[1] / (sampled[0] + sampled[1]))
+    got = sample.mapInArrow(lambda b: _bags(b, kept), "toxic int, features binary, "
+                            "sentence binary, marked long, plain long").collect()
     y = np.array([r.toxic for r in got])
-    if not len(y):
-        return BIAS, np.zeros(1 << FEATURE_BITS, np.float32)
+    marked = np.array([r.marked for r in got])
+    first = np.cumsum(marked) - marked
     features = np.concatenate([np.frombuffer(r.features, np.int32) for r in got])
-    lengths = [np.frombuffer(r.lengths, np.int32) for r in got]
-    doc = np.repeat(np.arange(len(got)), [len(x) for x in lengths])
-    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int64)
-    weight = np.array([totals[v] / (y == v).sum() for v in (0, 1) if (y == v).any()]
-                      if (y == 0).any() and (y == 1).any() else [1.0, 1.0])
-    return fit_bags(features, offsets, doc, y, weight[y])
+    sentence = np.concatenate([np.frombuffer(r.sentence, np.int32) + f
+                               for r, f in zip(got, first, strict=True)])
+    weight = np.where(y == 1, totals[1] / sampled[1], totals[0] / sampled[0])
+    return fit_bags(features, sentence, np.repeat(np.arange(len(y)), marked),
+                    np.array([r.plain for r in got], float), y, weight)
 
 
 _SCORED = ("doc_id long, text string, score double, "
