@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     ann,
     decontaminate,
+    licenses,
     lm_score,
     mixing,
     near_dedup,
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": mixing.op2_mixing,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_pii": pii.op4_pii,
+        "op5_licences": licenses.op5_licences,
         "op6_ann": ann.op6_ann,
         "op7_lm_score": lm_score.op7_lm_score,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
