@@ -118,11 +118,12 @@ def search(words: np.ndarray, offsets: np.ndarray, tests: Suffixes):
     return longest, np.repeat(whole, counts), place[K.ranges(lo[whole], counts)]
 
 
-_STATE = ("doc_id long, text string, n_words long, n_hit long, hits binary, "
-          "items array<string>, longest long")
+#: What the documents carry from batch to batch, under names that hardly clash.
+_STATE = {"_n_words": "long", "_n_hit": "long", "_hits": "binary", "_items": "array<string>",
+          "_longest": "long"}
 
 
-def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool):
+def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool, keep_text: bool):
     """Adds to each document the hit words (a bit each) and items of one batch of tests."""
     codes = K.byte_codes(_SEED, True)
     for block in K.text_blocks(batches, "text"):
@@ -142,9 +143,9 @@ def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool):
         for d, i in pairs.tolist():
             names.setdefault(d, set()).add(tests.items[i])
         before = block.batch
-        seen_hits = before.column("hits").to_pylist()
-        seen_items = before.column("items").to_pylist()
-        seen_longest = before.column("longest").to_pylist()
+        seen_hits = before.column("_hits").to_pylist()
+        seen_items = before.column("_items").to_pylist()
+        seen_longest = before.column("_longest").to_pylist()
         hits, items, n_hit = [], [], np.zeros(n, np.int64)
         for d in range(n):
             own = hit[found.offsets[d]:found.offsets[d + 1]]
@@ -154,34 +155,25 @@ def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool):
             n_hit[d] = own.sum()
             hits.append(np.packbits(own).tobytes() if n_hit[d] and not last else None)
             items.append(sorted(names.get(d, set()) | set(seen_items[d] or ())))
-        yield pa.RecordBatch.from_arrays(
-            [before.column("doc_id"), pa.nulls(n, pa.string()) if last else before.column("text"),
-             pa.array(found.counts.astype(np.int64)), pa.array(n_hit), K.binary_list(hits),
-             pa.array(items, pa.list_(pa.string())),
-             pa.array(np.maximum(longest, [x or 0 for x in seen_longest]))],
-            names=["doc_id", "text", "n_words", "n_hit", "hits", "items", "longest"])
+        new = {"_n_words": pa.array(found.counts.astype(np.int64)), "_n_hit": pa.array(n_hit),
+               "_hits": K.binary_list(hits), "_items": pa.array(items, pa.list_(pa.string())),
+               "_longest": pa.array(np.maximum(longest, [x or 0 for x in seen_longest]))}
+        if last and not keep_text:
+            new["text"] = pa.nulls(n, pa.string())
+        names = before.schema.names
+        yield pa.RecordBatch.from_arrays([new.get(x, before.column(x)) for x in names],
+                                         names=names)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       ratio: int = RATIO, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (matching item ids, sorted as strings),
-    longest (words of the longest matched window) and contaminated.
-
-    A null text has no words and is never contaminated; an item with null text or without
-    words is never matched, one without id counts but is named "". Rows that repeat a
-    doc_id are judged one by one, repeated items count once. An empty benchmark matches
-    nothing; an empty documents table gives no rows. Other columns are not read."""
+def judged(docs: DataFrame, benchmark: DataFrame, window: int, batch_bytes: int,
+           keep_text: bool) -> DataFrame:
+    """``docs`` with the state columns filled in by every batch of the benchmark."""
     tests = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.col("text").cast("string").alias("text")) \
         .filter(F.col("text").isNotNull())
-    total, largest = tests.agg(F.sum(F.octet_length("text")),
-                               F.max(F.octet_length("text"))).first()
+    total = tests.agg(F.sum(F.octet_length("text"))).first()[0]
     parts = max(1, math.ceil((total or 0) / batch_bytes))
-    state = id_and_text(docs).select(
-        "doc_id", "text", F.lit(0).cast("long").alias("n_words"),
-        F.lit(0).cast("long").alias("n_hit"),
-        F.lit(None).cast("binary").alias("hits"),
-        F.array().cast("array<string>").alias("items"), F.lit(0).cast("long").alias("longest"))
+    state = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _STATE.items()])
     sc = docs.sparkSession.sparkContext
     for part in range(parts):
         rows = tests.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part) \
@@ -191,15 +183,38 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         last = part == parts - 1
 
         def match(batches, sent=sent, last=last):
-            return _match(batches, Suffixes(*sent.value), last)
+            return _match(batches, Suffixes(*sent.value), last, keep_text)
 
-        state = state.mapInArrow(match, _STATE)
+        state = state.mapInArrow(match, state.schema)
         if not last:
             state = state.checkpoint()
-    return state.select(
-        "doc_id", "n_words", "n_hit", "items", "longest",
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * ratio >= F.col("n_words")))
-        .alias("contaminated"))
+    return state
+
+
+def _contaminated(ratio: int):
+    return (F.col("_n_hit") > 0) & (F.col("_n_hit") * ratio >= F.col("_n_words"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                       ratio: int = RATIO, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items (matching item ids, sorted as strings),
+    longest (words of the longest matched window) and contaminated.
+
+    A null text has no words and is never contaminated; an item with null text or without
+    words is never matched, one without id counts but is named "". Rows that repeat a
+    doc_id are judged one by one, repeated items count once. An empty benchmark matches
+    nothing; an empty documents table gives no rows. Other columns are not read."""
+    state = judged(id_and_text(docs), benchmark, window, batch_bytes, False)
+    return state.select("doc_id", *[F.col(f"_{c}").alias(c) for c in
+                                    ("n_words", "n_hit", "items", "longest")],
+                        _contaminated(ratio).alias("contaminated"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                         ratio: int = RATIO, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    return judged(docs, benchmark, window, batch_bytes, True) \
+        .filter(~_contaminated(ratio)).select(*docs.columns)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

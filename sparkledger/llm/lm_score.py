@@ -101,7 +101,7 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 
 
 def _places(hashes: np.ndarray, level: int, probe: int, segment_size: int) -> np.ndarray:
-    return (K.mix(hashes + K.U64(level * 64 + probe + 1) * K.U64(0x9FB21C651E98DF25))
+    return (K.mix(hashes + K.U64((level * 64 + probe + 1) * 0x9FB21C651E98DF25 % 2**64))
             >> K.U64(32)) % K.U64(segment_size)
 
 

@@ -65,7 +65,7 @@ def superminhash(elements: np.ndarray, offsets: np.ndarray, m: int) -> np.ndarra
     for j in range(m):
         if not len(elements):
             break
-        drawn = K.mix(elements + K.U64(2 * j + 1) * K.U64(0xA24BAED4963EE407))
+        drawn = K.mix(elements + K.U64((2 * j + 1) * 0xA24BAED4963EE407 % 2**64))
         pick = j + ((drawn >> K.U64(32)) % K.U64(m - j)).astype(np.int64)
         if places is None:
             slot = pick
@@ -244,6 +244,14 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, but for documents that are near-duplicates of one
+    with a smaller doc_id in their group."""
+    gone = staged(near_duplicates(docs).filter(~F.col("kept"))
+                  .select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

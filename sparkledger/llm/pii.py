@@ -284,6 +284,29 @@ def find_pii(docs: DataFrame, masked: bool = False) -> DataFrame:
     return id_and_text(docs).mapInArrow(find, _FOUND)
 
 
+def with_masked_text(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, with every identifier in the text replaced by its [KIND] and,
+    if there is such a column, n_chars counted anew."""
+
+    def rewrite(batches):
+        for batch in batches:
+            new = []
+            for text in batch.column("text").to_pylist():
+                base, more = find_spans(text or "")
+                spans = sorted([*base, *more], key=lambda s: (s[0], s[2]))
+                new.append(mask(text, [{"start": a, "end": b, "kind": KINDS[k]}
+                                       for a, b, k in spans]) if spans else text)
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(
+                new, batch.schema.field(at).type))
+
+    out = docs.mapInArrow(rewrite, docs.schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.char_length("text").cast(kind))
+    return out
+
+
 def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

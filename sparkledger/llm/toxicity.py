@@ -207,22 +207,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
                     np.array([r.plain for r in got], float), y, weight)
 
 
-_SCORED = ("doc_id long, text string, score double, "
+_SCORED = ("doc_id long, score double, "
            "sentences array<struct<start:long,end:long,score:double>>")
 
 
+def document_scores(block: K.Block, bias: float, weights: np.ndarray):
+    """Scores of a block's documents, its sentences and their scores."""
+    bags, n = sentence_bags(block), len(block)
+    z = bias + np.add.reduceat(weights[bags.features].astype(np.float64),
+                               bags.offsets[:-1]) if len(bags.doc) else np.empty(0)
+    harm = np.bincount(bags.doc, np.logaddexp(0, z), minlength=n)
+    empty = np.bincount(bags.doc, minlength=n) == 0
+    harm[empty] = np.logaddexp(0, bias)  # as one sentence without a feature
+    return -np.expm1(-harm), bags, 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+
 def _score(batches: Iterator[pa.RecordBatch], bias: float, weights: np.ndarray,
-           threshold: float, keep_text: bool):
+           threshold: float):
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
                                ("score", pa.float64())]))
     for block in K.text_blocks(batches, "text"):
-        bags, n = sentence_bags(block), len(block)
-        z = bias + np.add.reduceat(weights[bags.features].astype(np.float64),
-                                   bags.offsets[:-1]) if len(bags.doc) else np.empty(0)
-        safe = np.bincount(bags.doc, np.logaddexp(0, z), minlength=n)
-        empty = np.bincount(bags.doc, minlength=n) == 0
-        safe[empty] = np.logaddexp(0, bias)  # as one sentence without a feature
-        p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+        scores, bags, p = document_scores(block, bias, weights)
+        n = len(block)
         located: list[list[dict]] = [[] for _ in range(n)]
         for s in np.flatnonzero(p >= threshold).tolist():
             d = int(bags.doc[s])
@@ -231,10 +237,9 @@ def _score(batches: Iterator[pa.RecordBatch], bias: float, weights: np.ndarray,
             end = start + len(block.data[bags.start[s]:bags.end[s]].tobytes()
                               .decode("utf-8", "replace"))
             located[d].append({"start": start, "end": end, "score": float(p[s])})
-        text = block.batch.column("text") if keep_text else pa.nulls(n, pa.string())
         yield pa.RecordBatch.from_arrays(
-            [block.batch.column("doc_id"), text, pa.array(-np.expm1(-safe)),
-             pa.array(located, kind)], names=["doc_id", "text", "score", "sentences"])
+            [block.batch.column("doc_id"), pa.array(scores), pa.array(located, kind)],
+            names=["doc_id", "score", "sentences"])
 
 
 def score_toxicity(docs: DataFrame, model: tuple[float, np.ndarray],
@@ -248,13 +253,26 @@ def score_toxicity(docs: DataFrame, model: tuple[float, np.ndarray],
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
 
     def score(batches):
-        return _score(batches, *sent.value, threshold, False)
+        return _score(batches, *sent.value, threshold)
 
     return id_and_text(docs).mapInArrow(score, _SCORED).select(
         "doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
         "sentences")
 
 
+def without_toxic(docs: DataFrame, model: tuple[float, np.ndarray],
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+
+    def keep(batches):
+        for block in K.text_blocks(batches, "text"):
+            scores, _, _ = document_scores(block, *sent.value)
+            yield block.batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
