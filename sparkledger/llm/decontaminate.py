@@ -223,7 +223,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit",
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-                        "contaminated", "longest")
+                        "contaminated")
 
 
 SQL = r"""

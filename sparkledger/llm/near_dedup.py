@@ -253,7 +253,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("class_id")
 
 
 SQL = r"""

@@ -216,7 +216,7 @@ def document_scores(block: K.Block, bias: float, weights: np.ndarray):
     bags, n = sentence_bags(block), len(block)
     z = bias + np.add.reduceat(weights[bags.features].astype(np.float64),
                                bags.offsets[:-1]) if len(bags.doc) else np.empty(0)
-    harm = np.bincount(bags.doc, np.logaddexp(0, z), minlength=n)
+    harm = np.bincount(bags.doc, np.logaddexp(0, z), minlength=n).astype(float)
     empty = np.bincount(bags.doc, minlength=n) == 0
     harm[empty] = np.logaddexp(0, bias)  # as one sentence without a feature
     return -np.expm1(-harm), bags, 1 / (1 + np.exp(-np.clip(z, -700, 700)))

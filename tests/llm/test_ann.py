@@ -1,0 +1,78 @@
+"""Nearest neighbours against a full scan."""
+
+import numpy as np
+
+from sparkledger.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, label int, v string, is_query int"
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, "x", 1) for i, v in rows], SCHEMA)
+
+
+def _exact(rows, queries, k=10):
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    out = {}
+    for q in queries:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        order = [j for j in np.lexsort((ids, d)) if ids[j] != q][:k]
+        out[q] = [(int(ids[j]), float(d[j])) for j in order]
+    return out
+
+
+def _found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def test_recall_on_random_directions(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 32)).astype(np.float32)
+    x[1000:1400] = x[7] + rng.normal(scale=0.01, size=(400, 32))  # one crowded place
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    vectors = _vectors(spark, rows)
+    queries = list(range(0, 3000, 100))
+    got = _found(ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"),
+                                        index_block=400, query_block=9))
+    want = _exact(rows, queries)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in queries)
+    assert hits >= 0.9 * 10 * len(queries)
+    for q in queries:
+        exact = dict(_exact(rows, [q], 3000)[q])
+        assert len(got[q]) == 10 and all(exact[i] == s for i, s in got[q])
+
+
+def test_everything_within_the_radius_is_found():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(800, 24))
+    codes = ann.fit_codes(x)
+    index = ann.Index(np.arange(800), x, codes)
+    for radius in (0, 5, 17, 30, 60):
+        index.codes = codes._replace(radius=radius)
+        for q in range(0, 800, 97):
+            apart = ann.hamming(index.packed, index.packed[q])
+            assert index.within(index.packed[q]).tolist() == np.flatnonzero(
+                apart <= radius).tolist()
+
+
+def test_odd_vectors_ties_and_few_rows(spark):
+    rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (3, [0.0, 1.0]), (2, [0.0, 1.0]),
+            (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]),
+            (8, [float("inf"), 1.0]), (None, [1.0, 1.0]), (200, None), (2, [0.0, 1.0]), (9, [])]
+    vectors = _vectors(spark, rows)
+    got = _found(ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0")))
+    far = 2 ** 0.5
+    assert got == {0: [(2, far), (3, far), (100, far)], 100: [(2, 0.0), (3, 0.0), (0, far)]}
+
+
+def test_empty_tables(spark):
+    none = _vectors(spark, [])
+    one = _vectors(spark, [(100, [1.0, 2.0])])
+    assert ann.nearest_neighbours(none, none).count() == 0
+    assert ann.nearest_neighbours(one, one).count() == 0
+    assert ann.nearest_neighbours(one, none).count() == 0

@@ -1,0 +1,70 @@
+"""Mixing against a plain computation of targets and cuts."""
+
+import hashlib
+import random
+
+import pytest
+
+from sparkledger.llm import mixing
+
+
+def _targets(sizes):
+    """Repeated resharing, as stated."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
+    names += [None] if None in sizes else []
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = [s for s in names if s not in capped]
+        left = total - sum(3 * sizes[s] for s in capped)
+        share = {s: left * weight[s] / sum(weight[r] for r in rest) for s in rest}
+        over = {s for s in rest if share[s] > 3 * sizes[s]}
+        if not over:
+            return {s: 3.0 * sizes[s] if s in capped else share[s] for s in names}
+        capped |= over
+
+
+def _rows():
+    rng = random.Random(8)
+    rows = []
+    for source, n, most in (("big", 300, 60), ("a", 40, 9), ("z", 5, 3), ("é", 20, 30),
+                            (None, 10, 20), ("empty", 3, 1)):
+        rows += [(None, " ".join("w" * rng.randrange(most)), source) for _ in range(n)]
+    return [(i, t, s) for i, (_, t, s) in enumerate(rows)]
+
+
+def test_targets_and_cuts(spark, make_docs):
+    rows = [*_rows(), (5000, None, "big"), (5001, "", None)]
+    got = mixing.mix_sources(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    targets = _targets(sizes)
+    assert sum(targets.values()) == pytest.approx(sum(sizes.values()))
+    by_id = {r.doc_id: r for r in got}
+    for s in sizes:
+        own = sorted((i for i, _, x in rows if x == s),
+                     key=lambda i: hashlib.md5(f"mix:{i}".encode()).hexdigest())
+        target = targets[s]
+        epochs = int(target // sizes[s]) if sizes[s] else 0
+        left = int(by_id[own[0]].target - epochs * sizes[s])
+        for i in own:
+            r = by_id[i]
+            assert r.target == pytest.approx(target) and r.source_size == sizes[s]
+            assert r.taken == epochs * r.size + min(r.size, left) <= 3 * r.size
+            left -= min(r.size, left)
+        assert abs(sum(by_id[i].taken for i in own) - target) < 1
+
+
+def test_empty_and_wordless_tables(spark, make_docs):
+    assert mixing.mix_sources(make_docs([])).count() == 0
+    got = mixing.mix_sources(make_docs([(1, "", "a"), (2, None, "b")])).collect()
+    assert [(r.taken, r.target) for r in got] == [(0, 0.0), (0, 0.0)]
+
+
+def test_missing_and_repeated_ids(spark, make_docs):
+    rows = [(None, "a b c", "x"), (None, "a b c", "x"), (7, "a b", "y"), (7, "a b", "y")]
+    first = sorted(map(str, mixing.mix_sources(make_docs(rows)).collect()))
+    again = sorted(map(str, mixing.mix_sources(make_docs(rows)).collect()))
+    assert first == again and len(first) == 4

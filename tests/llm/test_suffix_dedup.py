@@ -1,0 +1,68 @@
+"""Repeated byte strings against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+from sparkledger.llm import suffix_dedup
+
+
+def _brute(rows, length):
+    data = {i: (t or "").encode() for i, t in rows}
+    count = Counter(b[p:p + length] for b in data.values() for p in range(len(b) - length + 1))
+    out = {}
+    for i, b in data.items():
+        gone = [False] * len(b)
+        for p in range(len(b) - length + 1):
+            if count[b[p:p + length]] > 1:
+                gone[p:p + length] = [True] * length
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        spans = sum(g and (p == 0 or not gone[p - 1]) for p, g in enumerate(gone))
+        out[i] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def _got(df):
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()}
+
+
+def test_matches_brute_force(spark, make_docs, prose):
+    rng = random.Random(9)
+    source = prose(50, 400, 5000)
+    rows = []
+    for i in range(40):
+        a = rng.randrange(len(source))
+        part = source[a:a + rng.choice((100, 395, 400, 401, 430, 900))]
+        if i % 5 == 0 and len(part) > 10:  # an edit in the middle
+            k = rng.randrange(len(part))
+            part = part[:k] + "#" + part[k + 1:]
+        rows.append((i, prose(2000 + i, rng.randrange(60), 9000) + part
+                     + prose(3000 + i, rng.randrange(60), 9000)))
+    rows += [(100, None), (101, ""), (102, "é" * 350), (103, "é" * 199), (104, "ab" * 450),
+             (105, source[40:440]), (106, source[1:2] * 399)]
+    want = _brute(rows, 400)
+    assert _got(suffix_dedup.remove_repeated_strings(make_docs(rows))) == want
+    assert len({w[1] > 0 for w in want.values()}) == 2
+
+
+def test_exactly_one_window_against_a_long_text(spark, make_docs, prose):
+    # a document of one window only must hold the same anchors as the text around its copy
+    for seed in range(3):
+        long = prose(seed, 300, 9000)
+        rows = [(1, long), (2, long[500:900]), (3, long[1000:1399])]
+        assert _got(suffix_dedup.remove_repeated_strings(make_docs(rows))) == _brute(rows, 400)
+
+
+def test_shorter_strings(spark, make_docs):
+    rng = random.Random(1)
+    rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(80)))) for i in range(60)]
+    got = suffix_dedup.remove_repeated_strings(make_docs(rows), length=12, gram=3, span=4)
+    assert _got(got) == _brute(rows, 12)
+
+
+def test_missing_ids_repeated_rows_and_empty_table(spark, make_docs, prose):
+    t = prose(1, 200, 5000)
+    got = suffix_dedup.remove_repeated_strings(make_docs([(None, t), (3, t), (3, t), (4, "x")]),
+                                               with_text=True).collect()
+    assert sorted((len(r.kept), r.n_spans) for r in got) == [(0, 1), (0, 1), (0, 1), (1, 0)]
+    assert suffix_dedup.remove_repeated_strings(make_docs([])).count() == 0
