@@ -20,15 +20,16 @@ def _col(c: str | Column) -> Column:
 def parse_amount(c: str | Column) -> Column:
     """Money text to ``decimal(18,2)``; junk, empty or out-of-range text gives NULL.
 
-    Keeps digits, ``.`` and ``-``; a number wrapped in parentheses anywhere in the text
-    is a credit (negative absolute value). A comma after a dot is a European-style
+    Keeps digits, ``.`` and ``-``; when every digit stands inside one pair of parentheses
+    the amount is a credit (negative absolute value); a bracketed note beside the number
+    changes nothing. A comma after a dot is a European-style
     number this parser does not accept, so it is NULL rather than silently rescaled.
     Cheap ``contains`` tests guard the regular expressions.
     """
     text = F.trim(_col(c))
     value = F.regexp_replace(text, r"[^0-9.\-]", "").try_cast(MONEY_TYPE)
     european = text.contains(",") & text.rlike(r"\..*,")
-    credit = text.contains("(") & text.rlike(r"\(.*\)")
+    credit = text.contains("(") & text.rlike(r"^[^0-9()]*\([^()]*[0-9][^()]*\)[^0-9()]*$")
     return (F.when(european, F.lit(None).cast(MONEY_TYPE))
             .when(credit, -F.abs(value))
             .otherwise(value))

@@ -1,4 +1,4 @@
-"""Enrichment joins: small-dimension lookups and the assurance (ledger + supplier) join."""
+"""Enrichment joins: the department lookup and the assurance (ledger + supplier) join."""
 
 from __future__ import annotations
 
@@ -8,35 +8,11 @@ from pyspark.sql import functions as F
 from sparkledger.functions.casts import normalise_name
 from sparkledger.operators.keys import keep_one
 
-# Rows a dimension may hold and still be broadcast (each executor holds a full copy).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after checking it holds at most ``max_rows`` rows.
-
-    Past the bound the frame is returned unhinted, so Spark plans a shuffle join (or AQE
-    converts it at run time from measured sizes). The check reads at most
-    ``max_rows + 1`` rows, never the whole dimension.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
 def dimension_frame(spark: SparkSession, mapping: dict[str, str], key: str, value: str) -> DataFrame:
     """A config dictionary as a two-column frame (size bounded by the config)."""
     return spark.createDataFrame(sorted(mapping.items()), f"{key} string, {value} string")
 
 
-def lookup(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
-           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left equi join to a small dimension; unknown keys get NULL; the helper key is dropped."""
-    right = bounded_broadcast(dim, max_rows)
-    joined = df.join(right, df[left_key] == right[right_key], "left")
-    return joined.drop(right[right_key]) if left_key != right_key else joined
-
-
 def department_groups(df: DataFrame, groups: dict[str, str]) -> DataFrame:
     """Attach ``department_group`` from a config dict (broadcast join, bounded by config)."""
     spark = df.sparkSession
@@ -56,14 +32,13 @@ def prepare_suppliers(suppliers: DataFrame) -> DataFrame:
                     ["supplier_name"])
 
 
-def attach_assurance(silver: DataFrame, approvals: DataFrame, suppliers: DataFrame,
-                     supplier_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def attach_assurance(silver: DataFrame, approvals: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Left join the approvals ledger (by transaction id) and supplier risk (by name).
 
     ``missing_approval`` is true when no ledger status is present (no match, or a NULL
-    status). The ledger side grows with the data, so it is a shuffle join; the supplier
-    side is broadcast only when its size check passes.
+    status). Neither side is hinted: the planner, or AQE from measured bytes, broadcasts a
+    side that is small and splits skewed keys otherwise.
     """
     joined = silver.join(approvals, "transaction_id", "left")
-    joined = joined.join(bounded_broadcast(suppliers, supplier_max_rows), "supplier_name", "left")
+    joined = joined.join(suppliers, "supplier_name", "left")
     return joined.withColumn("missing_approval", F.col("processing_status").isNull())

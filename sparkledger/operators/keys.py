@@ -28,7 +28,10 @@ def latest_order(extra: list[str] | None = None, columns: list[str] | None = Non
     names = ["ingested_at", "record_hash"] + (TIE_BREAK_COLUMNS if extra is None else extra)
     if columns is not None:
         names = [n for n in names if n in columns]
-    return [F.col(n).desc_nulls_last() for n in names]
+    order = [F.col(n).desc_nulls_last() for n in names]
+    if columns is not None and "raw_extras" in columns:  # a map, compared as text
+        order.append(F.to_json("raw_extras").desc_nulls_last())
+    return order
 
 
 def keep_latest(df: DataFrame, keys: list[str] | None = None,

@@ -11,21 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkledger.config import (LEDGER_DRIFT_COLUMNS, LEDGER_FEEDS, LEDGER_SCHEMA_VERSION,
-                                restricted_columns)
+from sparkledger.config import (LEDGER_DRIFT_COLUMNS, LEDGER_FEEDS, LEDGER_LAYOUTS,
+                                LEDGER_SCHEMA_VERSION)
 from sparkledger.functions import casts
 from sparkledger.functions.hashing import record_hash
 from sparkledger.operators.conform import conform, union_all_by_name
-from sparkledger.operators.enrich import (attach_assurance, prepare_approvals,
-                                          prepare_suppliers)
-from sparkledger.operators.keys import keep_latest
-from sparkledger.operators.marts import department_totals, gold_metrics, run_summary
-from sparkledger.operators.policy import column_policy, open_layer, row_policy
+from sparkledger.operators.marts import department_totals, run_summary
+from sparkledger.operators.policy import column_policy, row_policy
 from sparkledger.operators.upsert import hash_gated_merge, upsert_latest
 from sparkledger.plans import silver as S
 from sparkledger.sources.files import source_key
-from sparkledger.sources.ledger import (approvals_ledger, feed_frame, spend_ledger,
-                                        supplier_reference)
+from sparkledger.sources.ledger import feed_frame, spend_ledger
+from sparkledger.sources.sinks import stage
 
 # Split point between the "existing" and the "incoming" batch in the upsert queries
 # (a timestamp_ntz, like the ship dates it is compared with: no session time zone).
@@ -38,9 +35,9 @@ COLUMN_POLICY_TOP_K = 50
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _programme_code(df: DataFrame) -> DataFrame:
+def _grant_ref(df: DataFrame) -> DataFrame:
     """Project the drift map to a comparable column."""
-    return (df.withColumn("programme_code", F.element_at("raw_extras", F.lit("Programme Code")))
+    return (df.withColumn("grant_ref", F.element_at("raw_extras", F.lit("Grant Ref")))
               .drop("raw_extras"))
 
 
@@ -100,7 +97,7 @@ def q_scalar_functions(spark, sf_dir):
          .alias("amount_kind"),
         F.coalesce(casts.parse_amount("vat_amount"), F.lit(0).cast("decimal(18,2)"))
          .alias("vat_or_zero"),
-        F.element_at("raw_extras", F.lit("Programme Code")).alias("extra_code"),
+        F.element_at("raw_extras", F.lit("Grant Ref")).alias("extra_code"),
         F.size("raw_extras").alias("extras_size"),
         (F.col("ingested_at").cast("date")).alias("ingested_day"),
     )
@@ -109,10 +106,12 @@ def q_scalar_functions(spark, sf_dir):
 # ---- conform, drift, union --------------------------------------------------------------
 
 def conformed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every mapped department's rows under its own header, conformed back and unioned."""
-    led = spend_ledger(spark, sf_dir)
+    """Every department's rows under its own header, conformed back and unioned.
+
+    The ledger is staged once, by department; each feed reads its own partition."""
+    led = stage(spend_ledger(spark, sf_dir), "ledger", ["source_department"])
     frames = []
-    for dept, mapping in sorted(LEDGER_FEEDS.items()):
+    for dept, mapping in sorted(LEDGER_LAYOUTS.items()):
         raw = feed_frame(led, dept, mapping, LEDGER_DRIFT_COLUMNS.get(dept))
         frames.append(conform(raw, mapping, source_department=dept,
                               schema_version=LEDGER_SCHEMA_VERSION))
@@ -120,21 +119,21 @@ def conformed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_conform_columns(spark, sf_dir):
-    return _programme_code(conformed_feeds(spark, sf_dir)).drop("ingested_at")
+    return _grant_ref(conformed_feeds(spark, sf_dir)).drop("ingested_at")
 
 
 def q_schema_drift_extras(spark, sf_dir):
     return conformed_feeds(spark, sf_dir).select(
         "source_department", "source_file", "transaction_id",
-        F.element_at("raw_extras", F.lit("Programme Code")).alias("programme_code"),
+        F.element_at("raw_extras", F.lit("Grant Ref")).alias("grant_ref"),
         F.size("raw_extras").alias("extras_size"))
 
 
 def q_union_by_name(spark, sf_dir):
-    led = spend_ledger(spark, sf_dir)
+    led = stage(spend_ledger(spark, sf_dir), "ledger", ["source_department"])
     frames = [feed_frame(led, dept, mapping, LEDGER_DRIFT_COLUMNS.get(dept))
               .withColumn("source_department", F.lit(dept))
-              for dept, mapping in sorted(LEDGER_FEEDS.items())]
+              for dept, mapping in sorted(LEDGER_LAYOUTS.items())]
     return union_all_by_name(frames).drop("ingested_at")
 
 
@@ -171,7 +170,7 @@ def q_dedup_latest(spark, sf_dir):
 
 
 def q_silver_build(spark, sf_dir):
-    return _programme_code(S.ledger_silver(spark, sf_dir))
+    return _grant_ref(S.ledger_silver(spark, sf_dir))
 
 
 # ---- joins ----------------------------------------------------------------------------------
@@ -205,24 +204,17 @@ def q_run_summary(spark, sf_dir):
 # ---- policy -----------------------------------------------------------------------------------
 
 def q_open_layer(spark, sf_dir):
-    return _programme_code(S.ledger_open(spark, sf_dir))
-
-
-ANALYST_REPORT_COLUMNS = ["transaction_id", "source_department", "payment_month",
-                          "supplier_name", "amount_gbp", "vat_amount_gbp", "expense_category",
-                          "supplier_category", "cost_centre", "processing_status",
-                          "needs_review"]
+    return _grant_ref(S.ledger_open(spark, sf_dir))
 
 
 def q_column_policy(spark, sf_dir):
-    view = column_policy(S.ledger_assured(spark, sf_dir), "analyst")
-    return (view.select(*ANALYST_REPORT_COLUMNS)
-            .orderBy("payment_month", "transaction_id", "source_department")
+    view = _grant_ref(column_policy(S.ledger_assured(spark, sf_dir), "analyst"))
+    return (view.orderBy("payment_month", "transaction_id", "source_department")
             .limit(COLUMN_POLICY_TOP_K))
 
 
 def q_row_policy(spark, sf_dir):
-    view = row_policy(S.ledger_assured(spark, sf_dir), "source_department", ROW_POLICY_DEPARTMENT)
+    view = row_policy(S.ledger_silver(spark, sf_dir), "source_department", ROW_POLICY_DEPARTMENT)
     return department_totals(view)
 
 

@@ -7,7 +7,7 @@ plain SQL over the driver's tables, so agreement is evidence both sides are righ
 
 from __future__ import annotations
 
-from sparkledger.config import LEDGER_SCHEMA_VERSION
+from sparkledger.config import LEDGER_DRIFT_COLUMNS, LEDGER_LAYOUTS, LEDGER_SCHEMA_VERSION
 
 DATE_FORMATS_SQL = "['%d/%m/%Y', '%Y-%m-%d', '%d-%b-%Y', '%-d/%-m/%Y']"
 
@@ -16,7 +16,7 @@ def money_sql(x: str) -> str:
     t = f"trim({x})"
     value = f"TRY_CAST(regexp_replace({t}, '[^0-9.\\-]', '', 'g') AS DECIMAL(18,2))"
     return (f"(CASE WHEN regexp_matches({t}, '\\..*,') THEN CAST(NULL AS DECIMAL(18,2)) "
-            f"WHEN regexp_matches({t}, '\\(.*\\)') THEN -abs({value}) ELSE {value} END)")
+            f"WHEN regexp_matches({t}, '^[^0-9()]*\\([^()]*[0-9][^()]*\\)[^0-9()]*$') THEN -abs({value}) ELSE {value} END)")
 
 
 def date_sql(x: str) -> str:
@@ -71,13 +71,16 @@ ledger AS (
          ELSE strftime(l_shipdate, '%-d/%-m/%Y') END AS payment_date,
     CASE WHEN l_partkey % 89 = 0 THEN 'INVALID'
          WHEN l_orderkey % 4 = 0 THEN '£' || {fmt_sql('money')}
+         WHEN l_orderkey % 4 = 1 AND l_partkey % 5 = 0 THEN {fmt_sql('money')} || ' (inc VAT)'
+         WHEN l_orderkey % 4 = 1 AND l_partkey % 5 = 1
+           THEN 'GBP ' || {fmt_sql('money')} || ' (refund) (see note)'
          WHEN l_orderkey % 4 = 1 THEN {fmt_sql('money')}
          WHEN l_orderkey % 4 = 2 THEN CAST(money AS VARCHAR)
          ELSE '(' || {fmt_sql('money')} || ')' END AS amount,
     p_type AS expense_category,
     CASE WHEN source_department IN ('africa', 'asia') THEN CAST(vat AS VARCHAR) END AS vat_amount,
     CASE WHEN source_department = 'africa'
-         THEN 'PC-' || CAST(l_partkey % 50 AS VARCHAR) END AS programme_code,
+         THEN 'PC-' || CAST(l_partkey % 50 AS VARCHAR) END AS grant_ref,
     CASE WHEN source_department = 'africa' THEN 1 ELSE 0 END AS extras_size,
     source_department,
     source_department || '_spend_' || strftime(l_shipdate, '%Y_%m') || '.csv' AS source_file,
@@ -91,7 +94,7 @@ routed AS (
   WHERE split_part(source_file, '_spend_', 1) IN ('africa', 'america', 'asia', 'europe')),
 typed0 AS (
   SELECT transaction_id, source_department, source_file, schema_version, expense_category,
-         programme_code, ingested_at,
+         grant_ref, ingested_at,
          supplier_name AS supplier_raw,
          amount AS amount_raw, payment_date AS payment_date_raw,
          {money_sql('amount')} AS amount_gbp,
@@ -118,7 +121,8 @@ typed AS (
 LATEST_ORDER = ("ingested_at DESC NULLS LAST, record_hash DESC NULLS LAST, "
                 "payment_date DESC NULLS LAST, amount_gbp DESC NULLS LAST, "
                 "supplier_name DESC NULLS LAST, expense_category DESC NULLS LAST, "
-                "vat_amount_gbp DESC NULLS LAST, source_file DESC NULLS LAST")
+                "vat_amount_gbp DESC NULLS LAST, source_file DESC NULLS LAST, "
+                "grant_ref DESC NULLS LAST")
 
 
 def latest_sql(source: str) -> str:
@@ -129,7 +133,7 @@ def latest_sql(source: str) -> str:
 
 SILVER_COLS_SQL = ("record_hash, transaction_id, source_department, department_group, "
                    "payment_month, payment_date, supplier_name, amount_gbp, vat_amount_gbp, "
-                   "expense_category, needs_review, programme_code, schema_version, "
+                   "expense_category, needs_review, grant_ref, schema_version, "
                    "source_file, ingested_at")
 
 SILVER_CTES = TYPED_CTES + f""",
@@ -138,7 +142,8 @@ silver AS ({latest_sql('valid')})"""
 
 ASSURED_CTES = SILVER_CTES + """,
 appr_raw AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
+  SELECT CASE WHEN l.l_orderkey % 20 < 17 THEN '' ELSE 'old/' END
+           || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
          'CC-' || CAST(l.l_partkey % 40 AS VARCHAR) AS cost_centre,
          replace(lower(c.c_name), 'customer#', 'approver.') AS approver,
          'owner-' || CAST(c.c_nationkey AS VARCHAR) AS budget_owner,
@@ -147,8 +152,7 @@ appr_raw AS (
               WHEN o.o_orderpriority = '5-LOW' THEN 'Rejected' END AS processing_status,
          'order status ' || o.o_orderstatus AS internal_notes
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE l.l_orderkey % 20 < 17),
+  JOIN customer c ON o.o_custkey = c.c_custkey),
 approvals AS (
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
     ORDER BY cost_centre ASC NULLS LAST, approver ASC NULLS LAST, budget_owner ASC NULLS LAST,
@@ -156,12 +160,13 @@ approvals AS (
   FROM appr_raw) WHERE rn = 1),
 supp_raw AS (
   SELECT """ + initcap_sql(
+    "CASE WHEN s_suppkey % 7 = 0 THEN 'formerly ' ELSE '' END || "
     "CASE WHEN s_suppkey % 3 = 0 THEN '  ' || upper(s_name) || ' ' "
     "WHEN s_suppkey % 3 = 1 THEN lower(s_name) ELSE s_name || ' trading ltd' END") + """ AS supplier_name,
          'Tier ' || CAST(s_nationkey % 3 + 1 AS VARCHAR) AS supplier_category,
          CASE WHEN s_acctbal < 0 THEN 'High' WHEN s_acctbal < 5000 THEN 'Medium' ELSE 'Low' END AS risk_rating,
          'checked nation ' || CAST(s_nationkey AS VARCHAR) AS due_diligence_notes
-  FROM supplier WHERE s_suppkey % 7 <> 0),
+  FROM supplier),
 suppliers AS (
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY supplier_name
     ORDER BY supplier_category ASC NULLS LAST, risk_rating ASC NULLS LAST,
@@ -205,6 +210,21 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
 
 
+def union_sql() -> str:
+    """Every region's rows under its own headers, the others' headers NULL."""
+    headers: list[str] = []
+    for region in sorted(LEDGER_LAYOUTS):
+        names = [*LEDGER_LAYOUTS[region], *LEDGER_DRIFT_COLUMNS.get(region, [])]
+        headers += [h for h in names if h not in headers]
+    parts = []
+    for region, mapping in sorted(LEDGER_LAYOUTS.items()):
+        own = {**mapping, **{d: "grant_ref" for d in LEDGER_DRIFT_COLUMNS.get(region, [])}}
+        cols = ", ".join(f'CAST({own.get(h, "NULL")} AS VARCHAR) AS "{h}"' for h in headers)
+        parts.append(f"SELECT {cols}, source_file, source_department FROM ledger "
+                     f"WHERE source_department = '{region}'")
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["gold_metrics"] = _with(SILVER_CTES, gold_sql("silver"))
@@ -229,39 +249,19 @@ def oracle_sql() -> dict[str, str]:
   strftime({date_sql('payment_date')}, '%Y-%m') AS payment_month,
   CASE WHEN {amount_try} IS NULL THEN 'none' WHEN trim(amount) LIKE '(%)' THEN 'credit' ELSE 'debit' END AS amount_kind,
   coalesce({money_sql('vat_amount')}, CAST(0 AS DECIMAL(18,2))) AS vat_or_zero,
-  programme_code AS extra_code,
+  grant_ref AS extra_code,
   CAST(extras_size AS INTEGER) AS extras_size,
   CAST(ingested_at AS DATE) AS ingested_day
 FROM ledger""")
     conformed = ("SELECT trim(transaction_id) AS transaction_id, supplier_name, payment_date, amount, "
-                 "expense_category, vat_amount, programme_code, extras_size, source_department, "
-                 f"'{LEDGER_SCHEMA_VERSION}' AS schema_version, source_file FROM ledger "
-                 "WHERE source_department IN ('africa', 'america', 'asia', 'europe')")
+                 "expense_category, vat_amount, grant_ref, extras_size, source_department, "
+                 f"'{LEDGER_SCHEMA_VERSION}' AS schema_version, source_file FROM ledger")
     q["conform_columns"] = _with(LEDGER_CTES + f",\nconformed AS ({conformed})",
                                  "SELECT * EXCLUDE (extras_size) FROM conformed")
     q["schema_drift_extras"] = _with(LEDGER_CTES + f",\nconformed AS ({conformed})",
-                                     "SELECT source_department, source_file, transaction_id, programme_code, "
+                                     "SELECT source_department, source_file, transaction_id, grant_ref, "
                                      "CAST(extras_size AS INTEGER) AS extras_size FROM conformed")
-    q["union_by_name"] = _with(LEDGER_CTES, """
-SELECT transaction_id, supplier_name, payment_date, amount, expense_category AS expense_area,
-       vat_amount AS "VAT", programme_code AS "Programme Code",
-       NULL::VARCHAR AS "Ref", NULL::VARCHAR AS "Vendor", NULL::VARCHAR AS "Payment Date",
-       NULL::VARCHAR AS "Gross (£)", NULL::VARCHAR AS "Cost Centre",
-       NULL::VARCHAR AS "Invoice ID", NULL::VARCHAR AS "Supplier", NULL::VARCHAR AS "Date Paid",
-       NULL::VARCHAR AS "Amount Paid", NULL::VARCHAR AS "Category",
-       source_file, source_department
-FROM ledger WHERE source_department = 'africa'
-UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-       transaction_id, supplier_name, payment_date, amount, expense_category,
-       NULL, NULL, NULL, NULL, NULL, source_file, source_department
-FROM ledger WHERE source_department = 'america'
-UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, CASE WHEN source_department = 'asia' THEN vat_amount END, NULL,
-       NULL, NULL, NULL, NULL, NULL,
-       transaction_id, supplier_name, payment_date, amount, expense_category,
-       source_file, source_department
-FROM ledger WHERE source_department IN ('asia', 'europe')""")
+    q["union_by_name"] = _with(LEDGER_CTES, union_sql())
     q["record_hash"] = _with(TYPED_CTES, "SELECT transaction_id, source_department, payment_date, amount_gbp, record_hash FROM typed")
     q["rejection_reasons"] = _with(TYPED_CTES, "SELECT source_file, transaction_id, amount_raw AS raw_amount, payment_date_raw AS raw_date, rejection_reason FROM typed")
     q["quarantine_split"] = _with(TYPED_CTES, "SELECT source_file, source_department, transaction_id, amount_raw AS raw_amount, payment_date_raw AS raw_date, rejection_reason, ingested_at FROM typed WHERE rejection_reason IS NOT NULL")
@@ -281,13 +281,12 @@ FROM ledger WHERE source_department IN ('asia', 'europe')""")
 FROM typed GROUP BY source_file, source_department""")
     q["open_layer"] = _with(ASSURED_CTES, f"""SELECT {SILVER_COLS_SQL}, cost_centre, processing_status,
   supplier_category, missing_approval FROM assured""")
-    q["column_policy"] = _with(ASSURED_CTES, """SELECT transaction_id, source_department, payment_month,
-  supplier_name, amount_gbp, vat_amount_gbp, expense_category, supplier_category, cost_centre,
-  processing_status, needs_review
+    q["column_policy"] = _with(ASSURED_CTES, f"""SELECT {SILVER_COLS_SQL}, cost_centre, processing_status,
+  supplier_category, missing_approval
 FROM assured ORDER BY payment_month, transaction_id, source_department LIMIT 50""")
-    q["row_policy"] = _with(ASSURED_CTES, """SELECT source_department, count(*) AS rows_visible,
+    q["row_policy"] = _with(SILVER_CTES, """SELECT source_department, count(*) AS rows_visible,
   CAST(sum(amount_gbp) AS DECIMAL(38,2)) AS total_spend
-FROM assured WHERE source_department = 'asia' GROUP BY source_department ORDER BY source_department""")
+FROM silver WHERE source_department = 'asia' GROUP BY source_department ORDER BY source_department""")
     q["upsert_latest"] = _with(UPSERT_CTES + ",\nboth_batches AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming)",
                                f"SELECT {UPSERT_OUTPUT_SQL} FROM ({latest_sql("both_batches")})")
     pick = ("(s.transaction_id IS NOT NULL AND (t.transaction_id IS NULL "

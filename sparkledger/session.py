@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,8 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names a shared folder there; we only set our own when it is unset, which
-    happens in local tests and benchmarks.
+    A cluster names a shared folder there. Only on a ``local`` master, where driver and
+    executors share one machine, is a folder of our own made if none is named.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -40,6 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share: "
+                           f"master is {spark.sparkContext.master}")
     local = tempfile.mkdtemp(prefix="sparkledger-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

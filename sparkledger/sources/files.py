@@ -1,16 +1,21 @@
 """Feed files: listing with content fingerprints, routing, header grouping and CSV scans.
 
-File listing is one distributed ``binaryFile`` pass producing, per file, its content
-MD5 and header line; files are then grouped by (source, header) so each group is read
-by ONE multi-file CSV scan (never one plan per file, and never applying one file's
-header to a file with a different layout).
+Listing is one distributed text pass over the feed files, the same for every file size:
+each task reports, per file block, the first line that is not blank and sums over the
+hashes of its lines, so a file of any size costs one row a block. Files are then grouped
+by (source, header) so each group is read by ONE multi-file CSV scan (never one plan per
+file, and never applying one file's header to a file with a different layout).
 """
 
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +23,16 @@ from sparkledger.operators.conform import conform, union_all_by_name
 from sparkledger.operators.keys import keep_one
 
 SPEND_MARKER = "_spend_"
-HEADER_PROBE_BYTES = 65536
+
+
+def plain_path(path: Column) -> Column:
+    """``_metadata.file_path`` with its URL escapes undone: the file's own name."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def source_key(path: Column) -> Column:
     """File basename text before the first ``_spend_``; the whole basename without it."""
-    base = F.element_at(F.split(path, "/"), -1)
-    return F.element_at(F.split(base, SPEND_MARKER, 2), 1)
+    return F.element_at(F.split(base_name(path), SPEND_MARKER, 2), 1)
 
 
 def base_name(path: Column) -> Column:
@@ -36,90 +44,87 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(base_name(path), r"\.[^.]*$", "")
 
 
-def describe_files(binary: DataFrame, hash_content: bool = True) -> DataFrame:
-    """``binaryFile`` rows -> path, file_name, source_key, length, modified, file_hash, header.
-
-    ``hash_content`` fingerprints the bytes (MD5; a renamed copy is recognised). With
-    ``False`` the identity is (path, length, modification time), which avoids loading
-    very large files whole. The header comes from the first bytes only either way.
-    """
-    # The byte prefix may end inside a multi-byte character; a cast (unlike decode)
-    # does not validate, and only the text before the first newline is kept.
-    head = F.substring(F.col("content"), 1, HEADER_PROBE_BYTES).cast("string")
-    header = F.regexp_replace(F.substring_index(head, "\n", 1), "\r$", "")
-    if hash_content:
-        fingerprint = F.md5(F.col("content"))
-    else:
-        fingerprint = F.sha2(F.concat_ws("|", F.col("path"), F.col("length").cast("string"),
-                                         F.col("modificationTime").cast("string")), 256)
-    return binary.select(
-        F.col("path"),
-        base_name(F.col("path")).alias("file_name"),
-        source_key(F.col("path")).alias("source_key"),
-        F.col("length"),
-        F.col("modificationTime").alias("modified"),
-        fingerprint.alias("file_hash"),
-        header.alias("header"),
-    )
-
-
-# Files up to this size are fingerprinted by content; larger ones by metadata.
-DEFAULT_MAX_HASH_BYTES = 256 * 1024 * 1024
-
-
-def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header): each file's first line from a distributed text read.
-
-    Only the split that starts at offset 0 of each file is kept, so all candidate rows
-    of a file come from one task, in file order; the earliest is its first line.
-    """
-    text = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("_start"))
-    return (text.filter(F.col("_start") == 0)
-            .withColumn("_pos", F.monotonically_increasing_id())
-            .groupBy("path").agg(F.min_by("value", "_pos").alias("header")))
-
-
-def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv",
-                    hash_content: bool = True,
-                    max_hash_bytes: int = DEFAULT_MAX_HASH_BYTES) -> DataFrame:
-    """One row per feed file under ``raw_dir`` (see :func:`describe_files`).
-
-    Files up to ``max_hash_bytes`` get a content MD5. Larger files (or every file with
-    ``hash_content=False``) are listed without reading their bytes (the ``length``
-    filter is pushed into the binaryFile scan): identity is (path, length, modification
-    time) and the header comes from :func:`first_lines`.
-    """
-    binary = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(raw_dir)
-    return describe_listing(binary, hash_content, max_hash_bytes)
-
-
-def describe_listing(binary: DataFrame, hash_content: bool = True,
-                     max_hash_bytes: int = DEFAULT_MAX_HASH_BYTES) -> DataFrame:
-    """Size-aware :func:`describe_files` over a binaryFile listing (batch or one
-    micro-batch): only files up to ``max_hash_bytes`` have their bytes read."""
-    spark = binary.sparkSession
-    limit = max_hash_bytes if hash_content else -1
-    small = describe_files(binary.filter(F.col("length") <= F.lit(limit)), True)
-    large = binary.filter(F.col("length") > F.lit(limit)).select("path", "length", "modificationTime")
-    large_paths = [r[0] for r in large.select("path").collect()]
-    if not large_paths:
-        return small
-    if limit < 0:
-        small = None  # every file is "large": the plan never reads file bytes
-    fingerprint = F.sha2(F.concat_ws("|", F.col("path"), F.col("length").cast("string"),
-                                     F.col("modificationTime").cast("string")), 256)
-    described = large.join(first_lines(spark, large_paths), "path", "left").select(
-        F.col("path"),
-        base_name(F.col("path")).alias("file_name"),
-        source_key(F.col("path")).alias("source_key"),
-        F.col("length"),
-        F.col("modificationTime").alias("modified"),
-        fingerprint.alias("file_hash"),
-        F.coalesce(F.regexp_replace(F.col("header"), "\r$", ""), F.lit("")).alias("header"),
-    )
-    return described if small is None else small.unionByName(described)
+def file_lines(text: DataFrame) -> DataFrame:
+    """The lines of a text scan (batch or stream) with what listing needs of their file.
+
+    The text reader splits lines as the CSV reader does (LF, CRLF or CR) and drops a BOM."""
+    meta = F.col("_metadata")
+    return text.select("value", meta["file_path"].alias("path"),
+                       meta["file_block_start"].alias("block"),
+                       meta["file_size"].alias("length"),
+                       meta["file_modification_time"].alias("modified"))
+
+
+_BLOCKS = ("path string, block bigint, length bigint, modified timestamp, lines bigint, "
+           "sum1 bigint, sum2 bigint, xor1 bigint, xor2 bigint, first string")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each run of lines of one file block: counts, wrapping sums and xors of
+    two line hashes, and the first line that is not blank."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path = pc.dictionary_encode(batch.column("path")).indices.to_numpy()
+        block = batch.column("block").to_numpy()
+        new = np.ones(len(path), bool)
+        new[1:] = (path[1:] != path[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(new)
+        h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
+        filled = np.flatnonzero(batch.column("filled").to_numpy(zero_copy_only=False))
+        place = np.searchsorted(filled, at)
+        ends = np.append(at[1:], len(path))
+        first = [int(filled[p]) if p < len(filled) and filled[p] < e else None
+                 for p, e in zip(place, ends, strict=True)]
+        take = pa.array(at)
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(take) for c in ("path", "block", "length", "modified")),
+             pa.array((ends - at).astype(np.int64)),
+             pa.array(np.add.reduceat(h1, at)), pa.array(np.add.reduceat(h2, at)),
+             pa.array(np.bitwise_xor.reduceat(h1, at)), pa.array(np.bitwise_xor.reduceat(h2, at)),
+             batch.column("value").take(pa.array(first, pa.int64()))],
+            names=["path", "block", "length", "modified", "lines", "sum1", "sum2", "xor1",
+                   "xor2", "first"])
+
+
+def describe_files(lines: DataFrame) -> DataFrame:
+    """``file_lines`` -> path, file_name, source_key, length, modified, file_hash, header.
+
+    ``file_hash`` is a fingerprint of the content alone (header, size, number of lines, and
+    sums and xors of two 64-bit line hashes): a renamed copy has the same one, whatever the
+    file's size and however it was split. ``header`` is the whole first line that is not
+    blank, as the CSV reader takes it. A file without any line is not listed."""
+    value = F.col("value")
+    hashed = lines.select("path", "block", "length", "modified", "value",
+                          F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(7), value).alias("h2"),
+                          (F.trim(value) != "").alias("filled"))
+    blocks = hashed.mapInArrow(_blocks, _BLOCKS)
+    wide = "decimal(38,0)"
+    # a block's runs are in line order within one task: number them, so ties keep it
+    numbered = blocks.withColumn("_run", F.monotonically_increasing_id())
+    per = numbered.groupBy("path").agg(
+        F.max("length").alias("length"), F.max("modified").alias("modified"),
+        F.sum("lines").alias("lines"),
+        *[F.pmod(F.sum(F.col(c).cast(wide)), F.lit(str(2 ** 64)).cast(wide)).alias(c)
+          for c in ("sum1", "sum2")],
+        *[F.bit_xor(c).alias(c) for c in ("xor1", "xor2")],
+        F.min_by("first", F.when(F.col("first").isNotNull(), F.struct("block", "_run")))
+        .alias("first"))
+    header = F.coalesce("first", F.lit(""))
+    path = plain_path(F.col("path"))
+    return per.select(
+        path.alias("path"), base_name(path).alias("file_name"),
+        source_key(path).alias("source_key"), "length", "modified",
+        F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in
+                                  ("length", "lines", "sum1", "sum2", "xor1", "xor2")], header),
+               256).alias("file_hash"),
+        header.alias("header"))
+
+
+def list_feed_files(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:
+    """One row per feed file under ``raw_dir`` (see :func:`describe_files`)."""
+    text = spark.read.option("pathGlobFilter", pattern).text(raw_dir)
+    return describe_files(file_lines(text))
 
 
 def distinct_contents(files: DataFrame) -> DataFrame:
@@ -158,39 +163,45 @@ CORRUPT_RECORD = "_corrupt_record"
 
 
 def header_columns(header: str) -> list[str]:
-    """Column names from a CSV header line (quoted names allowed). Empty names become
-    ``_c<i>`` and repeated names get their position appended, so every name is unique."""
-    names = next(csv.reader([header])) if header else []
-    seen = {n for n in names}
-    out = []
+    """Column names from a CSV header line (quoted names allowed), as the CSV reader makes
+    them: empty names become ``_c<i>``, and names that differ at most by case get their
+    position appended."""
+    names = next(csv.reader([header]), []) if header else []
+    lower = [n.lower() for n in names]
+    seen, out = set(lower), []
     for i, name in enumerate(names):
         if not name:
             name = f"_c{i}"
-        elif names.count(name) > 1 or name == CORRUPT_RECORD:
+        elif lower.count(lower[i]) > 1 or lower[i] == CORRUPT_RECORD:
             name = f"{name}{i}"
-            while name in seen:
+            while name.lower() in seen:
                 name = f"{name}_"
+        seen.add(name.lower())
         out.append(name)
     return out
 
 
+_GLOB = str.maketrans({c: "\\" + c for c in "\\*?[]{}"})
+
+
 def read_csv_strings(spark: SparkSession, paths: list[str] | str, multiline: bool = False,
                      columns: list[str] | None = None) -> DataFrame:
     """Header CSV, UTF-8, every column a string; file lineage from ``_metadata``.
 
     Malformed rows are kept (PERMISSIVE) so quality rules, not the reader, decide. With
-    ``columns`` (the layout's header) the schema is explicit and a row with too many or
-    too few fields keeps its raw text in ``_corrupt_record`` instead of being silently
-    truncated or padded.
+    ``columns`` (the layout's header) the schema is explicit, paths are plain names without
+    globs, and a row with too many or too few fields keeps its raw text in
+    ``_corrupt_record`` instead of being silently truncated or padded.
     """
     reader = (spark.read.option("header", True).option("encoding", "UTF-8")
               .option("inferSchema", False).option("mode", "PERMISSIVE")
               .option("multiLine", multiline))
+    paths = [paths] if isinstance(paths, str) else list(paths)
     if columns is not None:
         schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT_RECORD])
         reader = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+        paths = [p.translate(_GLOB) for p in paths]
+    return reader.csv(paths).withColumn("source_file", plain_path(F.col("_metadata.file_path")))
 
 
 def read_feeds(spark: SparkSession, groups: list[FileGroup], mappings: dict[str, dict[str, str]],

@@ -101,6 +101,9 @@ def spend_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(F.date_format(ship, "d/M/yyyy")))
     amount = (F.when(pk % 89 == 0, F.lit("INVALID"))
               .when(ok % 4 == 0, F.concat(F.lit("£"), _money_text(money)))
+              .when((ok % 4 == 1) & (pk % 5 == 0), F.concat(_money_text(money), F.lit(" (inc VAT)")))
+              .when((ok % 4 == 1) & (pk % 5 == 1), F.concat(F.lit("GBP "), _money_text(money),
+                                                            F.lit(" (refund) (see note)")))
               .when(ok % 4 == 1, _money_text(money))
               .when(ok % 4 == 2, money.cast("string"))
               .otherwise(F.concat(F.lit("("), _money_text(money), F.lit(")"))))
@@ -108,7 +111,7 @@ def spend_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     drift_depts = sorted(LEDGER_DRIFT_COLUMNS)
     extras = F.when(dept.isin(drift_depts),
-                    F.create_map(F.lit("Programme Code"),
+                    F.create_map(F.lit("Grant Ref"),
                                  F.concat(F.lit("PC-"), (pk % 50).cast("string")))
                     ).otherwise(F.create_map().cast("map<string,string>"))
 
@@ -129,10 +132,8 @@ def spend_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def approvals_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approvals for most transactions (order key mod 20 below 17), with repeats per id."""
-    li = (read_table(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_linenumber", "l_partkey")
-          .filter(F.col("l_orderkey") % 20 < 17))
+    """One approval per line; those of some orders carry an id that no transaction has."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -143,7 +144,8 @@ def approvals_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(prio == "3-MEDIUM", F.lit("Pending"))
               .when(prio == "5-LOW", F.lit("Rejected")))
     return rows.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
+        F.concat(F.when(F.col("l_orderkey") % 20 < 17, F.lit("")).otherwise(F.lit("old/")),
+                 F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.concat(F.lit("CC-"), (F.col("l_partkey") % 40).cast("string")).alias("cost_centre"),
         F.replace(F.lower(F.col("c_name")), F.lit("customer#"), F.lit("approver.")).alias("approver"),
@@ -154,13 +156,13 @@ def approvals_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier risk reference (raw spelling; most suppliers, not all)."""
-    s = (read_table(spark, sf_dir, "supplier")
-         .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-         .filter(F.col("s_suppkey") % 7 != 0))
+    """Supplier risk reference (raw spelling; some under a name that no feed uses)."""
+    s = read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     bal = F.col("s_acctbal")
     return s.select(
-        supplier_text(F.col("s_suppkey"), F.col("s_name")).alias("supplier_name"),
+        F.concat(F.when(F.col("s_suppkey") % 7 == 0, F.lit("formerly ")).otherwise(F.lit("")),
+                 supplier_text(F.col("s_suppkey"), F.col("s_name"))).alias("supplier_name"),
         F.concat(F.lit("Tier "), (F.col("s_nationkey") % 3 + 1).cast("string")).alias("supplier_category"),
         F.when(bal < 0, F.lit("High")).when(bal < 5000, F.lit("Medium")).otherwise(F.lit("Low"))
          .alias("risk_rating"),

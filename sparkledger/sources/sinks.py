@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from sparkledger.session import scratch_path
 
@@ -57,14 +57,24 @@ def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None,
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def read_parquet_or_none(spark: SparkSession, path: str,
+                         schema: StructType | None = None) -> DataFrame | None:
+    """The table, or None if its folder does not exist; any other failure to read it is
+    raised. With ``schema`` nothing is inferred: partition values keep their text (``007``),
+    and a folder without rows is an empty table."""
+    if not path_exists(spark, path):
         return None
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def ensure_table(spark: SparkSession, name: str, like: DataFrame,

@@ -1,79 +1,105 @@
-import hashlib
-import re
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from feeds import FIRST_RUN, landing
-from sparkledger.sources.files import (distinct_contents, list_feed_files, plan_groups,
-                                       source_key, split_routable)
+from sparkledger.sources.files import (distinct_contents, header_columns, list_feed_files,
+                                       plan_groups, read_csv_strings, source_key, split_routable)
 from sparkledger.sources.manifest import append_manifest, load_manifest, unprocessed
 
+PARKS = "Nr,Firm,Sum\n7,Oak & Sons,12.50\n8,Elm,3\n"
 
-def test_source_key_from_filename(spark):
-    df = spark.createDataFrame([("/x/cabinet_office_spend_2026_05_schemadrift.csv",),
-                                ("/x/mod_spend_2026_05_malformed.csv",), ("s3://b/p/dhsc_spend_2026_04.csv",),
-                                ("/x/no_marker.csv",)], "p string")
-    assert [r[0] for r in df.select(source_key(F.col("p"))).collect()] == \
-        ["cabinet_office", "mod", "dhsc", "no_marker.csv"]
 
+def _put(folder, files):
+    os.makedirs(folder, exist_ok=True)
+    for name, data in files.items():
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(data if isinstance(data, bytes) else data.encode("utf-8"))
+    return str(folder)
 
-def test_listing_fingerprints_and_headers(spark, tmp_path):
-    raw, _, _ = landing(tmp_path)
+
+@pytest.mark.parametrize("path, key", [
+    ("hdfs://n/lake/parks_spend_1999_12.csv", "parks"), ("/a/river_trust_spend_q1_spend_2.csv", "river_trust"),
+    ("plain.csv", "plain.csv"), ("/x/_spend_2020.csv", "")])
+def test_source_key_is_the_text_before_the_marker(spark, path, key):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.select(source_key(F.col("p"))).first()[0] == key
+
+
+def test_every_kind_of_file_is_listed_and_read_by_its_own_header(spark, tmp_path):
+    wide = ",".join(f"column number {i}" for i in range(9000))
+    raw = _put(tmp_path / "raw folder", {
+        "parks_spend_2026 04.csv": b"\xef\xbb\xbf" + PARKS.encode(),  # BOM, space
+        "parks_spend_\u00a3+5%20.csv": PARKS,                           # sign, plus, percent
+        "cr_spend_1.csv": "Nr,Firm,FIRM\r1,a,b\r2,c,d\r",              # CR ends, case variants
+        "gap_spend_1.csv": "\n   \r\nNr,Firm\r\n5,x\r\n",              # blank first lines
+        "wide_spend_1.csv": f"{wide}\n" + ",".join("v" * 9000) + "\n",
+        "head_spend_1.csv": "Nr,Firm\n", "void_spend_1.csv": ""})
     files = {r.file_name: r for r in list_feed_files(spark, raw).collect()}
-    assert set(files) == set(FIRST_RUN)
-    for name, text in FIRST_RUN.items():
-        assert files[name].file_hash == hashlib.md5(text.encode("utf-8")).hexdigest()
-        assert files[name].header == text.splitlines()[0]
-    routable, parked = split_routable(list_feed_files(spark, raw), ["cabinet_office", "mod", "dhsc"])
-    assert [r.file_name for r in parked.collect()] == ["unknown_spend_2026_04.csv"]
-    groups = plan_groups(routable)
-    # cabinet_office has two layouts (drift), so it is read as two groups.
-    assert sorted((g.source, len(g.paths)) for g in groups) == \
-        [("cabinet_office", 1), ("cabinet_office", 1), ("dhsc", 1), ("mod", 2)]
+    assert "void_spend_1.csv" not in files and len(files) == 6
+    assert files["gap_spend_1.csv"].header == "Nr,Firm"
+    assert files["wide_spend_1.csv"].header == wide
+    assert files["parks_spend_2026 04.csv"].header == "Nr,Firm,Sum"
+    got = {}
+    for g in plan_groups(list_feed_files(spark, raw)):
+        df = read_csv_strings(spark, list(g.paths), columns=header_columns(g.header))
+        for r in df.collect():
+            assert r["_corrupt_record"] is None
+            got.setdefault(r.source_file.rsplit("/", 1)[-1], []).append(tuple(r)[:3])
+    assert got["parks_spend_2026 04.csv"] == got["parks_spend_\u00a3+5%20.csv"] == [
+        ("7", "Oak & Sons", "12.50"), ("8", "Elm", "3")]
+    assert got["cr_spend_1.csv"] == [("1", "a", "b"), ("2", "c", "d")]
+    assert len(got["gap_spend_1.csv"]) == 1 and got["wide_spend_1.csv"] == [("v", "v", "v")]
 
 
-def test_identical_copies_are_processed_once(spark, tmp_path):
-    raw, _, _ = landing(tmp_path)
-    with open(os.path.join(raw, "dhsc_spend_2026_04_copy.csv"), "w") as fh:
-        fh.write(FIRST_RUN["dhsc_spend_2026_04.csv"])
-    names = [r.file_name for r in distinct_contents(list_feed_files(spark, raw)).collect()]
-    assert len(names) == len(FIRST_RUN)
-    assert "dhsc_spend_2026_04.csv" in names
+def test_fingerprint_depends_on_content_alone(spark, tmp_path):
+    lines = [f"{i},firm {i % 50},{i}.25" for i in range(30000)]
+    big = "Nr,Firm,Sum\n" + "\n".join(lines) + "\n"
+    raw = _put(tmp_path / "raw", {
+        "a_spend_1.csv": big, "b_spend_other name.csv": big,
+        "c_spend_1.csv": big.replace("17.25", "17.26"), "d_spend_1.csv": big[:-2] + "6\n",
+        "e_spend_1.csv": big.replace("Firm", "Firn")})
+    split = list_feed_files(spark, raw)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # many blocks a file
+    try:
+        cut = {r.file_name: r.file_hash for r in list_feed_files(spark, raw).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = {r.file_name: r.file_hash for r in split.collect()}
+    assert cut == whole
+    assert whole["a_spend_1.csv"] == whole["b_spend_other name.csv"]
+    assert len(set(whole.values())) == 4
 
 
-def test_manifest_records_and_detects_processed_files(spark, tmp_path):
-    path = str(tmp_path / "manifest")
-    assert load_manifest(spark, path).count() == 0
+def test_layouts_are_read_apart_and_unmapped_sources_are_parked(spark, tmp_path):
     raw, _, _ = landing(tmp_path)
-    files = list_feed_files(spark, raw)
-    row = files.filter(F.col("file_name") == "mod_spend_2026_04.csv").select(
-        F.col("file_name").alias("source_file"), "file_hash", F.lit(1).cast("bigint").alias("rows_valid"),
-        F.lit(0).cast("bigint").alias("rows_rejected"), F.current_timestamp().alias("processed_at"))
-    append_manifest(row, path)
-    left = [r.file_name for r in unprocessed(files, load_manifest(spark, path)).collect()]
-    assert "mod_spend_2026_04.csv" not in left and len(left) == len(FIRST_RUN) - 1
+    routable, parked = split_routable(list_feed_files(spark, raw), ["cabinet_office", "mod", "dhsc"])
+    assert [r.file_name for r in parked.collect()] == ["unknown_spend_2026_04.csv"]
+    sizes = {}
+    for g in plan_groups(routable):
+        sizes.setdefault(g.source, []).append(len(g.paths))
+    assert sizes == {"cabinet_office": [1, 1], "dhsc": [1], "mod": [2]}
 
 
-def test_header_columns_parse_quotes_blanks_and_repeats():
-    from sparkledger.sources.files import header_columns
-    assert header_columns('Ref,"Gross (£), net",Vendor') == ["Ref", "Gross (£), net", "Vendor"]
-    assert header_columns("a,,a") == ["a0", "_c1", "a2"]
+def test_copies_and_recorded_contents_are_left_out(spark, tmp_path):
+    raw = _put(tmp_path / "raw", {"parks_spend_1.csv": PARKS, "parks_spend_2.csv": PARKS,
+                                  "parks_spend_3.csv": PARKS + "9,Ash,1\n"})
+    files = list_feed_files(spark, raw)
+    assert sorted(r.file_name for r in distinct_contents(files).collect()) == [
+        "parks_spend_1.csv", "parks_spend_3.csv"]
+    path = str(tmp_path / "audit")
+    assert load_manifest(spark, path).isEmpty()
+    done = files.filter(F.col("file_name") == "parks_spend_2.csv").select(
+        F.col("file_name").alias("source_file"), "file_hash", F.lit(2).cast("bigint").alias("rows_valid"),
+        F.lit(0).cast("bigint").alias("rows_rejected"), F.current_timestamp().alias("processed_at"))
+    append_manifest(done, path)
+    left = unprocessed(files, load_manifest(spark, path)).collect()
+    assert [r.file_name for r in left] == ["parks_spend_3.csv"]
 
 
-def test_large_files_are_listed_without_reading_their_bytes(spark, tmp_path):
-    raw, _, _ = landing(tmp_path)
-    small_only = {r.file_name: r for r in list_feed_files(spark, raw).collect()}
-    mixed = {r.file_name: r for r in list_feed_files(spark, raw, max_hash_bytes=60).collect()}
-    assert set(mixed) == set(small_only)
-    for name, r in mixed.items():
-        assert r.header == small_only[name].header
-        if r.length > 60:
-            assert len(r.file_hash) == 64  # metadata identity (sha-256), not content md5
-        else:
-            assert r.file_hash == small_only[name].file_hash
-    meta = list_feed_files(spark, raw, hash_content=False)
-    assert all(len(r.file_hash) == 64 for r in meta.collect())
-    plan = meta._jdf.queryExecution().executedPlan().toString()
-    schemas = [m for m in re.findall(r"ReadSchema: struct<[^>]*>", plan) if "length" in m]
-    assert schemas and all("content" not in m for m in schemas)
+def test_header_names_are_unique_whatever_their_case():
+    assert header_columns('Nr,"Sum, net",Firm') == ["Nr", "Sum, net", "Firm"]
+    assert header_columns("k,,K") == ["k0", "_c1", "K2"]
+    assert header_columns("") == []
