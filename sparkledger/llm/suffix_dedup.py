@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import id_and_text, partitions, staged, table
-from .sketches import FLUSH, repeated, sketch
+from .sketches import repeated, sketch
 
 LENGTH = 400
 GRAM = 32
@@ -38,6 +38,8 @@ SPAN = 128
 ROUNDS = 2
 #: Bits of the fixed-size filter of contested inner parts, and its probes.
 CONTESTED_BITS = 27
+#: Rows summed up at once.
+FLUSH = 1 << 18
 _BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _SEED = 301
 _NO_ID = (1 << 63) - 1
