@@ -26,9 +26,13 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
                   .distinct(), "links")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-                 .first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Every node hangs from at most one node, and none from a node that hangs itself."""
+    roots = edges.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    leaves = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"))
+    return roots.unionByName(leaves).groupBy("node") \
+        .agg(F.sum("up").alias("up"), F.min("up").alias("least")) \
+        .filter((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("least") == 0))).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,12 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(links.filter(F.col("a") != F.col("b"))
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .distinct(), "links")
-    before = _state(edges)
-    while before[0]:
+    while not _is_forest_of_stars(edges):
         edges = _star(_star(edges, False), True)
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

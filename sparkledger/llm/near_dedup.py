@@ -25,6 +25,12 @@ SHINGLE = 5
 PERCENT = 75
 #: 28 bands of 4 slots: a pair at the threshold is missed with probability 2e-5.
 BANDS, ROWS = 28, 4
+#: Slots in all; the bands take the first ones, the estimate of a similarity all of them.
+SLOTS = 224
+#: Pairs of a lower estimate are not confirmed: 3 standard deviations below the threshold.
+SLACK = 0.09
+#: Members of a bucket that are compared with each other in one task.
+BLOCK = 512
 _SEED = 101
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -107,18 +113,99 @@ def _set_sums(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int):
+def _signatures(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int,
+                slots: int):
     for block in K.text_blocks(batches, "text"):
         values, offsets = shingle_sets(block, shingle)
         n = np.diff(offsets)
-        keys = _band_keys(superminhash(values, offsets, bands * rows), bands, rows)
+        signed = superminhash(values, offsets, slots)
+        keys = _band_keys(signed[:, :bands * rows], bands, rows)
+        short = K.mix(signed).astype(np.uint8)  # a byte a slot is enough for an estimate
         f1, f2 = _set_sums(values, offsets)
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(n) + 1, dtype=np.int32) * bands),
             pa.array(keys.ravel().view(np.int64)))
         yield pa.RecordBatch.from_arrays(
             [block.batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(f1),
-             pa.array(f2), lists], names=["doc_id", "n_shingles", "f1", "f2", "bands"])
+             pa.array(f2), lists, K.binary_list([x.tobytes() for x in short])],
+            names=["doc_id", "n_shingles", "f1", "f2", "bands", "sig"])
+
+
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+
+
+def _estimate(equal: np.ndarray, slots: int) -> np.ndarray:
+    """Similarity from the number of equal slot bytes, less those equal by chance."""
+    return (equal / slots - 1 / 256) / (1 - 1 / 256)
+
+
+def _estimated(batches: Iterator[pa.RecordBatch], slots: int, least: float):
+    for batch in batches:
+        a, b = (_bytes(batch.column(c), slots) for c in ("ga", "gb"))
+        similar = _estimate((a == b).sum(1), slots)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rep"), batch.column("centre"), pa.array(similar)],
+            names=["rep", "centre", "similar"]).filter(pa.array(similar >= least))
+
+
+def _likely(rows: pa.Table, slots: int, least: float, percent: int):
+    """For each member of one bucket's block pair, the members of other components that it
+    is likely linked to; a pair counts only in the first bucket that both are in."""
+    key, i, j = (rows.column(c)[0].as_py() for c in ("key", "i", "j"))
+    own, rep, n, c = (np.asarray(rows.column(x).combine_chunks()) for x in
+                      ("own", "rep", "n", "c"))
+    sig = _bytes(rows.column("sig").combine_chunks(), slots)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for x in left:
+        y = right[(rep[right] > rep[x]) if i == j else (rep[right] != rep[x])]
+        y = y[c[y] != c[x]]
+        y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+        if not len(y):
+            continue
+        y = y[_estimate((sig[y] == sig[x]).sum(1), slots) >= least]
+        yield x, y[bands[x][(bands[y] == bands[x]).argmax(1)] == key]
+
+
+def _likely_members(rows: pa.Table, slots: int, least: float, percent: int) -> pa.Table:
+    """The members of a block pair that have a likely link to another component."""
+    marked = np.zeros(rows.num_rows, bool)
+    for x, y in _likely(rows, slots, least, percent):
+        if len(y):
+            marked[x] = True
+            marked[y] = True
+    return rows.select(["key", "rep"]).filter(pa.array(marked))
+
+
+def _links_across(rows: pa.Table, slots: int, least: float, percent: int) -> pa.Table:
+    """Confirmed links between components of a block pair, as few as join what they join."""
+    rep = np.asarray(rows.column("rep").combine_chunks())
+    sets = [np.frombuffer(x.as_buffer(), K.U64) for x in rows.column("shingles")]
+    root = {c: c for c in rows.column("c").to_pylist()}
+    c = rows.column("c").to_pylist()
+
+    def find(v: int) -> int:
+        while root[v] != v:
+            root[v] = v = root[root[v]]
+        return v
+
+    out = []
+    for x, ys in _likely(rows, slots, least, percent):
+        for y in ys:
+            a, b = find(c[x]), find(c[y])
+            if a != b and _linked(sets[x], sets[y], percent):
+                root[max(a, b)] = min(a, b)
+                out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
+                     "b": pa.array([x for _, x in out], pa.int64())})
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
@@ -132,36 +219,48 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int):
     for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-            a, b = (np.frombuffer(s.as_buffer(), K.U64) for s in (x, y))
-            both = np.concatenate([a, b])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= percent * (len(both) - common))
+        linked = [_linked(*(np.frombuffer(s.as_buffer(), K.U64) for s in pair), percent)
+                  for pair in zip(batch.column("sa"), batch.column("sb"), strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shingle: int,
-              percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough, judged on their full sets."""
-    wanted = staged(pairs.select(F.col("a").alias("rep"))
-                    .unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-                    .join(reps.select("rep", "f1", "f2"), "rep"), "wanted")
+def full_sets(reps: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(rep, shingles): the sorted shingle hashes of the given representatives."""
+    wanted = staged(reps.distinct().join(classes.select("rep", "f1", "f2"), "rep"), "wanted")
     texts = docs.join(wanted.select("rep").distinct(), F.col("doc_id") == F.col("rep"),
                       "left_semi")
     sets = staged(texts.mapInArrow(lambda b: _sets(b, shingle),
                                    "doc_id long, f1 long, f2 long, shingles binary"), "sets")
-    sets = sets.join(wanted, (F.col("doc_id") == F.col("rep")) & (sets["f1"] == wanted["f1"])
-                     & (sets["f2"] == wanted["f2"]), "left_semi").dropDuplicates(
-                         ["doc_id", "f1", "f2"])
-    sets = staged(sets, "own-sets")
-    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    return staged(sets.join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "f1", "f2"],
+                            "left_semi").dropDuplicates(["doc_id"])
+                  .select(F.col("doc_id").alias("rep"), "shingles"), "own-sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int,
+              percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough, judged on their full sets."""
+    sets = full_sets(pairs.select(F.col("a").alias("rep"))
+                     .unionByName(pairs.select(F.col("b").alias("rep"))), docs, classes, shingle)
+    a = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
                   .mapInArrow(lambda x: _confirm(x, percent), "a long, b long"), "confirmed")
 
 
+def _block_pairs(held: DataFrame, block: int) -> DataFrame:
+    """(key, rep, ..) -> a row for each pair of blocks of its bucket that the member's own
+    block is in, with the numbers i <= j of the blocks; no block exceeds about ``block``."""
+    sizes = staged(held.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    placed = held.join(sizes, "key").select(
+        *held.columns, blocks.alias("_blocks"),
+        F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int").alias("own"))
+    return placed.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+                         .alias("_with")).select(
+        *held.columns, "own", F.least("own", "_with").alias("i"),
+        F.greatest("own", "_with").alias("j"))
+
+
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     ca = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -172,7 +271,7 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, slots: int = SLOTS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class_id (smallest doc_id with
     the same shingle set; null without shingles).
 
@@ -181,55 +280,62 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     their own text; texts that lead their class under one doc_id count as one document.
     An empty table gives no rows. Other columns are not read."""
     own = id_and_text(docs)
+    least = percent / 100 - SLACK
     signed = staged(own.mapInArrow(
-        lambda b: _signatures(b, shingle, bands, rows),
-        "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"), "signatures")
+        lambda b: _signatures(b, shingle, bands, rows, slots),
+        "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary"),
+        "signatures")
     usable = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = staged(usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")),
                      "classes")
-    leads = usable.join(classes.withColumnRenamed("rep", "doc_id"),
-                        ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
-    banded = staged(leads.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"),
-                                 F.explode("bands").alias("key")), "banded")
+    leads = staged(usable.join(classes.withColumnRenamed("rep", "doc_id"),
+                               ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
+                   .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"),
+                           "bands", "sig").dropDuplicates(["rep"]), "leads")
+    banded = leads.select("rep", "n", F.explode("bands").alias("key"))
     # a bucket's centre is another member in each band, so a member meets several centres
     centres = staged(banded.groupBy("key").agg(
-        F.min_by(F.struct("rep", "n"), F.xxhash64("key", "rep")).alias("c"),
+        F.min_by("rep", F.xxhash64("key", "rep")).alias("centre"),
         F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-        .filter(F.col("lo") != F.col("hi"))
-        .select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("nc")), "centres")
-    fits = 100 * F.least("n", "nc") >= percent * F.greatest("n", "nc")
-    met = staged(banded.join(centres, "key").filter((F.col("rep") != F.col("centre")) & fits)
-                 .groupBy("rep", "centre").agg(F.count(F.lit(1)).alias("shared")), "met")
-    # 1: each member and the centre it shares most bands with
-    best = met.groupBy("rep").agg(F.max(F.struct("shared", "centre")).alias("m")) \
-        .select(F.col("rep").alias("a"), F.col("m.centre").alias("b"))
+        .filter(F.col("lo") != F.col("hi")).select("key", "centre"), "centres")
+    members = staged(banded.join(centres, "key"), "members")
+    met = members.filter(F.col("rep") != F.col("centre")).select("rep", "centre").distinct()
+    a, b = leads.select("rep", F.col("n"), F.col("sig").alias("ga")), leads.select(
+        F.col("rep").alias("centre"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
+    fits = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
+    met = staged(met.join(a, "rep").join(b, "centre").filter(fits)
+                 .mapInArrow(lambda x: _estimated(x, slots, least),
+                             "rep long, centre long, similar double"), "met")
+    # 1: each member and the centre it is most like
+    best = met.groupBy("rep").agg(F.max_by("centre", F.col("similar")).alias("centre"))
     links = confirmed(_ordered(best), own, classes, shingle, percent)
     found = staged(components(links), "components")
-    # 2: all centres of other components
-    stars = _ordered(met.select(F.col("rep").alias("a"), F.col("centre").alias("b")))
-    links = links.unionByName(
-        confirmed(_across(stars, found), own, classes, shingle, percent))
+    # 2: all centres of other components that it is like
+    stars = _ordered(met)
+    links = _joined(found, confirmed(_across(stars, found), own, classes, shingle, percent))
     found = staged(components(links), "components")
-    # 3: in buckets that still hold several components, all pairs across them
-    held = banded.join(centres.select("key"), "key", "left_semi") \
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("key", "rep", "n", F.coalesce("component", "rep").alias("c"))
-    held = staged(held, "held")
+    # 3: in buckets that still hold several components, blocks of members against blocks
+    held = staged(members.select("key", "rep").join(found.withColumnRenamed("node", "rep"),
+                                                    "rep", "left")
+                  .select("key", "rep", F.coalesce("component", "rep").alias("c")), "held")
     mixed = staged(held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                    .filter(F.col("lo") != F.col("hi")).select("key"), "mixed")
-    left = held.join(mixed, "key", "left_semi")
-    x = left.select("key", F.col("rep").alias("a"), F.col("n"), F.col("c").alias("ca"))
-    y = left.select("key", F.col("rep").alias("b"), F.col("n").alias("nc"),
-                    F.col("c").alias("cb"))
-    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                   & fits).select("a", "b").distinct() \
-        .join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(staged(rest, "rest"), own, classes, shingle, percent))
+    held = staged(held.join(mixed, "key"), "mixed-members")
+    signs = leads.select("rep", "n", "sig", "bands")
+    marked = staged(_block_pairs(held, BLOCK).join(signs, "rep").groupBy("key", "i", "j")
+                    .applyInArrow(lambda t: _likely_members(t, slots, least, percent),
+                                  "key long, rep long"), "marked").distinct()
+    held = staged(held.join(marked, ["key", "rep"], "left_semi"), "marked-members")
+    sets = full_sets(held.select("rep"), own, classes, shingle)
+    across = _block_pairs(held, BLOCK).join(signs.join(sets, "rep"), "rep") \
+        .groupBy("key", "i", "j").applyInArrow(
+            lambda t: _links_across(t, slots, least, percent), "a long, b long")
+    links = _joined(found, staged(across, "across-links"))
     found = staged(components(links), "components")
     named = staged(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("f1", "f2", F.col("n_shingles").alias("n"), "rep",
                            F.coalesce("component", "rep").alias("component")), "named")
-    out = signed.drop("bands").join(
+    out = signed.drop("bands", "sig").join(
         named, (signed["f1"] == named["f1"]) & (signed["f2"] == named["f2"])
         & (signed["n_shingles"] == named["n"]), "left")
     alone = F.col("doc_id").isNull()
@@ -240,8 +346,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.when(~alone, F.col("rep")).alias("class_id"))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """New links beside the components so far, a star each."""
+    return links.unionByName(found.filter(F.col("node") != F.col("component")).select(
+        F.col("node").alias("a"), F.col("component").alias("b")))
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("rep", "centre").alias("a"),
+                      F.greatest("rep", "centre").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
