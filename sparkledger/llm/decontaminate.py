@@ -27,6 +27,8 @@ WINDOW = 13
 RATIO = 20
 #: Text bytes of one broadcast batch of items (a longer item is a batch of its own).
 BATCH_BYTES = 16 << 20
+#: Text bytes of the documents of one suffix array.
+ARRAY_BYTES = 1 << 20
 _SEED = 901
 
 
@@ -126,7 +128,7 @@ _STATE = {"_n_words": "long", "_n_hit": "long", "_hits": "binary", "_items": "ar
 def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool, keep_text: bool):
     """Adds to each document the hit words (a bit each) and items of one batch of tests."""
     codes = K.byte_codes(_SEED, True)
-    for block in K.text_blocks(batches, "text"):
+    for block in K.text_blocks(batches, "text", ARRAY_BYTES):
         found = K.find_words(block, K.ALNUM)
         words = K.hash_words(block.data, found, codes)
         _, test, place = search(words, found.offsets, tests)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 PIECE = 1 << 18
 
 #: ``[^\x20\x09-\x0D]``: word bytes of whitespace-separated words.

@@ -33,7 +33,7 @@ MAX_FILTER_BITS = 1 << 29
 SEGMENT_BITS = 12
 PROBES = 4
 HOT_WORDS = 1 << 20
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 _SEED = 701
 _END, _BEGIN = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 

@@ -21,7 +21,7 @@ DEPTH = 2
 CELL_BITS = 27
 RANGE_BITS = 19
 #: Hashes counted in a task before they are summed up.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
