@@ -2,9 +2,15 @@
 
 Counts of words and word pairs of the training documents are quantised to levels (level q:
 2**(q-1) to 2**q - 1 occurrences); an n-gram of level q is inserted with 1, 2, .. q. The
-filter is cut into segments by n-gram hash, each filled by one task and at most
-MAX_FILTER_BITS in all, so it can be broadcast at any input size. A count is read back by
-probing level after level until one is missing. It may come out too high, never too low.
+filter has a fixed number of bits for each token and is cut into segments by n-gram hash,
+each filled by one task. Inside its segment an n-gram is known by the next 32 bits of its
+hash; a segment holds at most MAX_SEGMENT / 6 n-grams, so few share them at any size. A count
+is read back by probing level after level until one is missing. It may come out too high,
+never too low.
+
+A filter of at most MAX_FILTER_BITS is broadcast. A larger one stays where it is: the
+distinct n-grams of each run of documents are sent to their segments, sorted, as one row for
+each segment; their levels (a byte each) come back to the run and its documents are scored.
 
 The base score needs exact word counts. Words of at least 1 / HOT_WORDS of all tokens, of
 which there are at most HOT_WORDS, are broadcast; the rest are joined, one row for each
@@ -14,10 +20,12 @@ distinct word of a document, so no key has more than a bounded share of the rows
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +33,19 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import partitions, staged, table
 
-#: Filter bits for each training token (the number of insertions is at most that of tokens
-#: for pairs, and less for words), and the bound on all bits: 64 MB. Beyond 45 million
-#: tokens a cell holds more and counts come out too high more often; nothing is dropped.
+#: Filter bits for each training token at every size (the number of insertions is at most
+#: that of tokens for pairs, and less for words), and the largest filter that is broadcast
+#: (64 MB, 45 million tokens).
 BITS_PER_TOKEN = 12
 MAX_FILTER_BITS = 1 << 29
+#: There are 2**SEGMENT_BITS segments, and more if one would exceed MAX_SEGMENT bits.
 SEGMENT_BITS = 12
+MAX_SEGMENT = 1 << 23
 PROBES = 4
 HOT_WORDS = 1 << 20
 FLUSH = 1 << 20
+#: Tokens of the documents whose n-grams are sent to the segments together.
+RUN = 1 << 20
 _SEED = 701
 _END, _BEGIN = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
@@ -64,31 +76,70 @@ def pair_hashes(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return history, K.mix(history * K.U64(3) + tokens * K.U64(5) + K.U64(77))
 
 
-def _counted(hashes: Iterator[np.ndarray]):
-    """(hash, n): counts summed up inside the task as far as FLUSH hashes go."""
+def _summed(hashes: Iterator[np.ndarray]):
+    """(hashes, counts) summed up inside the task as far as FLUSH hashes go."""
     held, size = [], 0
-
-    def flush():
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)],
-                                          names=["hash", "n"])
-
     for found in hashes:
         held.append(found)
         size += len(found)
         if size >= FLUSH:
-            yield flush()
+            yield np.unique(np.concatenate(held), return_counts=True)
             held, size = [], 0
     if size:
-        yield flush()
+        yield np.unique(np.concatenate(held), return_counts=True)
 
 
 def _words(batches: Iterator[pa.RecordBatch]):
-    return _counted(tokens_of(b)[0] for b in K.text_blocks(batches, "text"))
+    for values, n in _summed(tokens_of(b)[0] for b in K.text_blocks(batches, "text")):
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)],
+                                         names=["hash", "n"])
+
+
+def _cuts(hashes: np.ndarray, segment_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments of sorted hashes and where each begins."""
+    segments = (hashes >> K.U64(64 - segment_bits)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], segments[1:] != segments[:-1]]))
+    return segments[first], first
+
+
+def _short(hashes: np.ndarray, segment_bits: int) -> np.ndarray:
+    """What an n-gram is known by inside its segment."""
+    return ((hashes << K.U64(segment_bits)) >> K.U64(32)).astype(np.uint32)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]):
-    return _counted(pair_hashes(*tokens_of(b))[1] for b in K.text_blocks(batches, "text"))
+def _packed(hashes: np.ndarray, counts: np.ndarray, segment_bits: int) -> pa.RecordBatch:
+    """Sorted hashes and their counts, one row for each segment."""
+    segments, first = _cuts(hashes, segment_bits)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(segments),
+         K.binary_list([x.tobytes() for x in np.split(_short(hashes, segment_bits), first[1:])]),
+         K.binary_list([x.tobytes() for x in np.split(counts.astype(np.int64), first[1:])])],
+        names=["segment", "data", "counts"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], segment_bits: int):
+    for values, n in _summed(pair_hashes(*tokens_of(b))[1]
+                             for b in K.text_blocks(batches, "text")):
+        yield _packed(values, n, segment_bits)
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch], segment_bits: int):
+    """Words with their counts, packed as far as FLUSH words go."""
+    held, size = [], 0
+
+    def packed():
+        hashes, n = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+        order = np.argsort(hashes)
+        return _packed(hashes[order], n[order], segment_bits)
+
+    for batch in batches:
+        held.append((np.asarray(batch.column("hash")).view(K.U64), np.asarray(batch.column("n"))))
+        size += len(batch)
+        if size >= FLUSH:
+            yield packed()
+            held, size = [], 0
+    if size:
+        yield packed()
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -100,86 +151,93 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 1, np.ldexp(4 / 3, levels - 1), levels)
 
 
-def _places(hashes: np.ndarray, level: int, probe: int, segment_size: int) -> np.ndarray:
-    return (K.mix(hashes + K.U64((level * 64 + probe + 1) * 0x9FB21C651E98DF25 % 2**64))
+def _places(shorts: np.ndarray, level: int, probe: int, segment_size: int) -> np.ndarray:
+    return (K.mix(shorts + K.U64((level * 64 + probe + 1) * 0x9FB21C651E98DF25 % 2**64))
             >> K.U64(32)) % K.U64(segment_size)
 
 
 def _filled(batches: Iterator[pa.RecordBatch], segment_size: int):
-    """Segments of the filter from (segment, hash, n) sorted by both; a segment also tells
-    how many n-grams it holds, how many of them occurred once, and all occurrences."""
-    current, bits, stats, left = -1, None, np.zeros(3, np.int64), None
+    """Segments of the filter from packed rows sorted by segment; a segment also tells how
+    many n-grams it holds, how many of them occurred once, and all occurrences."""
+    current, held = -1, []
 
-    def insert(hashes, counts):
-        levels = levels_of(counts)
+    def finished():
+        shorts = np.concatenate([np.frombuffer(x, np.uint32) for x, _ in held])
+        shorts, which = np.unique(shorts, return_inverse=True)
+        counts = np.bincount(which, np.concatenate([np.frombuffer(x, np.int64)
+                                                    for _, x in held])).astype(np.int64)
+        shorts, levels = shorts.astype(K.U64), levels_of(counts)
+        bits = np.zeros(segment_size, bool)
         for q in range(1, int(levels.max(initial=0)) + 1):
-            some = hashes[levels >= q]
+            some = shorts[levels >= q]
             for p in range(PROBES):
                 bits[_places(some, q, p, segment_size).astype(np.int64)] = True
-        stats[:] += (len(hashes), int((counts == 1).sum()), int(counts.sum()))
-
-    def finished():
-        if left is not None:
-            insert(np.array([left[0]], K.U64), np.array([left[1]]))
+        stats = (len(counts), (counts == 1).sum(), counts.sum())
         return pa.RecordBatch.from_arrays(
             [pa.array([current], pa.int32()), K.binary_list([np.packbits(bits).tobytes()]),
              *(pa.array([int(x)], pa.int64()) for x in stats)],
             names=["segment", "bits", "ngrams", "singles", "total"])
 
     for batch in batches:
-        segments = np.asarray(batch.column("segment"))
-        all_hashes = np.asarray(batch.column("hash")).view(K.U64)
-        all_counts = np.asarray(batch.column("n"))
-        cuts = np.flatnonzero(np.concatenate([[True], segments[1:] != segments[:-1]])) \
-            if len(segments) else []
-        for a, b in zip(cuts, [*cuts[1:], len(segments)], strict=True):
-            if segments[a] != current:
-                if bits is not None:
+        for segment, data, counts in zip(*(batch.column(c).to_pylist() for c in
+                                           ("segment", "data", "counts")), strict=True):
+            if segment != current:
+                if held:
                     yield finished()
-                current, bits = int(segments[a]), np.zeros(segment_size, bool)
-                stats[:], left = 0, None
-            hashes, counts = all_hashes[a:b], all_counts[a:b]
-            if left is not None:  # the last hash so far may go on
-                hashes = np.concatenate([[left[0]], hashes])
-                counts = np.concatenate([[left[1]], counts])
-            first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-            counts, hashes = np.add.reduceat(counts, first), hashes[first]
-            left = (hashes[-1], counts[-1])
-            insert(hashes[:-1], counts[:-1])
-    if bits is not None:
+                current, held = segment, []
+            held.append((data, counts))
+    if held:
         yield finished()
 
 
-class Model:
-    """What scoring needs; ``parts`` are plain values that can be broadcast."""
+def _levels(shorts: np.ndarray, base: np.ndarray | int, table: np.ndarray,
+            segment_size: int) -> np.ndarray:
+    """Levels by repeated membership probes in packed ``table``, whose segments begin at bit
+    ``base``; each goes on until one is missing."""
+    shorts = shorts.astype(K.U64)
+    out = np.zeros(len(shorts), np.int64)
+    alive, level = np.arange(len(shorts)), 0
+    base = np.broadcast_to(base, len(shorts))
+    while len(alive):
+        level += 1
+        for p in range(PROBES):
+            at = base[alive] + _places(shorts[alive], level, p, segment_size).astype(np.int64)
+            alive = alive[table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1]
+        out[alive] = level
+        if level > 63:
+            break
+    return out
+
 
-    def __init__(self, tokens: int, words: int, documents: int, bits: bytes,
-                 segment_size: int, weight: float, hot: np.ndarray, hot_counts: np.ndarray):
-        self.parts = (tokens, words, documents, bits, segment_size, weight, hot, hot_counts)
+class Model:
+    """What scoring needs; ``parts`` are plain values that can be broadcast. ``bits`` is
+    None if the filter is too large for that."""
+
+    def __init__(self, tokens: int, words: int, documents: int, bits: bytes | None,
+                 segment_bits: int, segment_size: int, weight: float, hot: np.ndarray,
+                 hot_counts: np.ndarray):
+        self.parts = (tokens, words, documents, bits, segment_bits, segment_size, weight, hot,
+                      hot_counts)
         self.tokens, self.words, self.documents, self.bits = tokens, words, documents, bits
-        self.segment_size, self.weight, self.hot, self.hot_counts = \
-            segment_size, weight, hot, hot_counts
-        self.table = np.frombuffer(bits, np.uint8)
+        self.segment_bits, self.segment_size, self.weight, self.hot, self.hot_counts = \
+            segment_bits, segment_size, weight, hot, hot_counts
+        self.table = None if bits is None else np.frombuffer(bits, np.uint8)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
-        """Levels by repeated membership probes; each goes on until one is missing."""
-        out = np.zeros(len(hashes), np.int64)
-        alive, level = np.arange(len(hashes)), 0
-        base = (hashes >> K.U64(64 - SEGMENT_BITS)).astype(np.int64) * self.segment_size
-        while len(alive):
-            level += 1
-            for p in range(PROBES):
-                at = base[alive] + _places(hashes[alive], level, p,
-                                           self.segment_size).astype(np.int64)
-                alive = alive[self.table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1]
-            out[alive] = level
-            if level > 63:
-                break
-        return out
+        base = (hashes >> K.U64(64 - self.segment_bits)).astype(np.int64) * self.segment_size
+        return _levels(_short(hashes, self.segment_bits), base, self.table, self.segment_size)
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of (text) rows, and the table of exact word counts (hash, n)."""
+def _layout(tokens: int) -> tuple[int, int]:
+    """Segments (as a power of two) and bits of each, for so many tokens."""
+    wanted = max(1 << 18, tokens * BITS_PER_TOKEN)
+    segment_bits = max(SEGMENT_BITS, math.ceil(math.log2(wanted / MAX_SEGMENT)))
+    return segment_bits, max(64, (wanted >> segment_bits) // 8 * 8)
+
+
+def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of (text) rows, the table of exact word counts (hash, n), and that of the
+    filter's segments (segment, bits)."""
     spark = docs.sparkSession
     words = staged(docs.mapInArrow(_words, "hash long, n long")
                    .groupBy("hash").agg(F.sum("n").alias("n")), "vocabulary")
@@ -187,33 +245,39 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     tokens = tokens or 0
     documents = (words.filter(F.col("hash") == int(_END.view(np.int64)))
                  .agg(F.sum("n")).first()[0]) or 0
-    segments = 1 << SEGMENT_BITS
-    segment_size = min(MAX_FILTER_BITS, max(1 << 18, tokens * BITS_PER_TOKEN)) // segments
-    segment_size = max(64, segment_size // 8 * 8)
-    counted = docs.mapInArrow(_pairs, "hash long, n long")
-    counted = counted.unionByName(words).withColumn(
-        "segment", F.shiftrightunsigned("hash", 64 - SEGMENT_BITS).cast("int"))
-    # signed order keeps the hashes of a segment together
+    segment_bits, segment_size = _layout(tokens)
+    size = segment_size << segment_bits
+    packed = "segment int, data binary, counts binary"
+    counted = docs.mapInArrow(lambda b: _pairs(b, segment_bits), packed).unionByName(
+        words.mapInArrow(lambda b: _counted_words(b, segment_bits), packed))
     filled = staged(counted.repartition(partitions(spark), "segment")
-                    .sortWithinPartitions("segment", "hash")
-                    .select("segment", "hash", "n")
+                    .sortWithinPartitions("segment")
                     .mapInArrow(lambda b: _filled(b, segment_size),
                                 "segment int, bits binary, ngrams long, singles long, "
                                 "total long"), "filter")
     singles, total = filled.agg(F.sum("singles"), F.sum("total")).first()
-    bits = np.zeros(segments * segment_size // 8, np.uint8)
-    for batch in filled.select("segment", "bits").toArrow().to_batches(1024):  # fixed size
-        for s, part in zip(batch.column("segment").to_pylist(), batch.column("bits"),
-                           strict=True):
-            bits[s * segment_size // 8:(s + 1) * segment_size // 8] = \
-                np.frombuffer(part.as_buffer(), np.uint8)
+    bits = None
+    if size <= MAX_FILTER_BITS:
+        bits = np.zeros(size // 8, np.uint8)
+        for batch in filled.select("segment", "bits").toArrow().to_batches(1024):
+            for s, part in zip(batch.column("segment").to_pylist(), batch.column("bits"),
+                               strict=True):
+                bits[s * segment_size // 8:(s + 1) * segment_size // 8] = \
+                    np.frombuffer(part.as_buffer(), np.uint8)
     # Good-Turing: the share of occurrences that were seen before
     weight = min(0.99, max(0.01, 1 - (singles or 0) / max(total or 0, 1)))
     hot = words.filter(F.col("n") * HOT_WORDS >= tokens).toArrow()  # at most HOT_WORDS rows
     hashes = np.asarray(hot.column("hash")).view(K.U64)
     order = np.argsort(hashes)
-    return Model(tokens, types, documents, bits.tobytes(), segment_size, weight,
-                 hashes[order], np.asarray(hot.column("n"))[order]), words
+    model = Model(tokens, types, documents, None if bits is None else bits.tobytes(),
+                  segment_bits, segment_size, weight, hashes[order],
+                  np.asarray(hot.column("n"))[order])
+    return model, words, filled.select("segment", "bits")
+
+
+def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of (text) rows, and the table of exact word counts (hash, n)."""
+    return _fit(docs)[:2]
 
 
 def _look_up(words: np.ndarray, model: Model) -> np.ndarray:
@@ -231,46 +295,186 @@ _ROWS = ("row long, doc_id long, held_out boolean, n_tokens long, hash long, tf
 def _score(batches: Iterator[pa.RecordBatch], model: Model):
     """One row a document, and one for each distinct word of it that is not hot."""
     row = TaskContext.get().partitionId() << 40
-    uniform = model.tokens + model.words + 1
     for block in K.text_blocks(batches, "text"):
         tokens, offsets = tokens_of(block)
-        doc, n = K.doc_of(offsets), len(block)
         kinds, which = np.unique(tokens, return_inverse=True)
-        hot = _look_up(kinds, model)
-        base = np.bincount(doc, np.log10(hot + 1.0)[which], minlength=n)
-        known = np.bincount(doc, (hot > 0)[which], minlength=n).astype(np.int64)
-        level = model.levels(kinds)
-        count = count_of(level)[which]
-        before = np.empty(len(tokens))
-        before[1:] = count[:-1]
-        before[offsets[:-1]] = model.documents
-        _, pairs = pair_hashes(tokens, offsets)
-        both = count_of(model.levels(pairs))
-        seen = np.minimum(both, before) / np.maximum(before, 1)
-        p = model.weight * seen + (1 - model.weight) * (count + 1) / uniform
-        p = np.where(before > 0, p, (count + 1) / uniform)
-        score = np.bincount(doc, np.log10(p), minlength=n)
-        rare = (hot == 0)[which]
-        at, keys, tf = _distinct(doc[rare], tokens[rare])
-        rows = row + np.arange(n)
-        row += n
-        ids = block.batch.column("doc_id")
-        m = len(at)
-        nothing = pa.nulls(m, pa.int64())
+        yield _scored(row, block.batch.column("doc_id"), block.batch.column("held_out"),
+                      kinds, which, offsets, model.levels, model)
+        row += len(block)
+
+
+def _scored(row: int, ids: pa.Array, held: pa.Array, kinds: np.ndarray, which: np.ndarray,
+            offsets: np.ndarray, levels: Callable[[np.ndarray], np.ndarray], model: Model):
+    """Rows of documents numbered from ``row``, whose tokens are kinds[which]."""
+    uniform = model.tokens + model.words + 1
+    tokens = kinds[which]
+    doc, n = K.doc_of(offsets), len(offsets) - 1
+    hot = _look_up(kinds, model)
+    base = np.bincount(doc, np.log10(hot + 1.0)[which], minlength=n)
+    known = np.bincount(doc, (hot > 0)[which], minlength=n).astype(np.int64)
+    count = count_of(levels(kinds))[which]
+    before = np.empty(len(tokens))
+    before[1:] = count[:-1]
+    before[offsets[:-1]] = model.documents
+    _, pairs = pair_hashes(tokens, offsets)
+    both = count_of(levels(pairs))
+    seen = np.minimum(both, before) / np.maximum(before, 1)
+    p = model.weight * seen + (1 - model.weight) * (count + 1) / uniform
+    p = np.where(before > 0, p, (count + 1) / uniform)
+    score = np.bincount(doc, np.log10(p), minlength=n)
+    rare = (hot == 0)[which]
+    at, keys, tf = _distinct(doc[rare], tokens[rare])
+    rows = row + np.arange(n)
+    m = len(at)
+    nothing = pa.nulls(m, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([rows, rows[at]])),
+         pa.concat_arrays([ids, nothing]),
+         pa.concat_arrays([held, pa.nulls(m, pa.bool_())]),
+         pa.concat_arrays([pa.array(np.diff(offsets)), nothing]),
+         # a document's own row has a key that no word is likely to have
+         pa.array(np.concatenate([K.mix(rows.astype(K.U64) + K.U64(_SEED)), keys])
+                  .view(np.int64)),
+         pa.array(np.concatenate([np.zeros(n, np.int64), tf])),
+         pa.array(np.concatenate([known, np.zeros(m, np.int64)])),
+         pa.array(np.concatenate([base, np.zeros(m)])),
+         pa.array(np.concatenate([score, np.zeros(m)]))],
+        names=["row", "doc_id", "held_out", "n_tokens", "hash", "tf", "known", "base",
+               "score"])
+
+
+#: What is sent to the segments: their bits, n-grams of a run, and the runs themselves.
+_BITS, _GRAMS, _RUN = range(3)
+_SENT = "segment int, kind int, run long, start long, data binary"
+
+
+def _grams(kinds: np.ndarray, which: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Distinct n-grams of a run by hash, that is, also by segment."""
+    return np.unique(np.concatenate([kinds, pair_hashes(kinds[which], offsets)[1]]))
+
+
+def _ask(batches: Iterator[pa.RecordBatch], segment_bits: int):
+    """Each run of documents as one row, and one row of n-grams for each segment."""
+    run = TaskContext.get().partitionId() << 40
+    held, size = [], 0
+
+    def asked():
+        ids, flags = (pa.concat_arrays([x[i] for x in held]) for i in (0, 1))
+        kinds, which, n = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True,
+                                    return_counts=True)
+        order = np.argsort(-n, kind="stable")  # small numbers, which compress well
+        number = np.empty(len(kinds), np.uint32)
+        number[order] = np.arange(len(kinds))
+        kinds, which = kinds[order], number[which]
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[3])
+                                                                 for x in held]))])
+        grams = _grams(kinds, which, offsets)
+        segments, first = _cuts(grams, segment_bits)
+        planes = which.view(np.uint8).reshape(-1, 4).T.tobytes()
+        itself = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(
+            (ids.to_pylist(), flags.to_pylist(), kinds, planes, offsets), 5))
+        n = len(first)
+        return len(ids), pa.RecordBatch.from_arrays(
+            # a run goes along with the segment that it is dealt to
+            [pa.array(np.append(segments,
+                                int(K.mix(np.array([run], K.U64))[0]) >> (64 - segment_bits))
+                      .astype(np.int32)),
+             pa.array([_GRAMS] * n + [_RUN], pa.int32()), pa.array([run] * (n + 1), pa.int64()),
+             pa.array(np.append(first, -1).astype(np.int64)),
+             K.binary_list([*(x.tobytes() for x in
+                             np.split(_short(grams, segment_bits), first[1:])), itself])],
+            names=["segment", "kind", "run", "start", "data"])
+
+    for block in K.text_blocks(batches, "text"):
+        held.append((block.batch.column("doc_id"), block.batch.column("held_out"),
+                     *tokens_of(block)))
+        size += len(held[-1][2])
+        if size >= RUN:
+            n, rows = asked()
+            yield rows
+            run += n
+            held, size = [], 0
+    if held:
+        yield asked()[1]
+
+
+def _answer(batches: Iterator[pa.RecordBatch], segment_size: int):
+    """Levels, as bytes, in place of n-grams, and runs as they are; from rows sorted by
+    segment and kind. A segment that nothing was inserted into has no bits."""
+    current, table = -1, None
+    for batch in batches:
+        segments = np.asarray(batch.column("segment"))
+        kinds = np.asarray(batch.column("kind"))
+        data = batch.column("data")
+        out = [None] * len(segments)
+        new = np.ones(len(segments), bool)
+        new[1:] = (segments[1:] != segments[:-1]) | (kinds[1:] != kinds[:-1])
+        cuts = np.flatnonzero(new)
+        for a, b in zip(cuts, [*cuts[1:], len(segments)], strict=True):
+            if segments[a] != current:
+                current, table = segments[a], None
+            if kinds[a] == _BITS:
+                table = np.frombuffer(data[int(a)].as_py(), np.uint8)
+            elif kinds[a] == _RUN:
+                out[a:b] = data.slice(a, b - a).to_pylist()
+            else:
+                parts = [np.frombuffer(x, np.uint32) for x in data.slice(a, b - a).to_pylist()]
+                shorts = np.concatenate(parts)
+                levels = np.zeros(len(shorts), np.int64) if table is None else \
+                    _levels(shorts, 0, table, segment_size)
+                ends = np.cumsum([len(x) for x in parts])
+                out[a:b] = [x.tobytes() for x in np.split(levels.astype(np.uint8), ends[:-1])]
+        keep = np.flatnonzero(kinds != _BITS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([rows, rows[at]])),
-             pa.concat_arrays([ids, nothing]),
-             pa.concat_arrays([block.batch.column("held_out"), pa.nulls(m, pa.bool_())]),
-             pa.concat_arrays([pa.array(np.diff(offsets)), nothing]),
-             # a document's own row has a key that no word is likely to have
-             pa.array(np.concatenate([K.mix(rows.astype(K.U64) + K.U64(_SEED)), keys])
-                      .view(np.int64)),
-             pa.array(np.concatenate([np.zeros(n, np.int64), tf])),
-             pa.array(np.concatenate([known, np.zeros(m, np.int64)])),
-             pa.array(np.concatenate([base, np.zeros(m)])),
-             pa.array(np.concatenate([score, np.zeros(m)]))],
-            names=["row", "doc_id", "held_out", "n_tokens", "hash", "tf", "known", "base",
-                   "score"])
+            [batch.column("run").take(pa.array(keep)), batch.column("start").take(pa.array(keep)),
+             K.binary_list([out[i] for i in keep])], names=["run", "start", "data"])
+
+
+def _score_runs(batches: Iterator[pa.RecordBatch], model: Model):
+    """What _score gives, from runs and the levels of their n-grams sorted by run and start."""
+    run, itself, answers = -1, None, []
+
+    def scored():
+        ids, flags, kinds, planes, offsets = pickle.loads(
+            zstandard.ZstdDecompressor().decompress(itself))
+        which = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T) \
+            .view(np.uint32)[:, 0]
+        grams = _grams(kinds, which, offsets)
+        read = np.frombuffer(b"".join(answers), np.uint8).astype(np.int64)
+        if len(read) != len(grams):
+            raise RuntimeError(f"{len(read)} levels of {len(grams)} n-grams")
+        return _scored(run, pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), kinds, which,
+                       offsets, lambda x: read[np.searchsorted(grams, x)], model)
+
+    for batch in batches:
+        for r, start, data in zip(*(batch.column(c).to_pylist()
+                                    for c in ("run", "start", "data")), strict=True):
+            if start < 0:
+                if itself is not None:
+                    yield scored()
+                run, itself, answers = r, data, []
+            else:
+                answers.append(data)
+    if itself is not None:
+        yield scored()
+
+
+def _sent(own: DataFrame, filled: DataFrame, model: Model) -> DataFrame:
+    """Rows of _score with the filter left in its segments. The values that go to all tasks
+    do not grow with the input."""
+    n = partitions(own.sparkSession)
+    segment_bits, segment_size = model.segment_bits, model.segment_size
+    nothing = F.lit(0).cast("long")
+    bits = filled.select("segment", F.lit(_BITS).cast("int").alias("kind"),
+                         nothing.alias("run"), nothing.alias("start"),
+                         F.col("bits").alias("data"))
+    asked = own.mapInArrow(lambda b: _ask(b, segment_bits), _SENT).unionByName(bits)
+    answers = (asked.repartition(n, "segment").sortWithinPartitions("segment", "kind")
+               .mapInArrow(lambda b: _answer(b, segment_size),
+                           "run long, start long, data binary"))
+    sent = own.sparkSession.sparkContext.broadcast(model.parts)
+    return (answers.repartition(n, "run").sortWithinPartitions("run", "start")
+            .mapInArrow(lambda b: _score_runs(b, Model(*sent.value)), _ROWS))
 
 
 def _distinct(doc: np.ndarray, tokens: np.ndarray):
@@ -292,9 +496,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       held_out(F.col("doc_id")).alias("held_out"),
                       F.col("text").cast("string").alias("text"))
-    model, words = fit(own.filter(~F.col("held_out")).select("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts)  # bounded: see above
-    rows = own.mapInArrow(lambda b: _score(b, Model(*sent.value)), _ROWS)
+    model, words, filled = _fit(own.filter(~F.col("held_out")).select("text"))
+    if model.bits is None:
+        rows = _sent(own, filled, model)
+    else:
+        sent = docs.sparkSession.sparkContext.broadcast(model.parts)  # bounded: see above
+        rows = own.mapInArrow(lambda b: _score(b, Model(*sent.value)), _ROWS)
     joined = rows.join(words.withColumnRenamed("hash", "h"), F.col("hash") == F.col("h"), "left")
     n = F.coalesce("n", F.lit(0))
     per = joined.groupBy("row").agg(

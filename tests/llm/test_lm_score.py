@@ -71,3 +71,29 @@ def test_repeated_rows_are_scored_one_by_one(spark, make_docs):
     rows = [(1, "a b c"), (1, "a b c"), (1, "z")]
     got = lm_score.score_documents(make_docs(rows)).collect()
     assert sorted(r.n_tokens for r in got) == [2, 4, 4]
+
+
+@pytest.mark.parametrize("run", [1, 5000, lm_score.RUN])
+def test_a_filter_too_large_to_broadcast_reads_the_same(spark, make_docs, monkeypatch, run):
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 30000, 900)))
+            for i in range(100)] + [(200, None), (201, ""), (None, "w1 w2"), (1, "w1 w2")]
+    docs = make_docs(rows)
+
+    def scores():
+        return sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.base_score, r.score)
+                      for r in lm_score.score_documents(docs).collect())
+
+    whole = scores()
+    monkeypatch.setattr(lm_score, "MAX_FILTER_BITS", 1 << 18)
+    monkeypatch.setattr(lm_score, "RUN", run, raising=False)
+    cut = scores()
+    assert [x[:3] for x in cut] == [x[:3] for x in whole]
+    assert np.allclose([x[3:] for x in cut], [x[3:] for x in whole], rtol=1e-9)
+
+
+def test_bits_per_token_are_the_same_at_every_size():
+    for tokens in (10**6, 10**8, 4 * 10**9, 10**12):
+        segment_bits, size = lm_score._layout(tokens)
+        assert size <= lm_score.MAX_SEGMENT
+        assert (size << segment_bits) / tokens == pytest.approx(lm_score.BITS_PER_TOKEN, rel=0.03)
