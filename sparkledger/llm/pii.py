@@ -85,7 +85,6 @@ _SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.| dot )[A-Za
                      r"(?: at |@)[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)* dot [A-Za-z]{2,}"
                      r"(?![A-Za-z0-9-])", re.I)
 _SPOKEN_SIGN = re.compile(r" (?:(?P<at>at)|dot) ", re.I)
-_SPELLED_DIGITS = tuple(w for w in _SPELLED if w != "oh")
 
 
 class Tape(NamedTuple):
@@ -155,33 +154,31 @@ def _letters(tape: Tape) -> list[tuple[int, int, str]]:
             for i, c in enumerate(m[0]) if c in _AS_DIGIT]
 
 
-def _suspects(text: str) -> list:
-    """The transducers that may change something."""
+def _steps(text: str):
+    """The transducers in order, each with whether it may change the text so far; what is
+    sent in is the text that the step before left."""
+    text = yield _homoglyphs, not text.isascii()
+    text = yield _brackets, True
     low = text.lower()
-    found = []
-    if not text.isascii() and _ODD.search(text):
-        found.append(_homoglyphs)
-        low = "".join(_plain(c) if not c.isascii() else c for c in low)
-    if _BRACKETED.search(low):
-        found.append(_brackets)
-    if " dot " in low and ("@" in low or " at " in low or "at]" in low or "at)" in low):
-        found.append(_spoken)
-    if (" dot " in low or any(w in low for w in _SPELLED_DIGITS)) and _SPELLED_RUN.search(low):
-        found.append(_spelled)
-    if _LETTER_DIGITS.search(low):
-        found.append(_letters)
-    return found
+    text = yield _spoken, " dot " in low and ("@" in low or " at " in low)
+    low = text.lower()
+    text = yield _spelled, (" dot " in low or " point " in low or any(w in low for w in _SPELLED))
+    yield _letters, True
 
 
 def normalise(text: str) -> Tape | None:
     """The text without its disguises, or None if it has none."""
-    steps = _suspects(text)
-    if not steps:
-        return None
-    tape = Tape(text, list(range(len(text))), list(range(1, len(text) + 1)))
-    for step in steps:
-        tape = tape.rewrite(step(tape))
-    return tape if tape.text != text else None
+    tape, steps = Tape(text, [], []), _steps(text)
+    step, may = next(steps)
+    while True:
+        if may and (edits := step(tape)):
+            if not tape.start:
+                tape = Tape(text, list(range(len(text))), list(range(1, len(text) + 1)))
+            tape = tape.rewrite(edits)
+        try:
+            step, may = steps.send(tape.text)
+        except StopIteration:
+            return tape if tape.text != text else None
 
 
 def _luhn(digits: str) -> bool:

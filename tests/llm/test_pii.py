@@ -82,3 +82,11 @@ def test_query_columns_and_masking(spark, make_docs):
 
 def test_empty_table(spark, make_docs):
     assert pii.find_pii(make_docs([])).count() == 0
+
+
+def test_each_step_sees_what_the_one_before_left():
+    for kind, text in (("ip", "I92.I68.I.I"), ("phone", "+4I 7I1 2I4 56I8"),
+                       ("email", "jane {at} example dot com"),
+                       ("email", "jane <at> example dot com"),
+                       ("ip", "192 point 168 point 1 point 1")):
+        assert _more(text) == [(kind, text)], text
