@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     ann,
+    byte_bpe,
     decontaminate,
     licenses,
     lm_score,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     }
 
 

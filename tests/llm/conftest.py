@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -27,3 +28,12 @@ def prose():
         return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(words))
 
     return write
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    """The smallest driver tables."""
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("driver tables not present")
+    return path
