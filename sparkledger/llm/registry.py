@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     ann,
     byte_bpe,
     decontaminate,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+        "op13_token_alignment": alignment.op13_token_alignment,
     }
 
 
