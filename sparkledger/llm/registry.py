@@ -16,6 +16,7 @@ from . import (
     mixing,
     near_dedup,
     pii,
+    prefix_trie,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+        "op12_prefix_trie": prefix_trie.op12_prefix_trie,
         "op13_token_alignment": alignment.op13_token_alignment,
     }
 
@@ -47,4 +49,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_mixing": mixing.SQL,
         "op8_substring_dedup": substring_dedup.SQL,
         "op9_decontaminate": decontaminate.SQL,
+        "op12_prefix_trie": prefix_trie.SQL,
     }

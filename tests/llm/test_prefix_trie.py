@@ -1,0 +1,140 @@
+"""The trie against plain dictionaries, list ranking against walking the list."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkledger.llm import prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth long, k1 string, _range int"
+
+
+def brute_force(rows):
+    """Nodes as sorted tuples, from (conv_id, turn, role, text) rows without equal turns."""
+    own = {}
+    for c, turn, role, text in sorted(
+            (r for r in rows if r[0] is not None),
+            key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(c, []).append((role or "", text or ""))
+    full = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        lowest = c - (c % 100 if c >= 0 else -(-c % 100))
+        full[c] = tuple(own.get(lowest, [])[:h] + turns[h:])
+    members = {}
+    for c, turns in full.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+
+    def subtree(node):
+        leaves, saved, todo = 0, 0, [node]
+        while todo:
+            at = todo.pop()
+            leaves += at not in children
+            saved += (len(members[at]) - 1) * len(at[-1][1]) if at else 0
+            todo += children.get(at, [])
+        return leaves, saved
+
+    out = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if full[c] == node)
+        out.append((min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs),
+                    len(children.get(node, [])), *subtree(node),
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted(((r.conv_id, r.depth, r.parent_conv_id, r.n_convs, r.n_children, r.n_leaves,
+                    r.saved_tokens, r.ends_sha256) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def trie(spark):
+    def build(rows, **kw):
+        df = spark.createDataFrame([(*r, 9, "k", 9) for r in rows], SCHEMA)
+        turns = prefix_trie.hashed_turns(df)
+        return prefix_trie.prefix_trie(prefix_trie.share_first_turns(turns),
+                                       turns.filter("seq = 0").select("conv_id"), **kw)
+
+    return build
+
+
+def _rows(seed, convs, say=4, longest=7):
+    rng = random.Random(seed)
+    rows = []
+    for c in convs:
+        turns = rng.sample(range(50), rng.randrange(1, longest))
+        for i, t in enumerate(sorted(turns)):
+            rows.append((c, None if i == 0 and rng.random() < 0.3 else t,
+                         rng.choice(["user", "assistant", None]),
+                         rng.choice([None, "", "héllo", "日本", *map(str, range(say))])))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_random_conversations(trie):
+    rows = _rows(1, [*range(-130, -90), *range(0, 150), 777, 5_000_000_000_123])
+    assert result(trie(rows, last_arcs=20)) == brute_force(rows)
+
+
+def test_without_lowest_conversation(trie):
+    rows = _rows(2, range(101, 130), say=2, longest=3)
+    want = brute_force(rows)
+    assert any(n[1] == 0 and n[7] != hashlib.sha256(b"").hexdigest() for n in want)
+    assert result(trie(rows)) == want
+
+
+def test_hot_nodes_and_a_long_conversation(trie, monkeypatch):
+    """Many equal conversations, many children of one node, one conversation over blocks."""
+    monkeypatch.setattr(prefix_trie, "BLOCK", 8)
+    monkeypatch.setattr(prefix_trie, "CHUNK_IDS", 3)
+    rows = [(c, t, "user", "same") for c in range(200) for t in range(3)]
+    rows += [(c, t, "user", "same" if t == 0 else str(c)) for c in range(300, 500)
+             for t in range(2)]
+    rows += [(600, t, "user", "a" if t % 2 else "b") for t in range(150)]
+    assert result(trie(rows, last_arcs=50)) == brute_force(rows)
+
+
+def test_repeated_rows_are_turns_of_their_own(trie):
+    got = trie([(0, 1, "u", "x"), (0, 1, "u", "x"), (0, 1, "u", "x")]).collect()
+    assert sorted(r.depth for r in got) == [0, 1, 2, 3]
+    assert all(r.n_convs == 1 and r.saved_tokens == 0 and r.n_leaves == 1 for r in got)
+
+
+def test_equal_turns_are_ordered_alike_on_every_run(trie):
+    rows = [(0, 1, "u", str(i)) for i in range(9)]
+    assert result(trie(rows)) == result(trie(rows[::-1]))
+
+
+def test_empty_tables_and_missing_ids(trie):
+    assert trie([]).count() == 0
+    assert trie([(None, 1, "u", "x")]).count() == 0
+
+
+@pytest.mark.parametrize("n, last", [(1, 3), (300, 5), (300, 1000)])
+def test_list_rank(spark, n, last):
+    """One long list and one short, in random order."""
+    rng = random.Random(n)
+    ids = rng.sample(range(10 * n + 20), n + 2)
+    one, two = ids[:n], ids[n:]
+    rows = [*zip(one, [*one[1:], None], strict=True), *zip(two, [two[1], None], strict=True)]
+    rng.shuffle(rows)
+    got = prefix_trie.list_rank(spark.createDataFrame(rows, "id long, next long"), last)
+    want = {i: p for x in (one, two) for p, i in enumerate(x)}
+    assert {r.id: r.position for r in got.collect()} == want
+
+
+def test_query(spark, sf_dir):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in
+            spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()]
+    got = prefix_trie.op12_prefix_trie(spark, sf_dir)
+    assert result(got) == brute_force(rows)
+    assert got.filter(F.col("n_convs") > 1).count() > 1

@@ -17,14 +17,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "embeddings"):
+    for t in ("documents", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
     yield con
     con.close()
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == [*range(1, 12), 13]
+    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_dedup", "decontamination", "pii", "mixing"]
 
