@@ -30,10 +30,10 @@ from .common import id_and_text, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: States kept before the transducer starts afresh, and checked pairs of tokens.
-MOST_STATES = 1 << 16
+MOST_STATES = 1 << 17
 MOST_PAIRS = 1 << 20
-#: Pieces whose tokens are kept, and the longest kept.
-MOST_PIECES = 1 << 17
+#: Pieces whose tokens are kept (of each generation), and the longest kept.
+MOST_PIECES = 1 << 16
 KEPT_LENGTH = 48
 #: Characters of a text that are split into pieces at once.
 CHUNK = 1 << 16
@@ -47,6 +47,21 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+class State(dict):
+    """A set of hypotheses; byte -> (next state, tokens emitted on the way), made when read."""
+
+    __slots__ = ("machine", "hypotheses", "end")
+
+    def __init__(self, machine: Transducer, hypotheses: tuple):
+        self.machine = machine
+        self.hypotheses = hypotheses
+        self.end = machine.end(hypotheses)
+
+    def __missing__(self, byte: int) -> tuple[State, tuple[int, ...]]:
+        step = self[byte] = self.machine.step(self.hypotheses, byte)
+        return step
+
+
 class Transducer:
     """Bytes of one piece in, tokens out."""
 
@@ -68,78 +83,82 @@ class Transducer:
                     self._token.append(-1)
                     self._inner.append(False)
             self._token[node] = rank
-        self._follows: dict[tuple[int, int], bool] = {}
-        #: (state, byte) -> next state and the tokens emitted on the way
-        self._steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self._steps.clear()
-        self._states: list[tuple] = []
-        self._number: dict[tuple, int] = {}
-        self._state(((0, -1, ()),))
-
-    def _state(self, hypotheses: tuple) -> int:
-        number = self._number.get(hypotheses)
-        if number is None:
-            number = self._number[hypotheses] = len(self._states)
-            self._states.append(hypotheses)
-        return number
+        self._follows: dict[int, bool] = {}
+        self._most = 1 + max(self.bytes_of, default=0)
+        self._states: dict[tuple, State] = {}
+        self._start = self._state(((0, -1, ()),))
+
+    def _state(self, hypotheses: tuple) -> State:
+        state = self._states.get(hypotheses)
+        if state is None:
+            if len(self._states) >= self.most_states:
+                # the start forgets where it leads, so that all but this state can go
+                self._start.clear()
+                self._states = {self._start.hypotheses: self._start}
+            state = self._states[hypotheses] = State(self, hypotheses)
+        return state
 
     def merged(self, data: bytes) -> list[int]:
         """The merges applied one by one, lowest rank first, leftmost among equals."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, len(self.ranks) << 1), i)
-                           for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == len(self.ranks) << 1:
-                break
+        rank_of, none = self.ranks.get, self._most
+        ranks = [rank_of(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (lowest := min(ranks)) < none:
+            at = ranks.index(lowest)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank_of(parts[at] + parts[at + 1], none)
         return [self.ranks[p] for p in parts]
 
     def _may_follow(self, last: int, token: int) -> bool:
         """Whether ``token`` may come after ``last`` (-1: at the start of a piece)."""
-        known = self._follows.get((last, token))
+        key = (last + 1) * self._most + token
+        known = self._follows.get(key)
         if known is None:
             if len(self._follows) >= MOST_PAIRS:
                 self._follows.clear()
             pair = [token] if last < 0 else [last, token]
-            known = self.merged(b"".join(self.bytes_of[t] for t in pair)) == pair
-            self._follows[last, token] = known
+            known = self.merged(b"".join([self.bytes_of[t] for t in pair])) == pair
+            self._follows[key] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        live = []
-        for node, last, held in self._states[state]:
+    def step(self, hypotheses: tuple, byte: int) -> tuple[State, tuple[int, ...]]:
+        """Hypotheses stay in the order in which their unfinished tokens begin. What has been
+        read has one encoding, so exactly one of them ends a token here."""
+        live, ended = [], None
+        for node, last, held in hypotheses:
             place = self._place.get(node << 8 | byte)
             if place is None:
                 continue
             token = self._token[place]
-            # at the start of a piece a whole-piece token counts, merges or not (see _end)
+            # at the start of a piece a whole-piece token counts, merges or not (see end)
             if self._inner[place] or (last < 0 and token >= 0):
                 live.append((place, last, held))
-            if token >= 0 and self._may_follow(last, token):
-                live.append((0, token, (*held, token)))
-        if not live:
+            if ended is None and token >= 0 and self._may_follow(last, token):
+                ended = (0, token, (*held, token))
+        if ended is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        agreed = min((held for _, _, held in live), key=len)
+        agreed = ended[2]
         for _, _, held in live:
-            n = 0
-            while n < len(agreed) and held[n] == agreed[n]:
-                n += 1
-            agreed = agreed[:n]
+            if held[:len(agreed)] != agreed:
+                n = 0
+                while n < len(held) and held[n] == agreed[n]:
+                    n += 1
+                agreed = agreed[:n]
+            if not agreed:
+                break
+        live.append(ended)
         n = len(agreed)
-        after = tuple(sorted((node, last, held[n:]) for node, last, held in live))
-        if len(self._states) >= self.most_states and after not in self._number:
-            self._forget()
-            return self._state(after), agreed
-        step = self._steps[state << 8 | byte] = (self._state(after), agreed)
-        return step
+        return self._state(tuple([(node, last, held[n:]) for node, last, held in live]
+                                 if n else live)), agreed
 
-    def _end(self, state: int) -> tuple[int, ...]:
+    def end(self, hypotheses: tuple) -> tuple[int, ...]:
         """Tokens still held when a piece ends; a piece that is a token is that token."""
         done: tuple[int, ...] = ()
-        for node, last, held in self._states[state]:
+        for node, last, held in hypotheses:
             if last < 0 and node and self._token[node] >= 0:
                 return (self._token[node],)
             if not node:
@@ -147,30 +166,32 @@ class Transducer:
         return done
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
-        steps, state, out = self._steps, 0, []
+        state, out = self._start, ()
         for byte in piece:
-            step = steps.get(state << 8 | byte)
-            if step is None:
-                step = self._step(state, byte)
-            state, emitted = step
+            state, emitted = state[byte]
             if emitted:
                 out += emitted
-        return (*out, *self._end(state))
+        return out + state.end
 
 
 class Encoder(dict):
-    """Tokens of texts; those of short pieces are kept (a dict from piece to tokens)."""
+    """Tokens of texts; those of short pieces are kept (a dict from piece to tokens), in two
+    generations: what a full one holds is kept until the next is full."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
+        self._older: dict[str, tuple[int, ...]] = {}
         self._transducer = Transducer(ranks)
         self._pattern = regex.compile(pattern)
         self._break = regex.compile(r"(?<=\S)\s")
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self._transducer.encode(piece.encode())
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._transducer.encode(piece.encode())
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= MOST_PIECES:
+                self._older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
