@@ -17,10 +17,12 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +39,14 @@ PART_BYTES = 1 << 23
 ROW_BYTES = 64
 #: Pairs of a group that are multiplied out at once; larger groups count distinct ids first.
 GROUP_PAIRS = 1 << 10
-#: Pairs gathered before a task sums them up.
+#: Distinct pairs of a larger group that are made at once.
 HELD_PAIRS = 1 << 21
+#: Pieces of text whose ids are kept (of each generation), and how many are encoded at once.
+KEPT_PIECES = 1 << 17
+BATCH_PIECES = 2000
+#: Fixed value: how byte-level tokenizers cut text before their merges.
+BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+                      r"|\s+(?!\S)|\s+")
 
 
 class Cuts(NamedTuple):
@@ -153,49 +161,129 @@ def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], (np.add.reduceat(counts, first) if len(keys) else counts)
 
 
-def document_pairs(aligned: Aligned, d: int, b_size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a * b_size + b, number of links) for the distinct id pairs of document ``d``."""
-    lo, hi = aligned.groups[d], aligned.groups[d + 1]
-    a0, b0 = aligned.a_first[lo:hi], aligned.b_first[lo:hi]
-    n_a, n_b = aligned.a_last[lo:hi] - a0 + 1, aligned.b_last[lo:hi] - b0 + 1
+def block_pairs(aligned: Aligned, a_size: int, b_size: int
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct id pairs (a * b_size + b) that each document links, how many links each has,
+    and where a document's begin."""
+    a0, b0 = aligned.a_first, aligned.b_first
+    n_a, n_b = aligned.a_last - a0 + 1, aligned.b_last - b0 + 1
+    span = a_size * b_size
+    base = K.doc_of(aligned.groups) * span
     size = n_a * n_b
     small = size <= GROUP_PAIRS
     n = size[small]
     of, k = np.repeat(np.flatnonzero(small), n), K.ranges(np.zeros(len(n), np.int64), n)
-    keys = aligned.a[a0[of] + k // n_b[of]] * b_size + aligned.b[b0[of] + k % n_b[of]]
+    keys = base[of] + aligned.a[a0[of] + k // n_b[of]] * b_size + aligned.b[b0[of] + k % n_b[of]]
     keys, counts = _counted(keys, np.ones(len(keys), np.int64))
     for g in np.flatnonzero(~small):
         a, times_a = np.unique(aligned.a[a0[g]:a0[g] + n_a[g]], return_counts=True)
         b, times_b = np.unique(aligned.b[b0[g]:b0[g] + n_b[g]], return_counts=True)
         rows = max(1, HELD_PAIRS // len(b))
         for at in range(0, len(a), rows):
-            more = (a[at:at + rows, None] * b_size + b).ravel()
+            more = (base[g] + a[at:at + rows, None] * b_size + b).ravel()
             keys, counts = _counted(np.concatenate([keys, more]), np.concatenate(
                 [counts, (times_a[at:at + rows, None] * times_b).ravel()]))
-    return keys, counts
+    documents = len(aligned.groups) - 1
+    return keys % span, counts, np.searchsorted(keys, np.arange(documents + 1) * span)
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers of 0 and more, seven bits a byte, the lowest first."""
+def rises(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Differences of neighbours; the first of each run offsets[d]:offsets[d+1] as it is."""
+    out = np.diff(values, prepend=0)
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    out[first] = values[first]
+    return out
+
+
+def risen(steps: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """What ``rises`` was made from."""
+    sums = np.concatenate([[0], np.cumsum(steps)])
+    return sums[1:] - np.repeat(sums[offsets[:-1]], np.diff(offsets))
+
+
+def run_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0], np.cumsum(values)])
+    return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+def pack(numbers: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Each run of numbers of 0 and more, seven bits a byte, the lowest first."""
     left = numbers.astype(np.uint64)
-    sizes = np.maximum(1, sum((left >> np.uint64(7 * i) > 0).astype(np.int64)
-                              for i in range(10)))
+    sizes = np.ones(len(left), np.int64)
+    for i in range(1, 10):
+        more = left >> np.uint64(7 * i) > 0
+        if not more.any():
+            break
+        sizes += more
     place = K.ranges(np.zeros(len(sizes), np.int64), sizes)
     of = np.repeat(np.arange(len(sizes)), sizes)
     low = (left[of] >> (place * 7).astype(np.uint64)) & np.uint64(127)
-    return (low | ((place < sizes[of] - 1).astype(np.uint64) << np.uint64(7))) \
+    data = (low | ((place < sizes[of] - 1).astype(np.uint64) << np.uint64(7))) \
         .astype(np.uint8).tobytes()
+    at = np.concatenate([[0], np.cumsum(sizes)])[offsets].tolist()
+    return [data[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
 
 
-def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    if not len(raw):
-        return np.empty(0, np.int64)
+def unpack(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all runs and the offsets of each run's."""
+    raw = np.frombuffer(b"".join(parts), np.uint8)
     ends = raw < 128
+    at = np.cumsum([0, *map(len, parts)])
+    offsets = np.concatenate([[0], np.cumsum(ends)])[at]
+    if not len(raw):
+        return np.empty(0, np.int64), offsets
     first = np.flatnonzero(np.append(True, ends[:-1]))
     place = np.arange(len(raw)) - np.repeat(first, np.diff(np.append(first, len(raw))))
-    values = (raw & 127).astype(np.int64) << (7 * place)
-    return np.add.reduceat(values, first)
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first), offsets
+
+
+class Pieces(dict):
+    """Ids of A by piece of text (its byte-level pattern's matches, each encoded apart from
+    the rest of its text), in two generations. Texts are cut here only if every character is
+    one around which the tokenizer itself cuts in the same way; others it encodes whole."""
+
+    def __init__(self, tokenizer, sizes: np.ndarray):
+        super().__init__()
+        self._tokenizer, self._sizes = tokenizer, sizes
+        self._pattern = regex.compile(BYTE_LEVEL_PATTERN)
+        self._older: dict[str, tuple[int, ...]] = {}
+        self._alike: dict[str, bool] = {}
+
+    def cut(self, text: str) -> list[str] | None:
+        for c in set(text):
+            alike = self._alike.get(c)
+            if alike is None:
+                around = f"a{c}1{c} {c}  "
+                theirs = [around[x:y] for _, (x, y) in
+                          self._tokenizer.pre_tokenizer.pre_tokenize_str(around)]
+                alike = self._alike[c] = theirs == self._pattern.findall(around)
+            if not alike:
+                return None
+        return self._pattern.findall(text)
+
+    def learn(self, cuts: list[list[str]]) -> None:
+        """Make the ids of all these pieces known until the next call."""
+        if len(self) > KEPT_PIECES:
+            self._older = dict(self)
+            self.clear()
+        new = []
+        for piece in set(chain.from_iterable(cuts)).difference(self):
+            ids = self._older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self[piece] = ids
+        for at in range(0, len(new), BATCH_PIECES):
+            batch = new[at:at + BATCH_PIECES]
+            ids = self._tokenizer.encode_batch_fast([batch], is_pretokenized=True,
+                                                    add_special_tokens=False)[0].ids
+            ends = np.cumsum([len(p.encode()) for p in batch])
+            cut = [0, *np.searchsorted(np.cumsum(self._sizes[ids]), ends, "right").tolist()]
+            for piece, x, y in zip(batch, cut[:-1], cut[1:], strict=True):
+                self[piece] = tuple(ids[x:y])
+
+    def ids(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable([self[p] for p in pieces]), np.int64)
 
 
 class Vocabularies:
@@ -220,24 +308,32 @@ class Vocabularies:
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
         self.a_names = _names(a_size, ",", "|")
         self.b_names = _names(len(self.b_bytes), ",", ";")
+        self._pieces = Pieces(self._a, self.a_sizes)
 
     def _b_token(self, i: int) -> bytes:
         piece = self._b.id_to_piece(i)
         if self._b.is_byte(i):
             return bytes([int(piece[3:5], 16)])
-        return b"" if self._b.is_control(i) else piece.replace("▁", " ").encode()
+        return b"" if self._b.is_control(i) else piece.replace("\u2581", " ").encode()
+
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        cuts = [self._pieces.cut(t) for t in texts]
+        self._pieces.learn([c for c in cuts if c is not None])
+        rest = iter(self._a.encode_batch_fast(
+            [t for t, c in zip(texts, cuts, strict=True) if c is None], add_special_tokens=False))
+        return [np.array(next(rest).ids, np.int64) if c is None else self._pieces.ids(c)
+                for c in cuts]
 
     def encode(self, texts: list[str]) -> tuple[list, list]:
         """Token ids of both; none for a text that either does not give back in full."""
         a_ids: list = [()] * len(texts)
         b_ids: list = [()] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
-        found_a = self._a.encode_batch_fast([" " + texts[i] for i in some],
-                                            add_special_tokens=False)
+        found_a = self._encode_a([" " + texts[i] for i in some])
         found_b = self._b.encode([texts[i] for i in some], num_threads=1)
         for i, a, b in zip(some, found_a, found_b, strict=True):
-            whole, a = (" " + texts[i]).encode(), a.ids
-            if b"".join([self.a_bytes[x] for x in a]) == whole \
+            whole = (" " + texts[i]).encode()
+            if b"".join([self.a_bytes[x] for x in a.tolist()]) == whole \
                     and b"".join([self.b_bytes[x] for x in b]) == whole:
                 a_ids[i], b_ids[i] = a, b
         return a_ids, b_ids
@@ -261,22 +357,22 @@ def _linked(batches, vocabularies: Vocabularies):
     for block in K.text_blocks(batches, "text"):
         texts = [block.text(d).decode("utf-8", "replace") for d in range(len(block))]
         found = align(*vocabularies.encode(texts), vocabularies.a_sizes, vocabularies.b_sizes)
-        rows, parts = [], []
+        parts = []
         sizes = (np.diff(block.offsets) + ROW_BYTES).tolist()
         for d in range(len(block)):
             if size and size + sizes[d] > PART_BYTES:
                 part, size = part + 1, 0
             size += sizes[d]
             parts.append(task << 32 | part)
-            keys, counts = document_pairs(found, d, len(vocabularies.b_bytes))
-            rows.append((pack(np.diff(keys, prepend=0)), pack(counts), int(counts.sum())))
+        keys, counts, at = block_pairs(found, len(vocabularies.a_bytes),
+                                       len(vocabularies.b_bytes))
         yield pa.RecordBatch.from_arrays(
             [pa.array(parts, pa.int64()), block.batch.column("doc_id"),
              pa.array(np.diff(found.a_offsets)), pa.array(np.diff(found.b_offsets)),
-             pa.array(np.diff(found.groups)), pa.array([r[2] for r in rows], pa.int64()),
+             pa.array(np.diff(found.groups)), pa.array(run_sums(counts, at)),
              pa.array(list(group_texts(found, vocabularies.a_names, vocabularies.b_names)),
                       pa.string()),
-             K.binary_list([r[0] for r in rows]), K.binary_list([r[1] for r in rows])],
+             K.binary_list(pack(rises(keys, at), at)), K.binary_list(pack(counts, at))],
             names=["part", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs",
                    "links"])
 
@@ -284,12 +380,7 @@ def _linked(batches, vocabularies: Vocabularies):
 def _part_pairs(batches):
     """(part, pair, documents): each pair once for a part, or for the stretch of a part that
     this partition holds. A part's pairs are bounded by its text bytes."""
-    part, keys, counts, held, n = None, None, None, [], 0
-
-    def summed():
-        more = np.concatenate([keys, *held])
-        ones = np.ones(len(more) - len(keys), np.int64)
-        return _counted(more, np.concatenate([counts, ones]))
+    part, keys, counts = None, np.empty(0, np.int64), np.empty(0, np.int64)
 
     def out():
         return pa.RecordBatch.from_arrays(
@@ -297,20 +388,19 @@ def _part_pairs(batches):
             names=["part", "pair", "documents"])
 
     for batch in batches:
-        for p, packed in zip(batch.column("part").to_pylist(),
-                             batch.column("pairs").to_pylist(), strict=True):
-            if p != part:
-                if part is not None:
-                    keys, counts = summed()
-                    yield out()
-                part, held, n = p, [], 0
+        parts, packed = batch.column("part").to_numpy(), batch.column("pairs")
+        bounds = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+            if x == y:
+                continue
+            if part is not None and parts[x] != part:
+                yield out()
                 keys = counts = np.empty(0, np.int64)
-            held.append(np.cumsum(unpack(packed)))
-            n += len(held[-1])
-            if n > HELD_PAIRS:
-                (keys, counts), held, n = summed(), [], 0
+            part = int(parts[x])
+            more = risen(*unpack(packed[x:y].to_pylist()))
+            keys, counts = _counted(np.concatenate([keys, more]), np.concatenate(
+                [counts, np.ones(len(more), np.int64)]))
     if part is not None:
-        keys, counts = summed()
         yield out()
 
 
@@ -321,15 +411,12 @@ def _answered(docs: pa.Table, known: pa.Table) -> pa.Table:
     pairs = np.append(pairs[order], -1)
     counts = np.append(known.column("n").to_numpy()[order], 0)
     best = np.append(known.column("best").to_numpy()[order], 0)
-    n_best, count_sum = [], []
-    for keys, links in zip(docs.column("pairs").to_pylist(), docs.column("links").to_pylist(),
-                           strict=True):
-        at, links = np.searchsorted(pairs[:-1], np.cumsum(unpack(keys))), unpack(links)
-        n_best.append(int((links * best[at]).sum()))
-        count_sum.append(int((links * counts[at]).sum()))
+    keys, offsets = unpack(docs.column("pairs").to_pylist())
+    links, _ = unpack(docs.column("links").to_pylist())
+    at = np.searchsorted(pairs[:-1], risen(keys, offsets))
     return docs.drop_columns(["part", "pairs", "links"]) \
-        .append_column("n_best", pa.array(n_best, pa.int64())) \
-        .append_column("count_sum", pa.array(count_sum, pa.int64()))
+        .append_column("n_best", pa.array(run_sums(links * best[at], offsets))) \
+        .append_column("count_sum", pa.array(run_sums(links * counts[at], offsets)))
 
 
 def link_tokens(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool = True) -> DataFrame:

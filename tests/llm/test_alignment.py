@@ -107,10 +107,30 @@ def test_pieces_are_of_equal_work(a, b, piece):
         assert not (y and x < len(a)) or b[y - 1] < a[x]
 
 
-@given(st.lists(st.integers(0, 2**62)))
-def test_packing_round_trip(numbers):
-    numbers = np.array(numbers, np.int64)
-    assert (alignment.unpack(alignment.pack(numbers)) == numbers).all()
+@given(st.lists(st.sets(st.integers(0, 2**60), max_size=5)))
+def test_packing_round_trip(runs):
+    values = np.array([v for r in runs for v in sorted(r)], np.int64)
+    offsets = np.cumsum([0, *map(len, runs)])
+    packed = alignment.pack(alignment.rises(values, offsets), offsets)
+    steps, at = alignment.unpack(packed)
+    assert (at == offsets).all() and (alignment.risen(steps, at) == values).all()
+    assert alignment.run_sums(values % 1000, at).tolist() == [sum(v % 1000 for v in r) for r in runs]
+
+
+def test_pieces_are_encoded_as_in_their_text(monkeypatch):
+    """Kept pieces against whole texts, with characters that libraries cut apart differently."""
+    monkeypatch.setattr(alignment, "KEPT_PIECES", 20)
+    monkeypatch.setattr(alignment, "BATCH_PIECES", 3)
+    with open(A_PATH, "rb") as f, open(B_PATH, "rb") as g:
+        both = alignment.Vocabularies(f.read(), g.read())
+    tokenizer = Tokenizer.from_file(A_PATH)
+    tokenizer.encode_special_tokens = True
+    texts = [" " + t for _, t in _rows() if t] + [" new letter \u088f in", " a\x1cb\x85 \u3000 c",
+                                                  "  <|endoftext|>\r\n", " \U000187f8x"]
+    for text in texts:
+        assert both._encode_a([text])[0].tolist() == \
+            tokenizer.encode(text, add_special_tokens=False).ids
+    assert both._pieces.cut("x \u088f") is None and both._pieces.cut("x \u00e9") == ["x", " \u00e9"]
 
 
 def _rows():
