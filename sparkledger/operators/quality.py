@@ -48,7 +48,10 @@ def valid_rows(tagged: DataFrame) -> DataFrame:
 
 def rejected_rows(tagged: DataFrame) -> DataFrame:
     """The quarantine record: lineage, id, the raw evidence and the reasons."""
-    renamed = (tagged.filter(F.col("rejection_reason").isNotNull())
+    # A row number, which depends on the rows before, keeps the filter above the projection:
+    # pushed below it, the reasons and every parser in them would be evaluated twice.
+    numbered = tagged.withColumn("_row", F.monotonically_increasing_id())
+    renamed = (numbered.filter(F.col("rejection_reason").isNotNull() & (F.col("_row") >= 0))
                .withColumnRenamed("amount_raw", "raw_amount")
                .withColumnRenamed("payment_date_raw", "raw_date"))
     extra = [c for c in ("source_name",) if c in tagged.columns]

@@ -16,12 +16,13 @@ from sparkledger.config import (LEDGER_DRIFT_COLUMNS, LEDGER_FEEDS, LEDGER_LAYOU
 from sparkledger.functions import casts
 from sparkledger.functions.hashing import record_hash
 from sparkledger.operators.conform import conform, union_all_by_name
-from sparkledger.operators.marts import department_totals, run_summary
+from sparkledger.operators.marts import department_totals, ordered_for_display, run_summary
 from sparkledger.operators.policy import column_policy, row_policy
 from sparkledger.operators.upsert import hash_gated_merge, upsert_latest
 from sparkledger.plans import silver as S
 from sparkledger.sources.files import source_key
 from sparkledger.sources.ledger import feed_frame, spend_ledger
+from sparkledger.session import scratch_path
 from sparkledger.sources.sinks import stage
 
 # Split point between the "existing" and the "incoming" batch in the upsert queries
@@ -140,7 +141,7 @@ def q_union_by_name(spark, sf_dir):
 # ---- typed rows, hash, quality ----------------------------------------------------------
 
 def q_record_hash(spark, sf_dir):
-    typed = S.ledger_typed(spark, sf_dir)
+    typed = S.every_ledger_row_typed(spark, sf_dir)
     return typed.select("transaction_id", "source_department", "payment_date", "amount_gbp",
                         record_hash().alias("record_hash"))
 
@@ -157,7 +158,7 @@ def q_quarantine_split(spark, sf_dir):
 
 
 def q_broadcast_lookup(spark, sf_dir):
-    return S.ledger_typed(spark, sf_dir).select(
+    return S.every_ledger_row_typed(spark, sf_dir).select(
         "source_file", "transaction_id", "source_department", "department_group")
 
 
@@ -197,6 +198,10 @@ def q_gold_metrics(spark, sf_dir):
     return S.ledger_gold(spark, sf_dir)
 
 
+def q_gold_display(spark, sf_dir):
+    return ordered_for_display(S.ledger_gold(spark, sf_dir))
+
+
 def q_run_summary(spark, sf_dir):
     return run_summary(S.ledger_tagged(spark, sf_dir))
 
@@ -221,7 +226,8 @@ def q_row_policy(spark, sf_dir):
 # ---- upserts -----------------------------------------------------------------------------------
 
 def _split_batches(spark, sf_dir):
-    tagged = S.ledger_tagged(spark, sf_dir)
+    # staged once: both batches read typed rows, not the ledger
+    tagged = stage(S.ledger_tagged(spark, sf_dir), "tagged")
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     existing = S.build_silver(tagged.filter(F.col("ingested_at") < cutoff))
     incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= cutoff))
@@ -244,6 +250,21 @@ def q_upsert_hash_gated(spark, sf_dir):
     return merged.select(*UPSERT_OUTPUT, "merge_action")
 
 
+def q_upsert_writer(spark, sf_dir):
+    """The table writer: a stored first batch, a second one merged into it by hash, and the
+    second delivered again, which must rewrite nothing."""
+    from sparkledger.plans.pipeline import upsert_partitions
+    from sparkledger.sources.sinks import read_parquet_or_none
+    existing, incoming = (stage(b.drop("raw_extras"), "batch") for b in _split_batches(spark, sf_dir))
+    path = scratch_path(spark, "upsert-table")
+    upsert_partitions(spark, path, existing)
+    upsert_partitions(spark, path, incoming, merge="hash_gated")
+    again = upsert_partitions(spark, path, incoming, merge="hash_gated")
+    if again.touched:
+        raise RuntimeError("a batch delivered again rewrote partitions")
+    return read_parquet_or_none(spark, path, existing.schema).select(*UPSERT_OUTPUT)
+
+
 # ---- file routing -------------------------------------------------------------------------------
 
 def q_source_routing(spark, sf_dir):
@@ -284,6 +305,8 @@ def queries() -> dict[str, Query]:
         "row_policy": q_row_policy,
         "upsert_latest": q_upsert_latest,
         "upsert_hash_gated": q_upsert_hash_gated,
+        "upsert_writer": q_upsert_writer,
+        "gold_display": q_gold_display,
         "source_routing": q_source_routing,
         "parked_sources": q_parked_sources,
         **filelane.queries(),

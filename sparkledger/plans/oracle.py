@@ -118,6 +118,10 @@ typed AS (
       CASE WHEN amount_gbp IS NULL THEN 'invalid_amount' END), '') AS rejection_reason
   FROM typed0)"""
 
+# every department, the unmapped one too
+ALL_TYPED_CTES = TYPED_CTES.replace(
+    "WHERE split_part(source_file, '_spend_', 1) IN ('africa', 'america', 'asia', 'europe')", "")
+
 LATEST_ORDER = ("ingested_at DESC NULLS LAST, record_hash DESC NULLS LAST, "
                 "payment_date DESC NULLS LAST, amount_gbp DESC NULLS LAST, "
                 "supplier_name DESC NULLS LAST, expense_category DESC NULLS LAST, "
@@ -262,10 +266,10 @@ FROM ledger""")
                                      "SELECT source_department, source_file, transaction_id, grant_ref, "
                                      "CAST(extras_size AS INTEGER) AS extras_size FROM conformed")
     q["union_by_name"] = _with(LEDGER_CTES, union_sql())
-    q["record_hash"] = _with(TYPED_CTES, "SELECT transaction_id, source_department, payment_date, amount_gbp, record_hash FROM typed")
+    q["record_hash"] = _with(ALL_TYPED_CTES, "SELECT transaction_id, source_department, payment_date, amount_gbp, record_hash FROM typed")
     q["rejection_reasons"] = _with(TYPED_CTES, "SELECT source_file, transaction_id, amount_raw AS raw_amount, payment_date_raw AS raw_date, rejection_reason FROM typed")
     q["quarantine_split"] = _with(TYPED_CTES, "SELECT source_file, source_department, transaction_id, amount_raw AS raw_amount, payment_date_raw AS raw_date, rejection_reason, ingested_at FROM typed WHERE rejection_reason IS NOT NULL")
-    q["broadcast_lookup"] = _with(TYPED_CTES, "SELECT source_file, transaction_id, source_department, department_group FROM typed")
+    q["broadcast_lookup"] = _with(ALL_TYPED_CTES, "SELECT source_file, transaction_id, source_department, department_group FROM typed")
     q["dedup_latest"] = _with(SILVER_CTES, "SELECT transaction_id, source_department, payment_date, amount_gbp, supplier_name, record_hash, ingested_at FROM silver")
     q["silver_build"] = _with(SILVER_CTES, f"SELECT {SILVER_COLS_SQL} FROM silver")
     q["assurance_join"] = _with(ASSURED_CTES, """SELECT transaction_id, source_department, supplier_name, cost_centre,
@@ -298,6 +302,12 @@ FROM silver WHERE source_department = 'asia' GROUP BY source_department ORDER BY
        WHEN {pick} THEN 'update' ELSE 'unchanged' END AS merge_action
 FROM existing t FULL OUTER JOIN incoming s
   ON t.transaction_id = s.transaction_id AND t.source_department = s.source_department""")
+    q["upsert_writer"] = _with(UPSERT_CTES, f"""SELECT {cols}
+FROM existing t FULL OUTER JOIN incoming s
+  ON t.transaction_id = s.transaction_id AND t.source_department = s.source_department""")
+    q["gold_display"] = _with(SILVER_CTES, f"""SELECT *, CAST(row_number() OVER (
+  ORDER BY source_department, payment_month, department_group NULLS FIRST) AS INTEGER) AS position
+FROM ({gold_sql("silver")})""")
     q["source_routing"] = _with(LEDGER_CTES, "SELECT DISTINCT source_file, split_part(source_file, '_spend_', 1) AS source_key FROM ledger")
     q["parked_sources"] = _with(LEDGER_CTES, """SELECT DISTINCT split_part(source_file, '_spend_', 1) AS source_key, source_file FROM ledger
 WHERE split_part(source_file, '_spend_', 1) NOT IN ('africa', 'america', 'asia', 'europe')""")

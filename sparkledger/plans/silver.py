@@ -61,6 +61,11 @@ def ledger_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(route(spend_ledger(spark, sf_dir), list(LEDGER_FEEDS)), LEDGER_DEPARTMENT_GROUPS)
 
 
+def every_ledger_row_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows of all departments, the unmapped one too (its group is NULL)."""
+    return typed(spend_ledger(spark, sf_dir), LEDGER_DEPARTMENT_GROUPS)
+
+
 def ledger_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_rejections(ledger_typed(spark, sf_dir))
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sparkledger.session import scratch_path
+from sparkledger.sources.journal import new_run_id
+from sparkledger.sources.storage import (delete_path, names_in, path_exists, read_text,
+                                         write_text)
 
 
 def balanced(df: DataFrame, partition_cols: list[str] | None) -> DataFrame:
@@ -60,11 +63,6 @@ def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None,
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-
-
 def read_parquet_or_none(spark: SparkSession, path: str,
                          schema: StructType | None = None) -> DataFrame | None:
     """The table, or None if its folder does not exist; any other failure to read it is
@@ -92,10 +90,42 @@ def ensure_table(spark: SparkSession, name: str, like: DataFrame,
     return True
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Recursively remove a folder through Hadoop's FileSystem (any storage scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
+CURRENT = "_current"
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in names_in(spark, path) if n.startswith("v")]
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder that a table written by ``replace_table`` now consists of."""
+    pointer = f"{path.rstrip('/')}/{CURRENT}"
+    if not path_exists(spark, pointer):
+        return None
+    return f"{path.rstrip('/')}/{read_text(spark, pointer)}"
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """Create or replace a whole table in one step; returns the new version's folder.
+
+    Rows go to a folder of their own; then one small pointer file is switched to it. A
+    write that dies leaves the old table as it was, and ``df`` may read the old version.
+    The version before the new one stays for readers that have begun."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    before = current_version(spark, path)
+    name = f"v{new_run_id()}"
+    df.write.parquet(f"{path}/{name}")
+    write_text(spark, f"{path}/{CURRENT}", name)
+    for old in _versions(spark, path):
+        if old != name and f"{path}/{old}" != before:
+            delete_path(spark, f"{path}/{old}")
+    return f"{path}/{name}"
+
+
+def read_replaced(spark: SparkSession, path: str,
+                  schema: StructType | None = None) -> DataFrame | None:
+    """The current version of a table written by ``replace_table``, or None."""
+    version = current_version(spark, path)
+    if version is None:
+        return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)

@@ -42,3 +42,13 @@ def test_keep_latest_has_a_partial_top1_and_parsers_run_once(spark):
 def test_row_policy_filter_reaches_the_aggregate_input(spark):
     plan = _plan(C.q_row_policy(spark, SF_DIR))
     assert "asia" in plan
+
+
+def test_rejected_rows_are_parsed_once(spark):
+    assert _plan(C.q_quarantine_split(spark, SF_DIR)).count("gettimestamp") == 4
+
+
+@pytest.mark.parametrize("query", [C.q_upsert_latest, C.q_upsert_hash_gated])
+def test_upserts_read_staged_rows_not_the_ledger(spark, query):
+    plan = _plan(query(spark, SF_DIR))
+    assert "l_orderkey" not in plan and "gettimestamp" not in plan
