@@ -47,55 +47,46 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-class State(dict):
-    """A set of hypotheses; byte -> (next state, tokens emitted on the way), made when read."""
-
-    __slots__ = ("machine", "hypotheses", "end")
-
-    def __init__(self, machine: Transducer, hypotheses: tuple):
-        self.machine = machine
-        self.hypotheses = hypotheses
-        self.end = machine.end(hypotheses)
-
-    def __missing__(self, byte: int) -> tuple[State, tuple[int, ...]]:
-        step = self[byte] = self.machine.step(self.hypotheses, byte)
-        return step
+#: Keys of a state, which is a dict, besides the bytes it has read: its hypotheses, and the
+#: tokens that it still holds if the piece ends here.
+HYPOTHESES, END = -1, -2
 
 
 class Transducer:
-    """Bytes of one piece in, tokens out."""
+    """Bytes of one piece in, tokens out.
+
+    A state maps a byte to (next state, tokens emitted on the way); what is missing is made
+    when it is read."""
 
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.most_states = most_states
-        self._place: dict[int, int] = {}
-        self._token: list[int] = [-1]
-        self._inner: list[bool] = [False]
-        for token, rank in ranks.items():
+        self._most = 1 + max(self.bytes_of, default=0)
+        #: The trie: of each node, byte -> (node, its token or -1, whether it leads on).
+        self._trie: list[dict[int, tuple[int, int, bool]]] = [{}]
+        for token in sorted(ranks, key=len):  # a token's beginnings come before it
             node = 0
-            for byte in token:
-                self._inner[node] = True
-                key = node << 8 | byte
-                node = self._place.get(key, -1)
-                if node < 0:
-                    node = self._place[key] = len(self._token)
-                    self._token.append(-1)
-                    self._inner.append(False)
-            self._token[node] = rank
+            for at, byte in enumerate(token):
+                inner = self._trie[node]
+                place, rank, leads = inner.get(byte, (0, -1, False))
+                if not place:
+                    place = len(self._trie)
+                    self._trie.append({})
+                last = at == len(token) - 1
+                inner[byte] = (place, ranks[token] if last else rank, leads or not last)
+                node = place
         self._follows: dict[int, bool] = {}
-        self._most = 1 + max(self.bytes_of, default=0)
-        self._states: dict[tuple, State] = {}
-        self._start = self._state(((0, -1, ()),))
-
-    def _state(self, hypotheses: tuple) -> State:
-        state = self._states.get(hypotheses)
-        if state is None:
-            if len(self._states) >= self.most_states:
-                # the start forgets where it leads, so that all but this state can go
-                self._start.clear()
-                self._states = {self._start.hypotheses: self._start}
-            state = self._states[hypotheses] = State(self, hypotheses)
+        self._states: dict[tuple, dict] = {}
+        self._start = self._state(((0, -1, ()),), ())
+
+    def _state(self, hypotheses: tuple, end: tuple[int, ...]) -> dict:
+        if len(self._states) >= self.most_states:
+            # the start forgets where it leads, so that all but this state can go
+            for byte in [k for k in self._start if k >= 0]:
+                del self._start[byte]
+            self._states = {self._start[HYPOTHESES]: self._start}
+        state = self._states[hypotheses] = {HYPOTHESES: hypotheses, END: end}
         return state
 
     def merged(self, data: bytes) -> list[int]:
@@ -115,63 +106,66 @@ class Transducer:
 
     def _may_follow(self, last: int, token: int) -> bool:
         """Whether ``token`` may come after ``last`` (-1: at the start of a piece)."""
-        key = (last + 1) * self._most + token
-        known = self._follows.get(key)
-        if known is None:
-            if len(self._follows) >= MOST_PAIRS:
-                self._follows.clear()
-            pair = [token] if last < 0 else [last, token]
-            known = self.merged(b"".join([self.bytes_of[t] for t in pair])) == pair
-            self._follows[key] = known
+        if len(self._follows) >= MOST_PAIRS:
+            self._follows.clear()
+        pair = [token] if last < 0 else [last, token]
+        known = self.merged(b"".join([self.bytes_of[t] for t in pair])) == pair
+        self._follows[(last + 1) * self._most + token] = known
         return known
 
-    def step(self, hypotheses: tuple, byte: int) -> tuple[State, tuple[int, ...]]:
-        """Hypotheses stay in the order in which their unfinished tokens begin. What has been
-        read has one encoding, so exactly one of them ends a token here."""
-        live, ended = [], None
-        for node, last, held in hypotheses:
-            place = self._place.get(node << 8 | byte)
-            if place is None:
+    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        """Hypotheses stay in the order in which their unfinished tokens begin, so what they
+        hold gets longer. What has been read has one encoding: exactly one ends a token."""
+        trie, follows, most = self._trie, self._follows, self._most
+        live, ended, whole = [], None, -1
+        for node, last, held in state[HYPOTHESES]:
+            found = trie[node].get(byte)
+            if found is None:
                 continue
-            token = self._token[place]
-            # at the start of a piece a whole-piece token counts, merges or not (see end)
-            if self._inner[place] or (last < 0 and token >= 0):
+            place, token, leads = found
+            if last < 0:
+                # at the start of a piece a whole-piece token counts, merges or not
+                whole = token
+                live.append((place, last, held))
+            elif leads:
                 live.append((place, last, held))
-            if ended is None and token >= 0 and self._may_follow(last, token):
-                ended = (0, token, (*held, token))
+            if token >= 0 and ended is None:
+                known = follows.get((last + 1) * most + token)
+                if known or (known is None and self._may_follow(last, token)):
+                    ended = (0, token, (*held, token))
         if ended is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         agreed = ended[2]
         for _, _, held in live:
+            if not held:
+                agreed = ()
+                break
             if held[:len(agreed)] != agreed:
                 n = 0
                 while n < len(held) and held[n] == agreed[n]:
                     n += 1
                 agreed = agreed[:n]
-            if not agreed:
-                break
         live.append(ended)
-        n = len(agreed)
-        return self._state(tuple([(node, last, held[n:]) for node, last, held in live]
-                                 if n else live)), agreed
-
-    def end(self, hypotheses: tuple) -> tuple[int, ...]:
-        """Tokens still held when a piece ends; a piece that is a token is that token."""
-        done: tuple[int, ...] = ()
-        for node, last, held in hypotheses:
-            if last < 0 and node and self._token[node] >= 0:
-                return (self._token[node],)
-            if not node:
-                done = held
-        return done
+        if agreed:
+            n = len(agreed)
+            live = [(node, last, held[n:]) for node, last, held in live]
+        after = tuple(live)
+        following = self._states.get(after)
+        if following is None:
+            following = self._state(after, (whole,) if whole >= 0 else live[-1][2])
+        step = state[byte] = following, agreed
+        return step
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         state, out = self._start, ()
         for byte in piece:
-            state, emitted = state[byte]
+            step = state.get(byte)
+            if step is None:
+                step = self._step(state, byte)
+            state, emitted = step
             if emitted:
                 out += emitted
-        return out + state.end
+        return out + state[END]
 
 
 class Encoder(dict):
