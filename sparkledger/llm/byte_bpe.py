@@ -47,9 +47,8 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-#: Keys of a state, which is a dict, besides the bytes it has read: its hypotheses, and the
-#: tokens that it still holds if the piece ends here.
-HYPOTHESES, END = -1, -2
+#: Key of a state, which is a dict, besides the bytes it has read: its hypotheses.
+HYPOTHESES = -1
 
 
 class Transducer:
@@ -78,15 +77,15 @@ class Transducer:
                 node = place
         self._follows: dict[int, bool] = {}
         self._states: dict[tuple, dict] = {}
-        self._start = self._state(((0, -1, ()),), ())
+        self._start = self._state(((0, -1, ()),))
 
-    def _state(self, hypotheses: tuple, end: tuple[int, ...]) -> dict:
+    def _state(self, hypotheses: tuple) -> dict:
         if len(self._states) >= self.most_states:
             # the start forgets where it leads, so that all but this state can go
             for byte in [k for k in self._start if k >= 0]:
                 del self._start[byte]
             self._states = {self._start[HYPOTHESES]: self._start}
-        state = self._states[hypotheses] = {HYPOTHESES: hypotheses, END: end}
+        state = self._states[hypotheses] = {HYPOTHESES: hypotheses}
         return state
 
     def merged(self, data: bytes) -> list[int]:
@@ -117,17 +116,13 @@ class Transducer:
         """Hypotheses stay in the order in which their unfinished tokens begin, so what they
         hold gets longer. What has been read has one encoding: exactly one ends a token."""
         trie, follows, most = self._trie, self._follows, self._most
-        live, ended, whole = [], None, -1
+        live, ended = [], None
         for node, last, held in state[HYPOTHESES]:
             found = trie[node].get(byte)
             if found is None:
                 continue
             place, token, leads = found
-            if last < 0:
-                # at the start of a piece a whole-piece token counts, merges or not
-                whole = token
-                live.append((place, last, held))
-            elif leads:
+            if leads:
                 live.append((place, last, held))
             if token >= 0 and ended is None:
                 known = follows.get((last + 1) * most + token)
@@ -152,20 +147,36 @@ class Transducer:
         after = tuple(live)
         following = self._states.get(after)
         if following is None:
-            following = self._state(after, (whole,) if whole >= 0 else live[-1][2])
+            following = self._state(after)
         step = state[byte] = following, agreed
         return step
 
+    def _end(self, state: dict, byte: int) -> tuple[int, ...]:
+        """What is still to be emitted when ``byte`` is the last of its piece: a piece that
+        is a token is that token; else one hypothesis ends a token here."""
+        trie, follows, most = self._trie, self._follows, self._most
+        for node, last, held in state[HYPOTHESES]:
+            found = trie[node].get(byte)
+            if found is None or found[1] < 0:
+                continue
+            token = found[1]
+            if last < 0:
+                return (token,)
+            known = follows.get((last + 1) * most + token)
+            if known or (known is None and self._may_follow(last, token)):
+                return (*held, token)
+        raise ValueError(f"the vocabulary has no token for byte {byte}")
+
     def encode(self, piece: bytes) -> tuple[int, ...]:
         state, out = self._start, ()
-        for byte in piece:
+        for byte in piece[:-1]:
             step = state.get(byte)
             if step is None:
                 step = self._step(state, byte)
             state, emitted = step
             if emitted:
                 out += emitted
-        return out + state[END]
+        return out + self._end(state, piece[-1]) if piece else out
 
 
 class Encoder(dict):
