@@ -1,10 +1,14 @@
 """Held-out accuracy and located sentences."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
+from sparkledger.llm import kernels as K
 from sparkledger.llm import toxicity as T
 
 BAD = ("vile", "nasty", "horrid")
@@ -52,23 +56,68 @@ def test_held_out_labels_are_never_read(spark, make_docs):
                for i, q, y in labels]
     a = T.fit(make_docs(rows), _labels(spark, labels))
     b = T.fit(make_docs(rows), _labels(spark, flipped))
-    assert a[0] == b[0] and (a[1] == b[1]).all()
+    assert a[:2] == b[:2] and (a.weights == b.weights).all()
+
+
+def _plainly(text, model):
+    """Noisy-or by loops over sentences and words."""
+    keep = 1 / (1 + math.exp(model.leak))
+    for sentence in re.split(r"[.!?\n]", text or ""):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", sentence)
+        if not words:
+            continue
+        block = K.text_block(pa.RecordBatch.from_pydict({"text": [" ".join(words)]}), "text")
+        found = [model.weights[f] for f in T.sentence_bags(block).features]
+        if any(found):
+            keep *= 1 / (1 + math.exp(model.bias + math.fsum(map(float, found))))
+    return 1 - keep
+
+
+def test_noisy_or_with_a_trained_model(spark, make_docs):
+    rows, labels = _corpus(300)
+    model = T.fit(make_docs(rows), _labels(spark, labels))
+    assert (model.weights != 0).sum() > 3
+    extra = [(1001, ""), (1002, None), (1003, "...\n"), (None, "vile. nasty! w1"), (1, "w2"), (1, "w2")]
+    got = T.score_toxicity(make_docs(rows + extra), model).collect()
+    want = sorted(((str(i), _plainly(t, model)) for i, t in rows + extra))
+    have = sorted((str(r.doc_id), r.score) for r in got)
+    assert [i for i, _ in have] == [i for i, _ in want]
+    assert np.allclose([p for _, p in have], [p for _, p in want], rtol=1e-6, atol=1e-9)
+
+
+def test_length_alone_is_never_toxic(spark, make_docs):
+    rows, labels = _corpus()
+    model = T.fit(make_docs(rows), _labels(spark, labels))
+    clean = ". ".join(f"w{i % 300} w{i % 7}" for i in range(100_000))
+    listing = "1 2. " * 10_000
+    got = T.score_toxicity(make_docs([(1, clean), (2, listing), (3, clean + ". so vile.")]), model)
+    scores = {r.doc_id: r.score for r in got.collect()}
+    assert scores[1] < T.THRESHOLD and scores[2] < T.THRESHOLD <= scores[3]
+
+
+def test_long_labelled_rows_are_learned_from(spark, make_docs):
+    """Toxic rows of 100 KB: the only ones there are."""
+    rows, labels = _corpus(300)
+    pad = "w1 w2 w3. " * 10_000
+    long = [(i, pad + t if y else t) for (i, t), (_, _, y) in zip(rows, labels, strict=True)]
+    model = T.fit(make_docs(long), _labels(spark, labels))
+    got = {r.doc_id: r.predicted for r in T.score_toxicity(make_docs(long), model).collect()}
+    held = [(i, y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(got[i] == y for i, y in held) >= 0.9 * len(held)
 
 
-def test_noisy_or(spark, make_docs):
-    weights = np.zeros(1 << T.FEATURE_BITS, np.float32)
-    p = 1 / (1 + np.exp(2.0))
-    rows = [(1, "a. b! c"), (2, "a"), (3, ""), (4, None), (5, "...\n"), (None, "x"), (2, "a")]
-    got = T.score_toxicity(make_docs(rows), (-2.0, weights)).collect()
-    want = [1 - (1 - p) ** 3] + [p] * 6
-    assert np.allclose([r.score for r in got], want)
-    assert [r.predicted for r in got] == [int(w >= T.THRESHOLD) for w in want]
+def test_a_document_with_both_labels_is_toxic(spark, make_docs):
+    rows, labels = _corpus(200)
+    both = labels + [(i, q, 0) for i, q, y in labels if y]
+    a = T.fit(make_docs(rows), _labels(spark, labels))
+    b = T.fit(make_docs(rows), _labels(spark, both))
+    assert a[:2] == b[:2] and (a.weights == b.weights).all()
 
 
 def test_no_labels_and_empty_table(spark, make_docs):
     none = _labels(spark, [])
     model = T.fit(make_docs([(1, "a")]), none)
-    assert model[0] == T.BIAS and not model[1].any()
+    assert model[:2] == (T.LEAK, T.BIAS) and not model.weights.any()
     one_class = _labels(spark, [(1, 0, 0), (None, 1, 1), (2, 1, None)])
-    assert not T.fit(make_docs([(1, "a"), (2, "b")]), one_class)[1].any()
+    assert not T.fit(make_docs([(1, "a"), (2, "b")]), one_class).weights.any()
     assert T.score_toxicity(make_docs([]), model).count() == 0
