@@ -27,8 +27,9 @@ PERCENT = 75
 BANDS, ROWS = 28, 4
 #: Slots in all; the bands take the first ones, the estimate of a similarity all of them.
 SLOTS = 224
-#: Pairs of a lower estimate are not confirmed: 3 standard deviations below the threshold.
-SLACK = 0.09
+#: Pairs of a lower estimate are not confirmed. A pair at the threshold is estimated so far
+#: below it, 4.5 standard deviations, with probability 3e-6.
+SLACK = 0.13
 #: Members of a bucket that are compared with each other in one task.
 BLOCK = 512
 _SEED = 101
@@ -225,15 +226,15 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int):
 
 
 def full_sets(reps: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """(rep, shingles): the sorted shingle hashes of the given representatives."""
-    wanted = staged(reps.distinct().join(classes.select("rep", "f1", "f2"), "rep"), "wanted")
-    texts = docs.join(wanted.select("rep").distinct(), F.col("doc_id") == F.col("rep"),
+    """(rep, shingles): the sorted shingle hashes of the given classes."""
+    wanted = staged(reps.distinct().join(classes.select("rep", "lead", "f1", "f2"), "rep"),
+                    "wanted")
+    texts = docs.join(wanted.select("lead").distinct(), F.col("doc_id") == F.col("lead"),
                       "left_semi")
     sets = staged(texts.mapInArrow(lambda b: _sets(b, shingle),
                                    "doc_id long, f1 long, f2 long, shingles binary"), "sets")
-    return staged(sets.join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "f1", "f2"],
-                            "left_semi").dropDuplicates(["doc_id"])
-                  .select(F.col("doc_id").alias("rep"), "shingles"), "own-sets")
+    return staged(sets.join(wanted.withColumnRenamed("lead", "doc_id"), ["doc_id", "f1", "f2"])
+                  .dropDuplicates(["rep"]).select("rep", "shingles"), "own-sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int,
@@ -277,7 +278,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     Null and empty texts, and those without words, have no shingles and stand alone, as do
     rows without a doc_id (component null, kept). Rows that repeat a doc_id are judged by
-    their own text; texts that lead their class under one doc_id count as one document.
+    their own text, and only links join them.
     An empty table gives no rows. Other columns are not read."""
     own = id_and_text(docs)
     least = percent / 100 - SLACK
@@ -286,12 +287,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary"),
         "signatures")
     usable = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = staged(usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")),
-                     "classes")
-    leads = staged(usable.join(classes.withColumnRenamed("rep", "doc_id"),
-                               ["doc_id", "f1", "f2", "n_shingles"], "left_semi")
-                   .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"),
-                           "bands", "sig").dropDuplicates(["rep"]), "leads")
+    # a class of equal sets goes by a name of its set; its lead is its smallest doc_id
+    classes = staged(usable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("lead"))
+                     .withColumn("rep", F.xxhash64("f1", "f2", "n_shingles")), "classes")
+    leads = staged(usable.join(classes.withColumnRenamed("lead", "doc_id"),
+                               ["doc_id", "f1", "f2", "n_shingles"])
+                   .select("rep", F.col("n_shingles").alias("n"), "bands", "sig")
+                   .dropDuplicates(["rep"]), "leads")
     banded = leads.select("rep", "n", F.explode("bands").alias("key"))
     # a bucket's centre is another member in each band, so a member meets several centres
     centres = staged(banded.groupBy("key").agg(
@@ -332,9 +334,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             lambda t: _links_across(t, slots, least, percent), "a long, b long")
     links = _joined(found, staged(across, "across-links"))
     found = staged(components(links), "components")
-    named = staged(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                   .select("f1", "f2", F.col("n_shingles").alias("n"), "rep",
-                           F.coalesce("component", "rep").alias("component")), "named")
+    grouped = staged(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                     .select("f1", "f2", F.col("n_shingles").alias("n"), "lead",
+                             F.coalesce("component", "rep").alias("group")), "grouped")
+    smallest = grouped.groupBy("group").agg(F.min("lead").alias("component"))
+    named = staged(grouped.join(smallest, "group").select("f1", "f2", "n", "lead", "component"),
+                   "named")
     out = signed.drop("bands", "sig").join(
         named, (signed["f1"] == named["f1"]) & (signed["f2"] == named["f2"])
         & (signed["n_shingles"] == named["n"]), "left")
@@ -343,7 +348,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "doc_id", "n_shingles",
         F.when(~alone, F.coalesce("component", "doc_id")).alias("component_id"),
         (alone | (F.col("doc_id") == F.coalesce("component", "doc_id"))).alias("kept"),
-        F.when(~alone, F.col("rep")).alias("class_id"))
+        F.when(~alone, F.col("lead")).alias("class_id"))
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:

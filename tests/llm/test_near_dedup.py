@@ -78,6 +78,15 @@ def test_superminhash_estimates_similarity(prose):
     assert sorted((one[0] >> np.uint64(57)).tolist()) == list(range(112))  # a permutation
 
 
+def test_links_of_texts_under_one_id(spark, make_docs, prose):
+    """Each text of a repeated doc_id keeps its own links."""
+    x, y = prose(31, 80), prose(32, 80)
+    rows = [(1, x), (1, y), (2, x + " w1"), (3, y + " w2"), (4, prose(33, 80))]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in
+                 N.near_duplicates(make_docs(rows)).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_missing_ids_repeated_rows_and_empty_table(spark, make_docs, prose):
     t = prose(3, 50)
     got = N.near_duplicates(make_docs([(None, t), (5, t), (5, t), (9, t)])).collect()
