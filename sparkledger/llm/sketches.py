@@ -1,11 +1,14 @@
 """Count-min sketches of hashes: partial sketches of partitions, merged range by range.
 
-The merged sketch only tells which cells were counted twice or more, has a fixed size
-whatever the input, and overestimates: a hash that occurs twice is always reported.
+The merged sketch only tells which cells were counted twice or more, and overestimates: a
+hash that occurs twice is always reported. It has CELLS_EACH cells for each hash expected, up
+to a bound on what is broadcast; beyond that more hashes share a cell, and the exact pass
+behind the sketch gets more to do, but loses nothing.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -16,18 +19,26 @@ from pyspark.sql import DataFrame
 from . import kernels as K
 from .common import partitions
 
-#: DEPTH rows of 2**CELL_BITS counters (0, 1, 2 or more), merged in ranges.
+#: DEPTH rows of counters (0, 1, 2 or more), merged in ranges of 2**RANGE_BITS.
 DEPTH = 2
-CELL_BITS = 27
-RANGE_BITS = 19
+CELLS_EACH = 16
+#: At most 2**MOST_CELL_BITS cells a row: 32 MB of bits in all.
+MOST_CELL_BITS = 27
+RANGE_BITS = 16
 #: Hashes counted in a task before they are summed up.
 FLUSH = 1 << 19
 
 Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
 
-def _cells(hashes: np.ndarray) -> list[np.ndarray]:
-    mask = K.U64((1 << CELL_BITS) - 1)
+def cell_bits(expected: int) -> int:
+    """Bits of a cell's number, for so many hashes."""
+    wanted = math.ceil(math.log2(max(1, CELLS_EACH * expected)))
+    return min(MOST_CELL_BITS, max(RANGE_BITS, wanted))
+
+
+def _cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    mask = K.U64((1 << bits) - 1)
     return [((K.mix(hashes + K.U64(r)) if r else hashes) & mask).astype(np.uint32)
             for r in range(DEPTH)]
 
@@ -49,14 +60,14 @@ def _summed(seen: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return cells[first], np.minimum(np.add.reduceat(counts, first), 2).astype(np.uint8)
 
 
-def _partial(hashes: Iterator[np.ndarray]):
+def _partial(hashes: Iterator[np.ndarray], bits: int):
     """A partition's sketch: of each row and range, the cells counted once and more."""
     seen: list[list] = [[] for _ in range(DEPTH)]
     pending = 0
     for found in hashes:
         if not len(found):
             continue
-        for r, cells in enumerate(_cells(found)):
+        for r, cells in enumerate(_cells(found, bits)):
             seen[r].append((cells, np.ones(len(cells), np.uint8)))
         pending += len(found)
         if pending >= FLUSH:
@@ -72,7 +83,7 @@ def _partial(hashes: Iterator[np.ndarray]):
         cuts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1], [True]]))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             inside = cells[a:b] & np.uint32((1 << RANGE_BITS) - 1)
-            keys.append(int(r << (CELL_BITS - RANGE_BITS) | ranges[a]))
+            keys.append(int(r << (bits - RANGE_BITS) | ranges[a]))
             once.append(_coded(inside[counts[a:b] == 1]))
             more.append(_coded(inside[counts[a:b] > 1]))
     yield pa.RecordBatch.from_arrays(
@@ -97,25 +108,27 @@ def _merge(batches: Iterator[pa.RecordBatch]):
         names=["range", "bits"])
 
 
-def sketch(docs: DataFrame, hashes: Hashes) -> bytes:
-    """The merged sketch of all hashes: DEPTH * 2**CELL_BITS bits."""
-    parts = docs.mapInArrow(lambda b: _partial(hashes(b)),
+def sketch(docs: DataFrame, hashes: Hashes, expected: int) -> bytes:
+    """The merged sketch of all hashes, about ``expected`` of them: a bit for each cell."""
+    bits = cell_bits(expected)
+    parts = docs.mapInArrow(lambda b: _partial(hashes(b), bits),
                             "range int, once binary, more binary")
     merged = parts.repartition(partitions(docs.sparkSession), "range") \
-        .mapInArrow(_merge, "range int, bits binary").collect()  # fixed size
+        .mapInArrow(_merge, "range int, bits binary").collect()  # bounded: MOST_CELL_BITS
     size = 1 << (RANGE_BITS - 3)
-    out = np.zeros(DEPTH << (CELL_BITS - 3), np.uint8)
+    out = np.zeros(DEPTH << (bits - 3), np.uint8)
     for r in merged:
         out[r["range"] * size:(r["range"] + 1) * size] = \
             np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return out.tobytes()
 
 
-def repeated(hashes: np.ndarray, bits: bytes) -> np.ndarray:
+def repeated(hashes: np.ndarray, sketched: bytes) -> np.ndarray:
     """Mask of the hashes whose estimated count is above 1."""
-    table = np.frombuffer(bits, np.uint8)
+    table = np.frombuffer(sketched, np.uint8)
+    bits = (len(table) // DEPTH).bit_length() + 2
     high = np.ones(len(hashes), bool)
-    for r, cells in enumerate(_cells(hashes)):
-        byte = table[(r << (CELL_BITS - 3)) + (cells >> 3).astype(np.int64)]
+    for r, cells in enumerate(_cells(hashes, bits)):
+        byte = table[(r << (bits - 3)) + (cells >> 3).astype(np.int64)]
         high &= (byte >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
     return high

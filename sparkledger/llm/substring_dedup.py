@@ -29,6 +29,8 @@ WINDOW = 20
 ANCHOR = 12
 _SEED = 811
 #: A null doc_id comes after all others.
+#: Bytes of a word and the space behind it, in the estimate of a sketch's size.
+WORD_BYTES = 6
 _NO_ID = (1 << 63) - 1
 
 
@@ -170,8 +172,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     spark = docs.sparkSession
     own = id_and_text(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"),
                                    F.col("doc_id").alias("id"), "text")
+    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # one word in about half of those that a window can have its anchor at is an anchor
+    expected = 2 * total // (WORD_BYTES * (window - anchor + 1))
     sent = spark.sparkContext.broadcast(
-        sketch(own.select("text"), lambda b: _chosen(b, window, anchor)))
+        sketch(own.select("text"), lambda b: _chosen(b, window, anchor), expected))
     grouped = own.select("doc_id", "text").mapInArrow(
         lambda b: _grouped(b, sent.value, window, anchor), "h1 long, h2 int, doc long, place int")
     firsts = grouped.repartition(partitions(spark), "h1") \

@@ -36,8 +36,9 @@ GRAM = 32
 SPAN = 128
 #: Doubling rounds before the exact one: 1 and 2 consecutive anchors.
 ROUNDS = 2
-#: Bits of the fixed-size filter of contested inner parts, and its probes.
-CONTESTED_BITS = 27
+#: Bits of the filter for each contested inner part, and at most 2**MOST_CONTESTED_BITS.
+CONTESTED_EACH = 32
+MOST_CONTESTED_BITS = 27
 #: Rows summed up at once.
 FLUSH = 1 << 18
 _BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
@@ -187,16 +188,16 @@ def _run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, span: i
         yield held.flush()
 
 
-def _contested_bits(inner: np.ndarray) -> list[np.ndarray]:
-    mask = K.U64((1 << CONTESTED_BITS) - 1)
+def _contested_bits(inner: np.ndarray, size: int) -> list[np.ndarray]:
+    mask = K.U64((1 << size) - 1)
     return [(inner >> K.U64(s) & mask).astype(np.int64) for s in (0, 32)]
 
 
-def _filter_of(batches: Iterator[pa.RecordBatch]):
+def _filter_of(batches: Iterator[pa.RecordBatch], size: int):
     """Byte numbers and bits of the filter that this partition's inner parts set."""
     for batch in batches:
         inner = np.asarray(batch.column("inner")).view(K.U64)
-        bits = np.unique(np.concatenate(_contested_bits(inner)))
+        bits = np.unique(np.concatenate(_contested_bits(inner, size)))
         byte, where = np.unique(bits >> 3, return_index=True)
         value = np.bitwise_or.reduceat((1 << (7 - (bits & 7))).astype(np.uint8), where) \
             if len(bits) else np.empty(0, np.uint8)
@@ -208,7 +209,7 @@ def _filter_of(batches: Iterator[pa.RecordBatch]):
 def _contested(inner: np.ndarray, bits: bytes) -> np.ndarray:
     have = np.frombuffer(bits, np.uint8)
     out = np.ones(len(inner), bool)
-    for b in _contested_bits(inner):
+    for b in _contested_bits(inner, len(have).bit_length() + 2):
         out &= have[b >> 3] >> (7 - (b & 7)).astype(np.uint8) & 1 == 1
     return out
 
@@ -288,10 +289,12 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = G
     own = id_and_text(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"),
                                    F.col("doc_id").alias("id"), "text")
     sent: list = []
+    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     for _ in range(rounds):
         done = list(sent)
+        # one position in about half a span is an anchor
         sent.append(sc.broadcast(sketch(own.select("text"), lambda b, done=done: _names(
-            b, length, gram, span, [x.value for x in done]))))
+            b, length, gram, span, [x.value for x in done]), 2 * total // span)))
 
     def sketches() -> list[bytes]:
         return [x.value for x in sent]
@@ -307,9 +310,11 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = G
     inner = runs.groupBy("inner").agg(F.sum("n").alias("total"), F.min("n").alias("least"))
     open_inner = staged(inner.filter((F.col("total") > 1) & (F.col("least") == 1))
                         .select("inner"), "contested")
-    filled = open_inner.mapInArrow(_filter_of, "byte int, bits int") \
-        .groupBy("byte").agg(F.bit_or("bits").alias("bits")).toArrow()  # fixed size
-    filter_bytes = np.zeros(1 << (CONTESTED_BITS - 3), np.uint8)
+    wanted = (CONTESTED_EACH * open_inner.count()).bit_length()
+    size = min(MOST_CONTESTED_BITS, max(12, wanted))
+    filled = open_inner.mapInArrow(lambda b: _filter_of(b, size), "byte int, bits int") \
+        .groupBy("byte").agg(F.bit_or("bits").alias("bits")).toArrow()  # bounded: size
+    filter_bytes = np.zeros(1 << (size - 3), np.uint8)
     filter_bytes[np.asarray(filled.column("byte"))] = np.asarray(filled.column("bits"))
     contested = sc.broadcast(filter_bytes.tobytes())
     windows = own.select("doc_id", "text").mapInArrow(

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from sparkledger.llm import kernels as K
 from sparkledger.llm import sketches, substring_dedup
@@ -61,14 +62,22 @@ def test_anchor_is_the_leftmost_minimum():
             p + int(np.argmin(grams[p:p + span])) for p in range(len(grams) - span + 1)]
 
 
-def test_sketch_never_underestimates(spark):
+@pytest.mark.parametrize("expected, share", [(6667, 0.4), (1, 1.1), (10**7, 0.34)])
+def test_sketch_never_underestimates(spark, expected, share):
     h = K.stream(1, 5000)
     twice = [h, h[::3]]
     data = spark.createDataFrame([(i,) for i in range(2)], "n int").repartition(2)
     seen = sketches.sketch(data, lambda batches: (
-        twice[n] for b in batches for n in b.column("n").to_pylist()))
+        twice[n] for b in batches for n in b.column("n").to_pylist()), expected)
+    assert len(seen) == sketches.DEPTH << (sketches.cell_bits(expected) - 3)
     high = sketches.repeated(h, seen)
-    assert high[::3].all() and high.mean() < 0.4
+    assert high[::3].all() and high.mean() < share
+
+
+def test_sketch_size_follows_the_input_up_to_a_bound():
+    bits = [sketches.cell_bits(n) for n in (0, 100, 10**5, 10**6, 10**12)]
+    assert bits[0] == bits[1] == sketches.RANGE_BITS
+    assert bits[2] < bits[3] < bits[4] == sketches.MOST_CELL_BITS
 
 
 def test_missing_ids_and_empty_table(spark, make_docs, prose):
