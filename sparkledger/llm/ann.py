@@ -193,16 +193,19 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, codes: Codes | No
     own vec_id excepted, ties to the smaller vec_id.
 
     Unusable vectors (see ``usable``) and those without vec_id take no part, as rows or as
-    queries. Vectors of another length than the first usable one's are unusable too. Rows
+    queries. Vectors of another length than the commonest one (the longer of two as common)
+    are unusable too. Rows
     that repeat a vec_id are one row, that of the smallest vector. Tables without usable
     vectors give no rows. Other columns are not read."""
     spark = vectors.sparkSession
     clean = usable(vectors)
-    dims = clean.agg(F.min(F.size("v"))).first()[0]
+    lengths = clean.groupBy(F.size("v").alias("size")).count() \
+        .orderBy(F.desc("count"), F.desc("size")).first()
+    dims = lengths["size"] if lengths else 0
     one = F.min("v").alias("v")
-    rows = staged(clean.filter(F.size("v") == F.lit(dims or 0)).groupBy("vec_id").agg(one),
+    rows = staged(clean.filter(F.size("v") == F.lit(dims)).groupBy("vec_id").agg(one),
                   "vectors")
-    asked = staged(usable(queries).filter(F.size("v") == F.lit(dims or 0))
+    asked = staged(usable(queries).filter(F.size("v") == F.lit(dims))
                    .groupBy("vec_id").agg(one), "queries")
     n, q = rows.count(), asked.count()
     if codes is None:

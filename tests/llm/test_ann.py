@@ -76,3 +76,14 @@ def test_empty_tables(spark):
     assert ann.nearest_neighbours(none, none).count() == 0
     assert ann.nearest_neighbours(one, one).count() == 0
     assert ann.nearest_neighbours(one, none).count() == 0
+
+
+def test_vectors_of_another_length_cost_no_result(spark):
+    """One short and one long vector in a table of 16 components."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(300)]
+    odd = [(1000, [1.0, 2.0, 3.0, 4.0]), (1100, [1.0] * 40)]
+    vectors = _vectors(spark, rows + odd)
+    got = _found(ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0")))
+    assert sorted(got) == [0, 100, 200] and all(len(v) == 10 for v in got.values())
+    assert all(i < 300 for v in got.values() for i, _ in v)
