@@ -224,7 +224,8 @@ def detect(text: str) -> list[tuple[int, int, int]]:
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, spans that only the normalised text shows), in code points.
 
-    A mapped span that touches a base span of its kind is that base span again."""
+    A mapped span inside a span of its kind adds nothing; one that reaches further is added
+    beside it."""
     base = detect(text)
     tape = normalise(text)
     if tape is None:
@@ -232,7 +233,7 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     more = []
     for a, b, kind in detect(tape.text):
         s, e = tape.start[a], tape.end[b - 1]
-        if not any(k == kind and s < y and x < e for x, y, k in [*base, *more]):
+        if not any(k == kind and x <= s and e <= y for x, y, k in [*base, *more]):
             more.append((s, e, kind))
     return base, more
 

@@ -90,3 +90,13 @@ def test_each_step_sees_what_the_one_before_left():
                        ("email", "jane <at> example dot com"),
                        ("ip", "192 point 168 point 1 point 1")):
         assert _more(text) == [(kind, text)], text
+
+
+def test_a_wider_disguised_span_is_added_beside_the_base_one():
+    text = "write to jane@mail.example dot com now"
+    base, more = pii.find_spans(text)
+    assert [text[a:b] for a, b, _ in base] == ["jane@mail.example"]
+    assert [text[a:b] for a, b, _ in more] == ["jane@mail.example dot com"]
+    spans = sorted([*base, *more], key=lambda s: (s[0], s[2]))
+    masked = pii.mask(text, [{"start": a, "end": b, "kind": pii.KINDS[k]} for a, b, k in spans])
+    assert masked == "write to [EMAIL] now"
