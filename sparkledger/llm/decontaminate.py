@@ -11,6 +11,7 @@ a shuffle and the broadcast never grows with the benchmark.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import id_and_text, table
+from .common import id_and_text, staged, table
 
 WINDOW = 13
 #: A document is contaminated from this share of hit words: hits * RATIO >= words.
@@ -120,13 +121,40 @@ def search(words: np.ndarray, offsets: np.ndarray, tests: Suffixes):
     return longest, np.repeat(whole, counts), place[K.ranges(lo[whole], counts)]
 
 
-#: What the documents carry from batch to batch, under names that hardly clash.
-_STATE = {"_n_words": "long", "_n_hit": "long", "_hits": "binary", "_items": "array<string>",
-          "_longest": "long"}
-
-
-def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool, keep_text: bool):
-    """Adds to each document the hit words (a bit each) and items of one batch of tests."""
+#: What a document carries from batch to batch, in one column of a name of its own.
+_MATCH = pa.struct([("item", pa.string()), ("item_word", pa.int64()), ("word", pa.int64()),
+                    ("words", pa.int64())])
+_STATE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("hits", pa.binary()),
+                    ("items", pa.list_(pa.string())), ("matches", pa.list_(_MATCH))])
+_STATE_SQL = ("struct<n_words:long,n_hit:long,hits:binary,items:array<string>,matches:"
+              "array<struct<item:string,item_word:long,word:long,words:long>>>")
+
+
+def maximal_matches(doc: np.ndarray, place: np.ndarray, test: np.ndarray, tests: Suffixes):
+    """Whole window hits joined to longest verbatim matches: hits of one item that step
+    through document and item together are one match.
+
+    Returns arrays (doc, item number, first word in the item, first place, words)."""
+    start, item = tests.start[test], tests.item[test]
+    order = np.lexsort((place, place - start, item, doc))
+    doc, place, start, item = doc[order], place[order], start[order], item[order]
+    if not len(doc):
+        return (np.empty(0, np.int64),) * 5
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) \
+        | (place[1:] - place[:-1] != 1) | (start[1:] - start[:-1] != 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    begins = np.full(len(tests.items), np.iinfo(np.int64).max)
+    np.minimum.at(begins, tests.item, tests.start)
+    words = place[last] - place[first] + tests.length[test[order[last]]]
+    return doc[first], item[first], start[first] - begins[item[first]], place[first], words
+
+
+def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool, keep_text: bool,
+           column: str):
+    """Adds to each document the hit words (a bit each), items and longest matches of one
+    batch of tests."""
     codes = K.byte_codes(_SEED, True)
     for block in K.text_blocks(batches, "text", ARRAY_BYTES):
         found = K.find_words(block, K.ALNUM)
@@ -138,44 +166,46 @@ def _match(batches: Iterator[pa.RecordBatch], tests: Suffixes, last: bool, keep_
         np.add.at(mask, place, 1)
         np.add.at(mask, place + tests.length[test], -1)
         hit = np.cumsum(mask[:-1]) > 0
-        longest = np.zeros(n, np.int64)
-        np.maximum.at(longest, doc[place], tests.length[test])
-        names: dict[int, set[str]] = {}
-        pairs = np.unique(np.stack([doc[place], tests.item[test]], 1), axis=0)
-        for d, i in pairs.tolist():
-            names.setdefault(d, set()).add(tests.items[i])
-        before = block.batch
-        seen_hits = before.column("_hits").to_pylist()
-        seen_items = before.column("_items").to_pylist()
-        seen_longest = before.column("_longest").to_pylist()
-        hits, items, n_hit = [], [], np.zeros(n, np.int64)
-        for d in range(n):
+        matches: dict[int, list[dict]] = {}
+        for d, i, item_word, word, size in zip(*(x.tolist() for x in maximal_matches(
+                doc[place], place, test, tests)), strict=True):
+            matches.setdefault(d, []).append(
+                {"item": tests.items[i], "item_word": item_word,
+                 "word": word - int(found.offsets[d]), "words": size})
+        states = []
+        for d, seen in enumerate(block.batch.column(column).to_pylist()):
             own = hit[found.offsets[d]:found.offsets[d + 1]]
-            if seen_hits[d]:
-                own = own | np.unpackbits(np.frombuffer(seen_hits[d], np.uint8),
+            seen = seen or {}
+            if seen.get("hits"):
+                own = own | np.unpackbits(np.frombuffer(seen["hits"], np.uint8),
                                           count=len(own)).astype(bool)
-            n_hit[d] = own.sum()
-            hits.append(np.packbits(own).tobytes() if n_hit[d] and not last else None)
-            items.append(sorted(names.get(d, set()) | set(seen_items[d] or ())))
-        new = {"_n_words": pa.array(found.counts.astype(np.int64)), "_n_hit": pa.array(n_hit),
-               "_hits": K.binary_list(hits), "_items": pa.array(items, pa.list_(pa.string())),
-               "_longest": pa.array(np.maximum(longest, [x or 0 for x in seen_longest]))}
+            got = (seen.get("matches") or []) + matches.get(d, [])
+            states.append({
+                "n_words": len(own), "n_hit": int(own.sum()),
+                "hits": np.packbits(own).tobytes() if own.any() and not last else None,
+                "items": sorted({m["item"] for m in got}),
+                "matches": sorted(got, key=lambda m: (m["word"], m["item"], m["item_word"],
+                                                      m["words"]))})
+        new = {column: pa.array(states, _STATE)}
         if last and not keep_text:
             new["text"] = pa.nulls(n, pa.string())
-        names = before.schema.names
-        yield pa.RecordBatch.from_arrays([new.get(x, before.column(x)) for x in names],
-                                         names=names)
+        before = block.batch
+        yield pa.RecordBatch.from_arrays(
+            [new.get(x, before.column(x)) for x in before.schema.names],
+            names=before.schema.names)
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, window: int, batch_bytes: int,
-           keep_text: bool) -> DataFrame:
-    """``docs`` with the state columns filled in by every batch of the benchmark."""
+           keep_text: bool) -> tuple[DataFrame, str]:
+    """``docs`` with a column, which it names, that every batch of the benchmark has added
+    to (see ``_STATE``)."""
     tests = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.col("text").cast("string").alias("text")) \
         .filter(F.col("text").isNotNull())
     total = tests.agg(F.sum(F.octet_length("text"))).first()[0]
     parts = max(1, math.ceil((total or 0) / batch_bytes))
-    state = docs.select("*", *[F.lit(None).cast(t).alias(c) for c, t in _STATE.items()])
+    column = f"_found_{uuid.uuid4().hex}"
+    state = docs.select("*", F.lit(None).cast(_STATE_SQL).alias(column))
     sc = docs.sparkSession.sparkContext
     for part in range(parts):
         rows = tests.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part) \
@@ -185,38 +215,43 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int, batch_bytes: int,
         last = part == parts - 1
 
         def match(batches, sent=sent, last=last):
-            return _match(batches, Suffixes(*sent.value), last, keep_text)
+            return _match(batches, Suffixes(*sent.value), last, keep_text, column)
 
         state = state.mapInArrow(match, state.schema)
         if not last:
-            state = state.checkpoint()
-    return state
+            state = staged(state, "benchmark-batch")
+    return state, column
 
 
-def _contaminated(ratio: int):
-    return (F.col("_n_hit") > 0) & (F.col("_n_hit") * ratio >= F.col("_n_words"))
+def _contaminated(column: str, ratio: int):
+    hit, words = F.col(column)["n_hit"], F.col(column)["n_words"]
+    return (hit > 0) & (hit * ratio >= words)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        ratio: int = RATIO, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (matching item ids, sorted as strings),
-    longest (words of the longest matched window) and contaminated.
+    matches (the longest verbatim matches of at least a window: item, first word in the
+    item, first word in the document, words; by place), longest (words of the longest) and
+    contaminated.
 
     A null text has no words and is never contaminated; an item with null text or without
     words is never matched, one without id counts but is named "". Rows that repeat a
     doc_id are judged one by one, repeated items count once. An empty benchmark matches
     nothing; an empty documents table gives no rows. Other columns are not read."""
-    state = judged(id_and_text(docs), benchmark, window, batch_bytes, False)
-    return state.select("doc_id", *[F.col(f"_{c}").alias(c) for c in
-                                    ("n_words", "n_hit", "items", "longest")],
-                        _contaminated(ratio).alias("contaminated"))
+    state, column = judged(id_and_text(docs), benchmark, window, batch_bytes, False)
+    found = F.col(column)
+    return state.select(
+        "doc_id", *[found[c].alias(c) for c in ("n_words", "n_hit", "items", "matches")],
+        F.coalesce(F.array_max(F.transform(found["matches"], lambda m: m["words"])), F.lit(0))
+        .cast("long").alias("longest"), _contaminated(column, ratio).alias("contaminated"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                          ratio: int = RATIO, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
-    return judged(docs, benchmark, window, batch_bytes, True) \
-        .filter(~_contaminated(ratio)).select(*docs.columns)
+    state, column = judged(docs, benchmark, window, batch_bytes, True)
+    return state.filter(~_contaminated(column, ratio)).drop(column)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

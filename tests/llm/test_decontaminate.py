@@ -84,3 +84,41 @@ def test_missing_values_and_empty_tables(spark, make_docs):
     assert [r.n_hit for r in D.find_contamination(docs, none).collect()] == [0, 0, 0]
     assert [list(r.items) for r in D.find_contamination(docs, bench).collect()] == [[""]] * 3
     assert D.find_contamination(make_docs([]), bench).count() == 0
+
+
+@pytest.mark.parametrize("batch", [1 << 24, 200])
+def test_longest_matches_and_places(spark, make_docs, prose, batch):
+    """Against growing every common word by word."""
+    items = [(i, prose(900 + i, 40)) for i in range(6)]
+    rows = []
+    for i in range(12):
+        w = items[i % 6][1].split()
+        rows.append((i, " ".join([prose(i, 5), *w[i:i + 13 + 2 * i], prose(i + 50, 4), *w[:14]])))
+    want = {}
+    for d, text in rows:
+        w, found = _words(text), set()
+        for i, t in items:
+            v = _words(t)
+            for a in range(len(w)):
+                for b in range(len(v)):
+                    if a and b and w[a - 1] == v[b - 1]:
+                        continue
+                    n = 0
+                    while a + n < len(w) and b + n < len(v) and w[a + n] == v[b + n]:
+                        n += 1
+                    if n >= 13:
+                        found.add((str(i), b, a, n))
+        want[d] = found
+    got = D.find_contamination(make_docs(rows), spark.createDataFrame(
+        items, "item_id long, text string"), batch_bytes=batch).collect()
+    assert {r.doc_id: {tuple(m) for m in r.matches} for r in got} == want
+    assert {r.doc_id: r.longest for r in got} == {
+        d: max((m[3] for m in f), default=0) for d, f in want.items()}
+
+
+def test_clashing_columns(spark, make_docs):
+    bench = spark.createDataFrame([(1, "q r s")], "item_id long, text string")
+    docs = make_docs([(1, "q r s"), (2, "t")]).selectExpr("*", "7 AS _hits", "8 AS _n_words",
+                                                         "9 AS n_hit", "1 AS found")
+    kept = D.without_contaminated(docs, bench)
+    assert kept.columns == docs.columns and [r._hits for r in kept.collect()] == [7]
