@@ -82,7 +82,7 @@ _BRACKETED = re.compile(r" {0,2}[\[({<]\s{0,2}(?:(?P<at>at|@)|(?P<dot>dot|\.))\s
 #: name at host dot domain, with words for both signs; the dots may be signs if the name's
 #: "at" stands in brackets (above).
 _SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.| dot )[A-Za-z0-9_%+-]+){0,3}"
-                     r"(?: at |@)[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)* dot [A-Za-z]{2,}"
+                     r"(?: at |@)[A-Za-z0-9-]+(?:(?:\.| dot )[A-Za-z0-9-]+)* dot [A-Za-z]{2,}"
                      r"(?![A-Za-z0-9-])", re.I)
 _SPOKEN_SIGN = re.compile(r" (?:(?P<at>at)|dot) ", re.I)
 
