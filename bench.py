@@ -45,6 +45,11 @@ def main() -> None:
         t0 = time.perf_counter()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    if not sys.argv[1:] and warm_dir != sf_dir:
+        # the fixed cost of a run: some 330 small files, about 15 rows each
+        t0 = time.perf_counter()
+        qs["file_manifest"](spark, warm_dir).write.format("noop").mode("overwrite").save()
+        times["small_file_manifest"] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,

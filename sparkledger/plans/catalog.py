@@ -7,7 +7,9 @@ is the feature). Matching SQL for every query lives in :mod:`sparkledger.plans.o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from sparkledger.functions import casts
 from sparkledger.functions.hashing import record_hash
 from sparkledger.operators.conform import conform, union_all_by_name
 from sparkledger.operators.marts import department_totals, ordered_for_display, run_summary
-from sparkledger.operators.policy import column_policy, row_policy
+from sparkledger.operators.policy import (Grant, column_policy, create_governed_view,
+                                          denied_columns, grants_table, row_policy)
 from sparkledger.operators.upsert import hash_gated_merge, upsert_latest
 from sparkledger.plans import silver as S
 from sparkledger.sources.files import source_key
@@ -223,6 +226,45 @@ def q_row_policy(spark, sf_dir):
     return department_totals(view)
 
 
+#: Principals of the governance queries; the session's own user holds the analyst's grants.
+GRANTS = {
+    "analyst": [Grant(levels=("public", "internal"))],
+    "assurance": [Grant(levels=("public", "internal", "restricted"))],
+    "regional": [Grant(row_filter=("source_department", "asia"))],
+    "mixed": [Grant(levels=("public",)), Grant(row_filter=("source_department", "europe"))],
+}
+
+
+def _governance_tables(spark, sf_dir):
+    """Temporary tables of the assured rows and of the grants."""
+    rows = stage(_grant_ref(S.ledger_assured(spark, sf_dir)), "assured")
+    user = spark.sql("SELECT session_user()").first()[0]
+    rows.createOrReplaceTempView("assured_rows")
+    grants = grants_table(spark, {**GRANTS, user: GRANTS["analyst"]})
+    grants.createOrReplaceTempView("spend_grants")
+    return rows, grants, user
+
+
+def q_governed_view(spark, sf_dir):
+    """What each principal reads through one dynamic view, and the session's user by name."""
+    _governance_tables(spark, sf_dir)
+    seen = []
+    for principal in ["session", *sorted(GRANTS)]:
+        who = "session_user()" if principal == "session" else f"'{principal}'"
+        create_governed_view(spark, "spend_governed", "assured_rows", "spend_grants",
+                             ["source_department"], principal=who)
+        seen.append(spark.sql(f"""SELECT '{principal}' AS principal, source_department,
+            count(*) AS rows_visible, count(transaction_id) AS ids, count(approver) AS approvers,
+            count(risk_rating) AS ratings, CAST(sum(amount_gbp) AS DECIMAL(38,2)) AS spend
+            FROM spend_governed GROUP BY source_department"""))
+    return functools.reduce(DataFrame.unionByName, seen)
+
+
+def q_denied_columns(spark, sf_dir):
+    rows, grants, user = _governance_tables(spark, sf_dir)
+    return denied_columns(rows, grants.filter(F.col("principal") != user), "source_department")
+
+
 # ---- upserts -----------------------------------------------------------------------------------
 
 def _split_batches(spark, sf_dir):
@@ -305,6 +347,8 @@ def queries() -> dict[str, Query]:
         "row_policy": q_row_policy,
         "upsert_latest": q_upsert_latest,
         "upsert_hash_gated": q_upsert_hash_gated,
+        "governed_view": q_governed_view,
+        "denied_columns": q_denied_columns,
         "upsert_writer": q_upsert_writer,
         "gold_display": q_gold_display,
         "source_routing": q_source_routing,

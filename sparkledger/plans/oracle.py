@@ -7,7 +7,7 @@ plain SQL over the driver's tables, so agreement is evidence both sides are righ
 
 from __future__ import annotations
 
-from sparkledger.config import LEDGER_DRIFT_COLUMNS, LEDGER_LAYOUTS, LEDGER_SCHEMA_VERSION
+from sparkledger.config import BASELINE_LEVEL, CLASSIFICATION, LEDGER_DRIFT_COLUMNS, LEDGER_LAYOUTS, LEDGER_SCHEMA_VERSION
 
 DATE_FORMATS_SQL = "['%d/%m/%Y', '%Y-%m-%d', '%d-%b-%Y', '%-d/%-m/%Y']"
 
@@ -144,6 +144,9 @@ SILVER_CTES = TYPED_CTES + f""",
 valid AS (SELECT * FROM typed WHERE rejection_reason IS NULL),
 silver AS ({latest_sql('valid')})"""
 
+ASSURANCE_SQL = ("cost_centre, approver, budget_owner, processing_status, internal_notes, "
+                 "supplier_category, risk_rating, due_diligence_notes, missing_approval")
+
 ASSURED_CTES = SILVER_CTES + """,
 appr_raw AS (
   SELECT CASE WHEN l.l_orderkey % 20 < 17 THEN '' ELSE 'old/' END
@@ -302,6 +305,40 @@ FROM silver WHERE source_department = 'asia' GROUP BY source_department ORDER BY
        WHEN {pick} THEN 'update' ELSE 'unchanged' END AS merge_action
 FROM existing t FULL OUTER JOIN incoming s
   ON t.transaction_id = s.transaction_id AND t.source_department = s.source_department""")
+    levels = ", ".join(f"('{c}', '{level}')" for c, level in CLASSIFICATION.items())
+    hidden = [c.strip() for c in f"{SILVER_COLS_SQL}, {ASSURANCE_SQL}".split(",")
+              if c.strip() != "source_department"]
+    every = {"session": "true", "analyst": "true", "assurance": "true",
+             "regional": "source_department = 'asia'", "mixed": "true"}
+    shown = {"session": ("true", "false"), "analyst": ("true", "false"),
+             "assurance": ("true", "true"), "regional": ("true", "true"),
+             "mixed": ("source_department = 'europe'", "source_department = 'europe'")}
+    q["governed_view"] = _with(ASSURED_CTES, "\nUNION ALL\n".join(
+        f"""SELECT '{p}' AS principal, source_department, count(*) AS rows_visible,
+  count(CASE WHEN {shown[p][0]} THEN transaction_id END) AS ids,
+  count(CASE WHEN {shown[p][1]} THEN approver END) AS approvers,
+  count(CASE WHEN {shown[p][1]} THEN risk_rating END) AS ratings,
+  CAST(sum(amount_gbp) AS DECIMAL(38,2)) AS spend
+FROM assured WHERE {every[p]} GROUP BY source_department""" for p in every))
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, source_department, count({c}) AS n FROM assured "
+        "GROUP BY source_department" for c in hidden)
+    q["denied_columns"] = _with(ASSURED_CTES, f""", counts AS ({counts}),
+levels(column_name, level) AS (VALUES {levels}),
+held(principal, level) AS (VALUES ('analyst', 'public'), ('analyst', 'internal'),
+  ('assurance', 'public'), ('assurance', 'internal'), ('assurance', 'restricted'),
+  ('mixed', 'public')),
+filters(principal, source_department) AS (VALUES ('regional', 'asia'), ('mixed', 'europe')),
+principals(principal) AS (VALUES ('analyst'), ('assurance'), ('regional'), ('mixed')),
+needed AS (
+  SELECT p.principal, c.column_name, c.source_department, c.n,
+         coalesce(l.level, '{BASELINE_LEVEL}') AS level
+  FROM counts c LEFT JOIN levels l ON l.column_name = c.column_name, principals p)
+SELECT n.principal, n.column_name, n.level,
+       CAST(sum(CASE WHEN f.principal IS NULL THEN n.n ELSE 0 END) AS BIGINT) AS hidden_values
+FROM needed n LEFT JOIN held h ON h.principal = n.principal AND h.level = n.level
+LEFT JOIN filters f ON f.principal = n.principal AND f.source_department = n.source_department
+WHERE h.principal IS NULL GROUP BY ALL""")
     q["upsert_writer"] = _with(UPSERT_CTES, f"""SELECT {cols}
 FROM existing t FULL OUTER JOIN incoming s
   ON t.transaction_id = s.transaction_id AND t.source_department = s.source_department""")

@@ -40,3 +40,24 @@ def test_feeds_and_classification_from_json(tmp_path):
     levels.write_text(json.dumps({"amount_gbp": "secret"}))
     with pytest.raises(ValueError, match="secret"):
         config.load_classification(str(levels))
+
+
+def test_configuration_from_any_storage(spark, tmp_path):
+    """A mount of another file system; the summary says which texts a run was configured by."""
+    from feeds import landing
+    from sparkledger.config import config_version, load_feeds
+    from sparkledger.plans.pipeline import LayerPaths, run_configured
+    from sparkledger.sources.storage import read_text
+    raw, ref, out = landing(tmp_path, {"parks_spend_1.csv": "Nr,Firm,Day,Sum\n7,Oak,01/02/2031,3.50\n"})
+    text = ('{"feeds": {"parks": {"Nr": "transaction_id", "Firm": "supplier_name", "Day": '
+            '"payment_date", "Sum": "amount"}}, "groups": {"parks": "Green"}, "schema_version": "v7"}')
+    (tmp_path / "feeds.json").write_text(text)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.depot.link./conf", f"file://{tmp_path}")
+    uri = "viewfs://depot/conf/feeds.json"
+    assert read_text(spark, uri) == text
+    assert load_feeds(uri, spark)[2] == "v7"
+    result = run_configured(spark, raw, ref, out, uri)
+    assert result.total_valid == 1
+    row = spark.read.json(LayerPaths(out).summary).first()
+    assert row.config_version == config_version(text) != config_version(text + " ")
