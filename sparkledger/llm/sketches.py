@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from . import kernels as K
 from .common import partitions
 
-#: DEPTH rows of counters (0, 1, 2 or more), merged in ranges of 2**RANGE_BITS.
+#: DEPTH rows of counters (0, 1, 2 or more), merged in ranges: up to 2**RANGES_BITS of them a
+#: row, none of fewer than 2**RANGE_BITS cells.
 DEPTH = 2
 CELLS_EACH = 16
 #: At most 2**MOST_CELL_BITS cells a row: 32 MB of bits in all.
 MOST_CELL_BITS = 27
 RANGE_BITS = 16
+RANGES_BITS = 8
 #: Hashes counted in a task before they are summed up.
 FLUSH = 1 << 19
 
@@ -37,6 +39,10 @@ def cell_bits(expected: int) -> int:
     return min(MOST_CELL_BITS, max(RANGE_BITS, wanted))
 
 
+def range_bits(bits: int) -> int:
+    return max(RANGE_BITS, bits - RANGES_BITS)
+
+
 def _cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     mask = K.U64((1 << bits) - 1)
     return [((K.mix(hashes + K.U64(r)) if r else hashes) & mask).astype(np.uint32)
@@ -79,11 +85,12 @@ def _partial(hashes: Iterator[np.ndarray], bits: int):
         if not seen[r]:
             continue
         cells, counts = _summed(seen[r])
-        ranges = cells >> RANGE_BITS
+        inner = range_bits(bits)
+        ranges = cells >> inner
         cuts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1], [True]]))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            inside = cells[a:b] & np.uint32((1 << RANGE_BITS) - 1)
-            keys.append(int(r << (bits - RANGE_BITS) | ranges[a]))
+            inside = cells[a:b] & np.uint32((1 << inner) - 1)
+            keys.append(int(r << (bits - inner) | ranges[a]))
             once.append(_coded(inside[counts[a:b] == 1]))
             more.append(_coded(inside[counts[a:b] > 1]))
     yield pa.RecordBatch.from_arrays(
@@ -91,14 +98,14 @@ def _partial(hashes: Iterator[np.ndarray], bits: int):
         names=["range", "once", "more"])
 
 
-def _merge(batches: Iterator[pa.RecordBatch]):
+def _merge(batches: Iterator[pa.RecordBatch], size: int):
     """Ranges with a bit for each cell counted twice or more."""
     held: dict[int, np.ndarray] = {}
     for batch in batches:
         for key, once, more in zip(batch.column("range").to_pylist(),
                                    batch.column("once").to_pylist(),
                                    batch.column("more").to_pylist(), strict=True):
-            have = held.setdefault(key, np.zeros(1 << RANGE_BITS, np.uint8))
+            have = held.setdefault(key, np.zeros(size, np.uint8))
             cells = _decoded(once)
             have[cells] = np.minimum(have[cells] + 1, 2)
             have[_decoded(more)] = 2
@@ -111,11 +118,12 @@ def _merge(batches: Iterator[pa.RecordBatch]):
 def sketch(docs: DataFrame, hashes: Hashes, expected: int) -> bytes:
     """The merged sketch of all hashes, about ``expected`` of them: a bit for each cell."""
     bits = cell_bits(expected)
+    size = 1 << (range_bits(bits) - 3)
     parts = docs.mapInArrow(lambda b: _partial(hashes(b), bits),
                             "range int, once binary, more binary")
     merged = parts.repartition(partitions(docs.sparkSession), "range") \
-        .mapInArrow(_merge, "range int, bits binary").collect()  # bounded: MOST_CELL_BITS
-    size = 1 << (RANGE_BITS - 3)
+        .mapInArrow(lambda b: _merge(b, 8 * size), "range int, bits binary") \
+        .collect()  # bounded: MOST_CELL_BITS
     out = np.zeros(DEPTH << (bits - 3), np.uint8)
     for r in merged:
         out[r["range"] * size:(r["range"] + 1) * size] = \
