@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import id_and_text, table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -255,7 +256,8 @@ def mask(text: str, spans: list[dict]) -> str:
 
 
 def _find(batches: Iterator[pa.RecordBatch], masked: bool):
-    for batch in batches:
+    for block in K.text_blocks(batches, "text"):
+        batch = block.batch
         texts = batch.column("text").to_pylist()
         rows, new = [], []
         for text in texts:
@@ -288,8 +290,8 @@ def with_masked_text(docs: DataFrame) -> DataFrame:
     if there is such a column, n_chars counted anew."""
 
     def rewrite(batches):
-        for batch in batches:
-            new = []
+        for block in K.text_blocks(batches, "text"):
+            batch, new = block.batch, []
             for text in batch.column("text").to_pylist():
                 base, more = find_spans(text or "")
                 spans = sorted([*base, *more], key=lambda s: (s[0], s[2]))
