@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkledger.functions.casts import (credit_flag, month_bucket, normalise_name,
+from sparkledger.functions.casts import (compiled_apart, credit_flag, month_bucket, normalise_name,
                                           parse_amount, parse_date)
 from sparkledger.functions.hashing import record_hash
 
@@ -39,7 +39,7 @@ def type_columns(df: DataFrame, ingested_at: datetime | Column | None = None) ->
     replaced = {text for text, _ in PARSED.values()} | {"ingested_at"}
     others = [c for c in df.columns if c not in replaced]
     stamp = F.col("ingested_at") if ingested_at is None else ingested_at
-    parsed = df.select(*others, stamp.alias("ingested_at"),
+    parsed = df.select(*others, compiled_apart(stamp).alias("ingested_at"),
                        *[F.col(c).alias(f"{c}_raw") for c in EVIDENCE],
                        *[parse(text).alias(c) for c, (text, parse) in PARSED.items()])
     return parsed.withColumns({c: rule(typed) for c, (typed, rule) in DERIVED.items()})

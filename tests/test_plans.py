@@ -7,6 +7,7 @@ import pytest
 
 from sparkledger.plans import catalog as C
 from sparkledger.plans import silver as S
+from sparkledger.sources import ledger as L
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
@@ -52,3 +53,31 @@ def test_rejected_rows_are_parsed_once(spark):
 def test_upserts_read_staged_rows_not_the_ledger(spark, query):
     plan = _plan(query(spark, SF_DIR))
     assert "l_orderkey" not in plan and "gettimestamp" not in plan
+
+
+#: The JVM leaves longer methods to its interpreter.
+COMPILED_BYTES = 8000
+
+
+@pytest.mark.parametrize("query", [C.q_scalar_functions, C.q_silver_build, C.q_open_layer,
+                                   C.q_gold_metrics, C.q_run_summary, C.q_rejection_reasons])
+def test_fused_methods_are_short_enough_to_be_compiled(spark, query):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug
+    stages = debug.package.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert 0 < max(sizes) < COMPILED_BYTES
+
+
+def test_line_items_are_dealt_out_once_for_the_approvals(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(L.approvals_ledger(spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_customer = plan.split("hashpartitioning(o_custkey")[1]
+    assert "Join" not in by_customer.split("FileScan")[0]
