@@ -299,9 +299,9 @@ def q_upsert_writer(spark, sf_dir):
     from sparkledger.sources.sinks import read_parquet_or_none
     existing, incoming = (stage(b.drop("raw_extras"), "batch") for b in _split_batches(spark, sf_dir))
     path = scratch_path(spark, "upsert-table")
-    upsert_partitions(spark, path, existing)
-    upsert_partitions(spark, path, incoming, merge="hash_gated")
-    again = upsert_partitions(spark, path, incoming, merge="hash_gated")
+    upsert_partitions(spark, path, existing, staged=True)
+    upsert_partitions(spark, path, incoming, merge="hash_gated", staged=True)
+    again = upsert_partitions(spark, path, incoming, merge="hash_gated", staged=True)
     if again.touched:
         raise RuntimeError("a batch delivered again rewrote partitions")
     return read_parquet_or_none(spark, path, existing.schema).select(*UPSERT_OUTPUT)
