@@ -239,14 +239,14 @@ def unpack(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 class Pieces(dict):
     """Ids of A by piece of text (its byte-level pattern's matches, each encoded apart from
-    the rest of its text), in two generations. Texts are cut here only if every character is
+    the rest of its text), as the bytes of 32-bit numbers, in two generations. Texts are cut here only if every character is
     one around which the tokenizer itself cuts in the same way; others it encodes whole."""
 
     def __init__(self, tokenizer, sizes: np.ndarray):
         super().__init__()
         self._tokenizer, self._sizes = tokenizer, sizes
         self._pattern = regex.compile(BYTE_LEVEL_PATTERN)
-        self._older: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, bytes] = {}
         self._alike: dict[str, bool] = {}
 
     def cut(self, text: str) -> list[str] | None:
@@ -277,13 +277,16 @@ class Pieces(dict):
             batch = new[at:at + BATCH_PIECES]
             ids = self._tokenizer.encode_batch_fast([batch], is_pretokenized=True,
                                                     add_special_tokens=False)[0].ids
+            ids = np.array(ids, np.int32)
             ends = np.cumsum([len(p.encode()) for p in batch])
-            cut = [0, *np.searchsorted(np.cumsum(self._sizes[ids]), ends, "right").tolist()]
-            for piece, x, y in zip(batch, cut[:-1], cut[1:], strict=True):
-                self[piece] = tuple(ids[x:y])
+            cut = [0, *(4 * np.searchsorted(np.cumsum(self._sizes[ids]), ends, "right")).tolist()]
+            data = ids.tobytes()
+            self.update(zip(batch, [data[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)],
+                            strict=True))
 
     def ids(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable([self[p] for p in pieces]), np.int64)
+        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), np.int32) \
+            .astype(np.int64)
 
 
 class Vocabularies:
@@ -331,10 +334,11 @@ class Vocabularies:
         some = [i for i, t in enumerate(texts) if t]
         found_a = self._encode_a([" " + texts[i] for i in some])
         found_b = self._b.encode([texts[i] for i in some], num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for i, a, b in zip(some, found_a, found_b, strict=True):
             whole = (" " + texts[i]).encode()
-            if b"".join([self.a_bytes[x] for x in a.tolist()]) == whole \
-                    and b"".join([self.b_bytes[x] for x in b]) == whole:
+            if b"".join(map(a_bytes, a.tolist())) == whole \
+                    and b"".join(map(b_bytes, b)) == whole:
                 a_ids[i], b_ids[i] = a, b
         return a_ids, b_ids
 
