@@ -16,8 +16,8 @@ the bytes of an unfinished character.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -180,20 +180,22 @@ class Transducer:
 
 
 class Encoder(dict):
-    """Tokens of texts; those of short pieces are kept (a dict from piece to tokens), in two
-    generations: what a full one holds is kept until the next is full."""
+    """Tokens of texts; those of short pieces are kept (a dict from piece to the bytes of its
+    tokens as 32-bit numbers), in two generations: what a full one holds is kept until the
+    next is full."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
-        self._older: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, bytes] = {}
         self._transducer = Transducer(ranks)
         self._pattern = regex.compile(pattern)
         self._break = regex.compile(r"(?<=\S)\s")
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self._older.get(piece)
         if ids is None:
-            ids = self._transducer.encode(piece.encode())
+            found = self._transducer.encode(piece.encode())
+            ids = struct.pack(f"={len(found)}i", *found)
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= MOST_PIECES:
                 self._older = dict(self)
@@ -212,9 +214,8 @@ class Encoder(dict):
             at = end
 
     def encode(self, text: str) -> np.ndarray:
-        parts = [np.fromiter(chain.from_iterable([self[p] for p in pieces]), np.int32)
-                 for pieces in self._pieces(text)]
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+        parts = [b"".join(map(self.__getitem__, pieces)) for pieces in self._pieces(text)]
+        return np.frombuffer(b"".join(parts), np.int32)
 
 
 #: Well-formed UTF-8. Lead bytes, the range of the second byte, and how many

@@ -175,3 +175,15 @@ def test_query(spark, tokens_of, sf_dir):
     got = alignment.op13_token_alignment(spark, sf_dir).withColumnRenamed("groups_sha256",
                                                                          "groups")
     assert result(got) == sorted(brute_force(tokens_of, rows), key=str)
+
+
+def test_kept_pieces_are_packed():
+    """Four bytes a token: joined as they are, not chained through numbers."""
+    with open(A_PATH, "rb") as f, open(B_PATH, "rb") as g:
+        both = alignment.Vocabularies(f.read(), g.read())
+    cuts = [both._pieces.cut(" packed pieces, naïve"), []]
+    both._pieces.learn(cuts)
+    assert all(isinstance(both._pieces[p], bytes) for p in cuts[0])
+    want = Tokenizer.from_file(A_PATH).encode(" packed pieces, naïve", add_special_tokens=False)
+    assert both._pieces.ids(cuts[0]).tolist() == want.ids
+    assert both._pieces.ids([]).tolist() == []

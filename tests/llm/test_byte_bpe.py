@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -127,3 +128,13 @@ def test_query(spark, library, sf_dir):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_kept_pieces_are_packed(encoder, library):
+    """Four bytes a token: joined as they are, not chained through numbers."""
+    text = "packed pieces, packed pieces"
+    assert encoder.encode(text).tolist() == library.encode_ordinary(text)
+    assert encoder.encode("").tolist() == []
+    kept = encoder[" pieces"]
+    assert isinstance(kept, bytes)
+    assert np.frombuffer(kept, np.int32).tolist() == library.encode_ordinary(" pieces")
