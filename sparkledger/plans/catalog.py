@@ -17,6 +17,7 @@ from sparkledger.config import (LEDGER_DRIFT_COLUMNS, LEDGER_FEEDS, LEDGER_LAYOU
                                 LEDGER_SCHEMA_VERSION)
 from sparkledger.functions import casts
 from sparkledger.functions.hashing import record_hash
+from sparkledger.operators.cleanse import EVIDENCE
 from sparkledger.operators.conform import conform, union_all_by_name
 from sparkledger.operators.marts import department_totals, ordered_for_display, run_summary
 from sparkledger.operators.policy import (Grant, column_policy, create_governed_view,
@@ -268,8 +269,8 @@ def q_denied_columns(spark, sf_dir):
 # ---- upserts -----------------------------------------------------------------------------------
 
 def _split_batches(spark, sf_dir):
-    # staged once: both batches read typed rows, not the ledger
-    tagged = stage(S.ledger_tagged(spark, sf_dir), "tagged")
+    # staged once: both batches read typed rows, not the ledger; silver has no evidence columns
+    tagged = stage(S.ledger_tagged(spark, sf_dir).drop(*[f"{c}_raw" for c in EVIDENCE]), "tagged")
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     existing = S.build_silver(tagged.filter(F.col("ingested_at") < cutoff))
     incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= cutoff))
