@@ -16,6 +16,7 @@ the bytes of an unfinished character.
 from __future__ import annotations
 
 import base64
+import gc
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -30,10 +31,10 @@ from .common import id_and_text, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: States kept before the transducer starts afresh, and checked pairs of tokens.
-MOST_STATES = 1 << 17
+MOST_STATES = 1 << 18
 MOST_PAIRS = 1 << 20
 #: Pieces whose tokens are kept (of each generation), and the longest kept.
-MOST_PIECES = 1 << 16
+MOST_PIECES = 1 << 18
 KEPT_LENGTH = 48
 #: Characters of a text that are split into pieces at once.
 CHUNK = 1 << 16
@@ -81,10 +82,12 @@ class Transducer:
 
     def _state(self, hypotheses: tuple) -> dict:
         if len(self._states) >= self.most_states:
-            # the start forgets where it leads, so that all but this state can go
-            for byte in [k for k in self._start if k >= 0]:
-                del self._start[byte]
-            self._states = {self._start[HYPOTHESES]: self._start}
+            # states lead to one another; emptied, they go without the garbage collector
+            start = self._start[HYPOTHESES]
+            for state in self._states.values():
+                state.clear()
+            self._start[HYPOTHESES] = start
+            self._states = {start: self._start}
         state = self._states[hypotheses] = {HYPOTHESES: hypotheses}
         return state
 
@@ -188,6 +191,7 @@ class Encoder(dict):
         super().__init__()
         self._older: dict[str, bytes] = {}
         self._transducer = Transducer(ranks)
+        self.bytes_of = self._transducer.bytes_of
         self._pattern = regex.compile(pattern)
         self._break = regex.compile(r"(?<=\S)\s")
 
@@ -276,22 +280,23 @@ def decoded(ids: Iterable[int], bytes_of: dict[int, bytes]) -> str:
 
 def _shipped(spark: SparkSession, path: str):
     """The rank file's content on every executor: as large as the vocabulary, whatever the
-    documents."""
+    documents. It goes as a dict, whose copy a Python worker keeps from one task of a stage to
+    the next."""
     with open(path, "rb") as f:
-        return spark.sparkContext.broadcast(f.read())
+        return spark.sparkContext.broadcast({"content": f.read()})
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids array<int>): every whole text by the rank file at ``path`` (on the
-    driver), each match of ``pattern`` on its own, without special tokens.
+def _encoder(kept: dict, pattern: str) -> Encoder:
+    """The worker's encoder of a shipped rank file, with the states and pieces of its tasks
+    before."""
+    if pattern not in kept:
+        kept[pattern] = Encoder(read_ranks(kept["content"]), pattern)
+    return kept[pattern]
 
-    A null or empty text has no tokens. Bytes that are not UTF-8 count as U+FFFD. Rows
-    that repeat a doc_id are encoded one by one, a null doc_id stays null, an empty table
-    gives no rows; other columns are not read."""
-    sent = _shipped(docs.sparkSession, path)
 
-    def run(batches):
-        encoder = Encoder(read_ranks(sent.value), pattern)
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder):
+    gc.disable()  # it would walk all states again and again and find nothing
+    try:
         for block in K.text_blocks(batches, "text"):
             found = [encoder.encode(block.text(d).decode("utf-8", "replace"))
                      for d in range(len(block))]
@@ -299,8 +304,30 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays([block.batch.column("doc_id"), ids],
                                              names=["doc_id", "ids"])
+    finally:
+        gc.enable()
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], bytes_of: dict[int, bytes]):
+    for batch in batches:
+        ids = batch.column("ids")
+        texts = [decoded(row.values.to_numpy(zero_copy_only=False).tolist(), bytes_of)
+                 if row.is_valid else "" for row in ids]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), ids, pa.array(texts, pa.string())],
+            names=["doc_id", "ids", "text"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids array<int>): every whole text by the rank file at ``path`` (on the
+    driver), each match of ``pattern`` on its own, without special tokens.
+
+    A null or empty text has no tokens. Bytes that are not UTF-8 count as U+FFFD. Rows
+    that repeat a doc_id are encoded one by one, a null doc_id stays null, an empty table
+    gives no rows; other columns are not read."""
+    sent = _shipped(docs.sparkSession, path)
+    return id_and_text(docs).mapInArrow(
+        lambda b: _encoded(b, _encoder(sent.value, pattern)), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -309,26 +336,31 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     sent = _shipped(tokens.sparkSession, path)
 
     def run(batches):
-        bytes_of = {rank: token for token, rank in read_ranks(sent.value).items()}
-        for batch in batches:
-            ids = batch.column("ids")
-            texts = [decoded(row.values.to_numpy(zero_copy_only=False).tolist(), bytes_of)
-                     if row.is_valid else "" for row in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(texts, pa.string())],
-                names=["doc_id", "ids", "text"])
+        bytes_of = {rank: token for token, rank in read_ranks(sent.value["content"]).items()}
+        yield from _decoded(batches, bytes_of)
 
     return tokens.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("ids").cast("array<int>").alias("ids")) \
         .mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode`` of ``encode``, in one Python worker of a task: (doc_id, ids, text)."""
+    sent = _shipped(docs.sparkSession, path)
+
+    def run(batches):
+        encoder = _encoder(sent.value, pattern)
+        yield from _decoded(_encoded(batches, encoder), encoder.bytes_of)
+
+    return id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    tokens = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode(tokens, path).select(
+    tokens = round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return tokens.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
         .alias("ids_sha256"),

@@ -138,3 +138,33 @@ def test_kept_pieces_are_packed(encoder, library):
     kept = encoder[" pieces"]
     assert isinstance(kept, bytes)
     assert np.frombuffer(kept, np.int32).tolist() == library.encode_ordinary(" pieces")
+
+
+def test_a_worker_keeps_its_encoder(ranks, library):
+    """Tasks of one stage that run in one Python worker share states and pieces."""
+    with open(PATH, "rb") as f:
+        kept = {"content": f.read()}
+    first = byte_bpe._encoder(kept, PATTERN)
+    text = "kept from task to task"
+    assert first.encode(text).tolist() == library.encode_ordinary(text)
+    assert byte_bpe._encoder(kept, PATTERN) is first and " kept" not in first._older
+    assert byte_bpe._encoder(kept, r"\S+|\s+") is not first
+
+
+def test_round_trip_is_decode_of_encode(spark, make_docs):
+    rows = [(1, "Hello wörld \n\n ok"), (2, None), (3, ""), (3, "x" * 70000), (None, "日本 🙂")]
+    both = byte_bpe.round_trip(make_docs(rows), PATH, PATTERN)
+    apart = byte_bpe.decode(byte_bpe.encode(make_docs(rows), PATH, PATTERN), PATH)
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert byte_bpe.round_trip(make_docs([]), PATH, PATTERN).count() == 0
+
+
+def test_forgotten_states_lead_nowhere(ranks):
+    """They go at once, though the garbage collector rests while texts are encoded."""
+    machine = byte_bpe.Transducer(ranks, most_states=3)
+    machine.encode(b"ab")
+    old = [s for s in machine._states.values() if s is not machine._start]
+    machine.encode(b"zyxwvu")
+    assert old and not any(s is t for s in old for t in machine._states.values())
+    assert not any(byte_bpe.HYPOTHESES in s for s in old)
