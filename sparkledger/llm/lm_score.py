@@ -8,9 +8,10 @@ hash; a segment holds at most MAX_SEGMENT / 6 n-grams, so few share them at any
 is read back by probing level after level until one is missing. It may come out too high,
 never too low.
 
-A filter of at most MAX_FILTER_BITS is broadcast. A larger one stays where it is: the
-distinct n-grams of each run of documents are sent to their segments, sorted, as one row for
-each segment; their levels (a byte each) come back to the run and its documents are scored.
+Scoring leaves the filter where it is, whatever its size: the distinct n-grams of each run of
+documents are sent to their segments, sorted, as one row for each segment; their levels (a
+byte each) meet the run, which is sent there directly, and its documents are scored.
+``fit`` gathers a filter of at most MAX_FILTER_BITS.
 
 The base score needs exact word counts. Words of at least 1 / HOT_WORDS of all tokens, of
 which there are at most HOT_WORDS, are broadcast; the rest are joined, one row for each
@@ -26,7 +27,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ from . import kernels as K
 from .common import partitions, staged, table
 
 #: Filter bits for each training token at every size (the number of insertions is at most
-#: that of tokens for pairs, and less for words), and the largest filter that is broadcast
+#: that of tokens for pairs, and less for words), and the largest filter that is gathered
 #: (64 MB, 45 million tokens).
 BITS_PER_TOKEN = 12
 MAX_FILTER_BITS = 1 << 29
@@ -43,9 +43,9 @@ SEGMENT_BITS = 12
 MAX_SEGMENT = 1 << 23
 PROBES = 4
 HOT_WORDS = 1 << 20
-FLUSH = 1 << 20
+FLUSH = 1 << 21
 #: Tokens of the documents whose n-grams are sent to the segments together.
-RUN = 1 << 20
+RUN = 1 << 21
 _SEED = 701
 _END, _BEGIN = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
@@ -107,13 +107,35 @@ def _short(hashes: np.ndarray, segment_bits: int) -> np.ndarray:
     return ((hashes << K.U64(segment_bits)) >> K.U64(32)).astype(np.uint32)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: small numbers compress well."""
+    kind = values.dtype.newbyteorder("<")
+    return np.ascontiguousarray(values.astype(kind).view(np.uint8)
+                                .reshape(len(values), kind.itemsize).T).tobytes()
+
+
+def _of_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T) \
+        .view(np.dtype(kind).newbyteorder("<"))[:, 0].astype(kind)
+
+
+def _steps(shorts: np.ndarray) -> bytes:
+    """Ascending numbers by their distances."""
+    return _planes(np.diff(shorts, prepend=np.uint32(0)))
+
+
+def _of_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(_of_planes(data, np.uint32), dtype=np.uint32)
+
+
 def _packed(hashes: np.ndarray, counts: np.ndarray, segment_bits: int) -> pa.RecordBatch:
     """Sorted hashes and their counts, one row for each segment."""
     segments, first = _cuts(hashes, segment_bits)
     return pa.RecordBatch.from_arrays(
         [pa.array(segments),
-         K.binary_list([x.tobytes() for x in np.split(_short(hashes, segment_bits), first[1:])]),
-         K.binary_list([x.tobytes() for x in np.split(counts.astype(np.int64), first[1:])])],
+         K.binary_list([_steps(x) for x in np.split(_short(hashes, segment_bits), first[1:])]),
+         K.binary_list([_planes(x) for x in np.split(counts.astype(np.int64), first[1:])])],
         names=["segment", "data", "counts"])
 
 
@@ -162,9 +184,9 @@ def _filled(batches: Iterator[pa.RecordBatch], segment_size: int):
     current, held = -1, []
 
     def finished():
-        shorts = np.concatenate([np.frombuffer(x, np.uint32) for x, _ in held])
+        shorts = np.concatenate([_of_steps(x) for x, _ in held])
         shorts, which = np.unique(shorts, return_inverse=True)
-        counts = np.bincount(which, np.concatenate([np.frombuffer(x, np.int64)
+        counts = np.bincount(which, np.concatenate([_of_planes(x, np.int64)
                                                     for _, x in held])).astype(np.int64)
         shorts, levels = shorts.astype(K.U64), levels_of(counts)
         bits = np.zeros(segment_size, bool)
@@ -235,9 +257,9 @@ def _layout(tokens: int) -> tuple[int, int]:
     return segment_bits, max(64, (wanted >> segment_bits) // 8 * 8)
 
 
-def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+def _fit(docs: DataFrame, gather: bool) -> tuple[Model, DataFrame, DataFrame]:
     """The model of (text) rows, the table of exact word counts (hash, n), and that of the
-    filter's segments (segment, bits)."""
+    filter's segments (segment, bits). The model gets the bits only if they are gathered."""
     spark = docs.sparkSession
     words = staged(docs.mapInArrow(_words, "hash long, n long")
                    .groupBy("hash").agg(F.sum("n").alias("n")), "vocabulary")
@@ -257,7 +279,7 @@ def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
                                 "total long"), "filter")
     singles, total = filled.agg(F.sum("singles"), F.sum("total")).first()
     bits = None
-    if size <= MAX_FILTER_BITS:
+    if gather and size <= MAX_FILTER_BITS:
         bits = np.zeros(size // 8, np.uint8)
         for batch in filled.select("segment", "bits").toArrow().to_batches(1024):
             for s, part in zip(batch.column("segment").to_pylist(), batch.column("bits"),
@@ -277,7 +299,7 @@ def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The model of (text) rows, and the table of exact word counts (hash, n)."""
-    return _fit(docs)[:2]
+    return _fit(docs, True)[:2]
 
 
 def _look_up(words: np.ndarray, model: Model) -> np.ndarray:
@@ -292,17 +314,6 @@ _ROWS = ("row long, doc_id long, held_out boolean, n_tokens long, hash long, tf
          "known long, base double, score double")
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model):
-    """One row a document, and one for each distinct word of it that is not hot."""
-    row = TaskContext.get().partitionId() << 40
-    for block in K.text_blocks(batches, "text"):
-        tokens, offsets = tokens_of(block)
-        kinds, which = np.unique(tokens, return_inverse=True)
-        yield _scored(row, block.batch.column("doc_id"), block.batch.column("held_out"),
-                      kinds, which, offsets, model.levels, model)
-        row += len(block)
-
-
 def _scored(row: int, ids: pa.Array, held: pa.Array, kinds: np.ndarray, which: np.ndarray,
             offsets: np.ndarray, levels: Callable[[np.ndarray], np.ndarray], model: Model):
     """Rows of documents numbered from ``row``, whose tokens are kinds[which]."""
@@ -323,7 +334,8 @@ def _scored(row: int, ids: pa.Array, held: pa.Array, kinds: np.ndarray, which: n
     p = np.where(before > 0, p, (count + 1) / uniform)
     score = np.bincount(doc, np.log10(p), minlength=n)
     rare = (hot == 0)[which]
-    at, keys, tf = _distinct(doc[rare], tokens[rare])
+    at, keys, tf = _distinct(doc[rare], which[rare])
+    keys = kinds[keys]
     rows = row + np.arange(n)
     m = len(at)
     nothing = pa.nulls(m, pa.int64())
@@ -343,63 +355,93 @@ def _scored(row: int, ids: pa.Array, held: pa.Array, kinds: np.ndarray, which: n
                "score"])
 
 
-#: What is sent to the segments: their bits, n-grams of a run, and the runs themselves.
-_BITS, _GRAMS, _RUN = range(3)
+#: What is sent to the segments: their bits, n-grams of a run, and what the run's n-grams are
+#: told by. Rows of the last kind have these places in ``start``.
+_BITS, _GRAMS, _TOLD = range(3)
 _SENT = "segment int, kind int, run long, start long, data binary"
+_READ = "run long, start long, data binary"
+_ITSELF, _MARK = -2, -1
 
 
-def _grams(kinds: np.ndarray, which: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _grams(kinds: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """Distinct n-grams of a run by hash, that is, also by segment."""
-    return np.unique(np.concatenate([kinds, pair_hashes(kinds[which], offsets)[1]]))
+    return np.unique(np.concatenate([kinds, pairs]))
 
 
-def _ask(batches: Iterator[pa.RecordBatch], segment_bits: int):
-    """Each run of documents as one row, and one row of n-grams for each segment."""
-    run = TaskContext.get().partitionId() << 40
-    held, size = [], 0
+def _found(grams: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of hashes among ``grams``, looked up in order, which is faster."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), np.int64)
+    out[order] = np.searchsorted(grams, wanted[order])
+    return out
+
+
+def _mark(grams: np.ndarray) -> bytes:
+    """Tells the n-grams of a run from those of another."""
+    return K.mix(grams).sum(dtype=K.U64).tobytes() + len(grams).to_bytes(8, "little")
+
 
-    def asked():
+def _runs(batches: Iterator[pa.RecordBatch]):
+    """Runs of documents: number, ids, held-out flags, tokens and their offsets. Reading the
+    same partition again gives the same runs."""
+    run, held, size = None, [], 0
+
+    def joined():
         ids, flags = (pa.concat_arrays([x[i] for x in held]) for i in (0, 1))
-        kinds, which, n = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True,
-                                    return_counts=True)
-        order = np.argsort(-n, kind="stable")  # small numbers, which compress well
-        number = np.empty(len(kinds), np.uint32)
-        number[order] = np.arange(len(kinds))
-        kinds, which = kinds[order], number[which]
         offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[3])
                                                                  for x in held]))])
-        grams = _grams(kinds, which, offsets)
-        segments, first = _cuts(grams, segment_bits)
-        planes = which.view(np.uint8).reshape(-1, 4).T.tobytes()
-        itself = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(
-            (ids.to_pylist(), flags.to_pylist(), kinds, planes, offsets), 5))
-        n = len(first)
-        return len(ids), pa.RecordBatch.from_arrays(
-            # a run goes along with the segment that it is dealt to
-            [pa.array(np.append(segments,
-                                int(K.mix(np.array([run], K.U64))[0]) >> (64 - segment_bits))
-                      .astype(np.int32)),
-             pa.array([_GRAMS] * n + [_RUN], pa.int32()), pa.array([run] * (n + 1), pa.int64()),
-             pa.array(np.append(first, -1).astype(np.int64)),
-             K.binary_list([*(x.tobytes() for x in
-                             np.split(_short(grams, segment_bits), first[1:])), itself])],
-            names=["segment", "kind", "run", "start", "data"])
+        return run, ids, flags, np.concatenate([x[2] for x in held]), offsets
 
     for block in K.text_blocks(batches, "text"):
+        if run is None:
+            run = block.batch.column("part")[0].as_py() << 40
         held.append((block.batch.column("doc_id"), block.batch.column("held_out"),
                      *tokens_of(block)))
         size += len(held[-1][2])
         if size >= RUN:
-            n, rows = asked()
-            yield rows
-            run += n
+            found = joined()
             held, size = [], 0
+            yield found
+            run += len(found[1])
     if held:
-        yield asked()[1]
+        yield joined()
+
+
+def _ask(batches: Iterator[pa.RecordBatch], segment_bits: int):
+    """One row of n-grams for each segment and run, and one with the run's mark."""
+    for run, _, _, tokens, offsets in _runs(batches):
+        grams = _grams(np.unique(tokens), pair_hashes(tokens, offsets)[1])
+        segments, first = _cuts(grams, segment_bits)
+        n = len(first)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(segments,
+                                int(K.mix(np.array([run], K.U64))[0]) >> (64 - segment_bits))
+                      .astype(np.int32)),
+             pa.array([_GRAMS] * n + [_TOLD], pa.int32()), pa.array([run] * (n + 1), pa.int64()),
+             pa.array(np.append(first, _MARK).astype(np.int64)),
+             K.binary_list([*(_steps(x) for x in
+                              np.split(_short(grams, segment_bits), first[1:])), _mark(grams)])],
+            names=["segment", "kind", "run", "start", "data"])
+
+
+def _themselves(batches: Iterator[pa.RecordBatch]):
+    """Each run as one row."""
+    for run, ids, flags, tokens, offsets in _runs(batches):
+        kinds, which = np.unique(tokens, return_inverse=True)
+        n = np.bincount(which, minlength=len(kinds))
+        order = np.argsort(-n, kind="stable")  # small numbers, which compress well
+        number = np.empty(len(kinds), np.uint32)
+        number[order] = np.arange(len(kinds))
+        itself = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(
+            (ids.to_pylist(), flags.to_pylist(), kinds[order], _planes(number[which]),
+             offsets), 5))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([run], pa.int64()), pa.array([_ITSELF], pa.int64()),
+             K.binary_list([itself])], names=["run", "start", "data"])
 
 
 def _answer(batches: Iterator[pa.RecordBatch], segment_size: int):
-    """Levels, as bytes, in place of n-grams, and runs as they are; from rows sorted by
+    """Levels, as bytes, in place of n-grams, and marks as they are; from rows sorted by
     segment and kind. A segment that nothing was inserted into has no bits."""
     current, table = -1, None
     for batch in batches:
@@ -415,10 +457,10 @@ def _answer(batches: Iterator[pa.RecordBatch], segment_size: int):
                 current, table = segments[a], None
             if kinds[a] == _BITS:
                 table = np.frombuffer(data[int(a)].as_py(), np.uint8)
-            elif kinds[a] == _RUN:
+            elif kinds[a] == _TOLD:
                 out[a:b] = data.slice(a, b - a).to_pylist()
             else:
-                parts = [np.frombuffer(x, np.uint32) for x in data.slice(a, b - a).to_pylist()]
+                parts = [_of_steps(x) for x in data.slice(a, b - a).to_pylist()]
                 shorts = np.concatenate(parts)
                 levels = np.zeros(len(shorts), np.int64) if table is None else \
                     _levels(shorts, 0, table, segment_size)
@@ -431,38 +473,47 @@ def _answer(batches: Iterator[pa.RecordBatch], segment_size: int):
 
 
 def _score_runs(batches: Iterator[pa.RecordBatch], model: Model):
-    """What _score gives, from runs and the levels of their n-grams sorted by run and start."""
-    run, itself, answers = -1, None, []
+    """Rows of documents and of their words that are not hot, from runs, their marks and the
+    levels of their n-grams sorted by run and start."""
+    run, itself, mark, answers = -1, None, None, []
 
     def scored():
+        if itself is None:
+            raise RuntimeError("the documents were not the same rows when they were read again")
         ids, flags, kinds, planes, offsets = pickle.loads(
             zstandard.ZstdDecompressor().decompress(itself))
-        which = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T) \
-            .view(np.uint32)[:, 0]
-        grams = _grams(kinds, which, offsets)
+        which = _of_planes(planes, np.uint32)
+        grams = _grams(kinds, pair_hashes(kinds[which], offsets)[1])
         read = np.frombuffer(b"".join(answers), np.uint8).astype(np.int64)
-        if len(read) != len(grams):
-            raise RuntimeError(f"{len(read)} levels of {len(grams)} n-grams")
+        if len(read) != len(grams) or mark != _mark(grams):
+            raise RuntimeError(f"{len(read)} levels of {len(grams)} n-grams: the documents "
+                               "were not the same rows when they were read again")
         return _scored(run, pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), kinds, which,
-                       offsets, lambda x: read[np.searchsorted(grams, x)], model)
+                       offsets, lambda x: read[_found(grams, x)], model)
 
     for batch in batches:
         for r, start, data in zip(*(batch.column(c).to_pylist()
                                     for c in ("run", "start", "data")), strict=True):
-            if start < 0:
-                if itself is not None:
+            if r != run:
+                if run >= 0:
                     yield scored()
-                run, itself, answers = r, data, []
+                run, itself, mark, answers = r, None, None, []
+            if start == _ITSELF:
+                itself = data
+            elif start == _MARK:
+                mark = data
             else:
                 answers.append(data)
-    if itself is not None:
+    if run >= 0:
         yield scored()
 
 
 def _sent(own: DataFrame, filled: DataFrame, model: Model) -> DataFrame:
-    """Rows of _score with the filter left in its segments. The values that go to all tasks
-    do not grow with the input."""
+    """Rows of documents and their words, with the filter left in its segments. The values
+    that go to all tasks do not grow with the input."""
     n = partitions(own.sparkSession)
+    # the number of the partition that is read, whatever else its task's stage reads
+    own = own.withColumn("part", F.spark_partition_id())
     segment_bits, segment_size = model.segment_bits, model.segment_size
     nothing = F.lit(0).cast("long")
     bits = filled.select("segment", F.lit(_BITS).cast("int").alias("kind"),
@@ -471,20 +522,18 @@ def _sent(own: DataFrame, filled: DataFrame, model: Model) -> DataFrame:
     asked = own.mapInArrow(lambda b: _ask(b, segment_bits), _SENT).unionByName(bits)
     answers = (asked.repartition(n, "segment").sortWithinPartitions("segment", "kind")
                .mapInArrow(lambda b: _answer(b, segment_size),
-                           "run long, start long, data binary"))
+                           _READ)
+               .unionByName(own.mapInArrow(_themselves, _READ)))
     sent = own.sparkSession.sparkContext.broadcast(model.parts)
     return (answers.repartition(n, "run").sortWithinPartitions("run", "start")
             .mapInArrow(lambda b: _score_runs(b, Model(*sent.value)), _ROWS))
 
 
-def _distinct(doc: np.ndarray, tokens: np.ndarray):
-    """Distinct (document, token) pairs and how often each occurs."""
-    order = np.lexsort((tokens, doc))
-    doc, tokens = doc[order], tokens[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (tokens[1:] != tokens[:-1])
-    first = np.flatnonzero(new)
-    return doc[first], tokens[first], np.diff(np.append(first, len(doc)))
+def _distinct(doc: np.ndarray, which: np.ndarray):
+    """Distinct pairs of a document and a token's number, and how often each occurs."""
+    pairs, n = np.unique(doc.astype(np.int64) << 32 | which.astype(np.int64),
+                         return_counts=True)
+    return pairs >> 32, pairs & 0xFFFFFFFF, n
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -492,16 +541,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     Learns from the documents that are not held out. A null or empty text is its end token
     alone. Rows that repeat a doc_id are scored one by one; those without one are training
-    documents. Without training documents every count is 0. Other columns are not read."""
+    documents. Without training documents every count is 0. Other columns are not read.
+    ``docs`` is read several times and must give the same rows in the same partitions each
+    time, as a table does; if it does not, the query fails."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       held_out(F.col("doc_id")).alias("held_out"),
                       F.col("text").cast("string").alias("text"))
-    model, words, filled = _fit(own.filter(~F.col("held_out")).select("text"))
-    if model.bits is None:
-        rows = _sent(own, filled, model)
-    else:
-        sent = docs.sparkSession.sparkContext.broadcast(model.parts)  # bounded: see above
-        rows = own.mapInArrow(lambda b: _score(b, Model(*sent.value)), _ROWS)
+    model, words, filled = _fit(own.filter(~F.col("held_out")).select("text"), False)
+    rows = _sent(own, filled, model)
     joined = rows.join(words.withColumnRenamed("hash", "h"), F.col("hash") == F.col("h"), "left")
     n = F.coalesce("n", F.lit(0))
     per = joined.groupBy("row").agg(

@@ -97,3 +97,25 @@ def test_bits_per_token_are_the_same_at_every_size():
         segment_bits, size = lm_score._layout(tokens)
         assert size <= lm_score.MAX_SEGMENT
         assert (size << segment_bits) / tokens == pytest.approx(lm_score.BITS_PER_TOKEN, rel=0.03)
+
+
+def test_small_filters_are_not_broadcast(spark, make_docs):
+    """One path at every size, and a run is sent once, not through its segments."""
+    got = lm_score.score_documents(make_docs([(1, "a b c"), (2, "a b")]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 4
+    assert got.count() == 2
+
+
+def test_steps_and_planes():
+    rng = np.random.default_rng(3)
+    shorts = np.unique(rng.integers(0, 2**32, 500, dtype=np.uint64)).astype(np.uint32)
+    assert (lm_score._of_steps(lm_score._steps(shorts)) == shorts).all()
+    assert len(lm_score._of_steps(lm_score._steps(shorts[:0]))) == 0
+    counts = rng.integers(0, 2**50, 100)
+    assert (lm_score._of_planes(lm_score._planes(counts), np.int64) == counts).all()
+
+
+def test_marks_tell_runs_apart():
+    a, b = lm_score.K.stream(1, 50), lm_score.K.stream(2, 50)
+    assert lm_score._mark(a) == lm_score._mark(a[::-1]) != lm_score._mark(b)
