@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import id_and_text, staged, table
 from .components import components
+from .sketches import bit_filter, maybe_held
 
 SHINGLE = 5
 #: Linked from this similarity, in hundredths.
@@ -209,8 +210,11 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
-    for block in K.text_blocks(batches, "text"):
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int, wanted: bytes):
+    """Sets of the rows whose hash may be in the filter ``wanted``."""
+    rows = (b.filter(pa.array(maybe_held(np.asarray(b.column("hash")).view(K.U64), wanted)))
+            for b in batches)
+    for block in K.text_blocks(rows, "text"):
         values, offsets = shingle_sets(block, shingle)
         sets = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
@@ -226,12 +230,17 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int):
 
 
 def full_sets(reps: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """(rep, shingles): the sorted shingle hashes of the given classes."""
+    """(rep, shingles): the sorted shingle hashes of the given classes.
+
+    Texts stay where they are read: a filter of the classes' leads tells which of them may be
+    wanted, and what it lets through in vain goes in the join of the sets."""
     wanted = staged(reps.distinct().join(classes.select("rep", "lead", "f1", "f2"), "rep"),
                     "wanted")
-    texts = docs.join(wanted.select("lead").distinct(), F.col("doc_id") == F.col("lead"),
-                      "left_semi")
-    sets = staged(texts.mapInArrow(lambda b: _sets(b, shingle),
+    leads = docs.sparkSession.sparkContext.broadcast(
+        bit_filter(wanted.select(F.xxhash64("lead").alias("hash"))))
+    texts = docs.filter(F.col("doc_id").isNotNull()).select(
+        "doc_id", "text", F.xxhash64("doc_id").alias("hash"))
+    sets = staged(texts.mapInArrow(lambda b: _sets(b, shingle, leads.value),
                                    "doc_id long, f1 long, f2 long, shingles binary"), "sets")
     return staged(sets.join(wanted.withColumnRenamed("lead", "doc_id"), ["doc_id", "f1", "f2"])
                   .dropDuplicates(["rep"]).select("rep", "shingles"), "own-sets")

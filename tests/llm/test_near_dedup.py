@@ -95,3 +95,30 @@ def test_missing_ids_repeated_rows_and_empty_table(spark, make_docs, prose):
     assert N.near_duplicates(make_docs([])).count() == 0
     kept = N.keep_one(make_docs([(None, t), (5, t), (9, t), (3, "")]))
     assert sorted(kept.toPandas().doc_id.fillna(-1)) == [-1, 3, 5]
+
+
+def test_texts_are_not_dealt_out_to_find_the_wanted_ones(spark, make_docs, prose, monkeypatch):
+    """Full sets come from where the texts are read, however many classes are wanted."""
+    plans, stage = [], N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: (plans.append(
+        (name, df._jdf.queryExecution().executedPlan().toString())), stage(df, name))[1])
+    monkeypatch.setattr(N, "BLOCK", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = _rows(prose)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
+               for r in N.near_duplicates(make_docs(rows)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == _brute(rows)
+    sets = [plan for name, plan in plans if name == "sets"]
+    assert sets and not any("Exchange" in plan for plan in sets)
+
+
+def test_filter_lets_all_wanted_through(spark):
+    ids = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    bits = N.bit_filter(ids)
+    hashes = np.array([r.hash for r in ids.collect()]).view(np.uint64)
+    assert N.maybe_held(hashes, bits).all()
+    assert N.maybe_held(N.K.stream(9, 5000), bits).mean() < 0.05
+    assert not N.maybe_held(hashes, N.bit_filter(ids.limit(0))).any()
