@@ -119,3 +119,9 @@ def test_steps_and_planes():
 def test_marks_tell_runs_apart():
     a, b = lm_score.K.stream(1, 50), lm_score.K.stream(2, 50)
     assert lm_score._mark(a) == lm_score._mark(a[::-1]) != lm_score._mark(b)
+
+
+def test_sorted_hashes_are_distinct():
+    hashes = lm_score.K.stream(4, 300)[np.random.default_rng(4).integers(0, 300, 2000)]
+    assert (lm_score._sorted(hashes) == np.unique(hashes)).all()
+    assert len(lm_score._sorted(hashes[:0])) == 0
