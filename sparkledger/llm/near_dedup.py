@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .common import id_and_text, staged, table
-from .components import components
+from .components import components, joined
 from .sketches import bit_filter, maybe_held
 
 SHINGLE = 5
@@ -181,8 +181,7 @@ def _likely_members(rows: pa.Table, slots: int, least: float, percent: int) -> p
 
 
 def _links_across(rows: pa.Table, slots: int, least: float, percent: int) -> pa.Table:
-    """Confirmed links between components of a block pair, as few as join what they join."""
-    rep = np.asarray(rows.column("rep").combine_chunks())
+    """Components of a block pair that a confirmed link joins, as few pairs as join them."""
     sets = [np.frombuffer(x.as_buffer(), K.U64) for x in rows.column("shingles")]
     root = {c: c for c in rows.column("c").to_pylist()}
     c = rows.column("c").to_pylist()
@@ -198,7 +197,7 @@ def _links_across(rows: pa.Table, slots: int, least: float, percent: int) -> pa.
             a, b = find(c[x]), find(c[y])
             if a != b and _linked(sets[x], sets[y], percent):
                 root[max(a, b)] = min(a, b)
-                out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                out.append((c[x], c[y]))
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
                      "b": pa.array([x for _, x in out], pa.int64())})
 
@@ -272,12 +271,12 @@ def _block_pairs(held: DataFrame, block: int) -> DataFrame:
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
+    """(a, b, ca, cb): the pairs whose ends are not in one component yet, and those of each."""
     ca = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     cb = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return staged(pairs.join(ca, "a", "left").join(cb, "b", "left")
-                  .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"),
-                  "across")
+    return staged(pairs.join(ca, "a", "left").join(cb, "b", "left").select(
+        "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+        .filter(F.col("ca") != F.col("cb")), "across")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
@@ -322,9 +321,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = confirmed(_ordered(best), own, classes, shingle, percent)
     found = staged(components(links), "components")
     # 2: all centres of other components that it is like
-    stars = _ordered(met)
-    links = _joined(found, confirmed(_across(stars, found), own, classes, shingle, percent))
-    found = staged(components(links), "components")
+    across = _across(_ordered(met), found)
+    links = confirmed(across.select("a", "b"), own, classes, shingle, percent)
+    found = staged(joined(found, across.join(links, ["a", "b"], "left_semi")
+                          .select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "components")
     # 3: in buckets that still hold several components, blocks of members against blocks
     held = staged(members.select("key", "rep").join(found.withColumnRenamed("node", "rep"),
                                                     "rep", "left")
@@ -341,8 +341,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     across = _block_pairs(held, BLOCK).join(signs.join(sets, "rep"), "rep") \
         .groupBy("key", "i", "j").applyInArrow(
             lambda t: _links_across(t, slots, least, percent), "a long, b long")
-    links = _joined(found, staged(across, "across-links"))
-    found = staged(components(links), "components")
+    found = staged(joined(found, staged(across, "across-links")), "components")
     grouped = staged(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
                      .select("f1", "f2", F.col("n_shingles").alias("n"), "lead",
                              F.coalesce("component", "rep").alias("group")), "grouped")
@@ -360,12 +359,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.when(~alone, F.col("lead")).alias("class_id"))
 
 
-def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
-    """New links beside the components so far, a star each."""
-    return links.unionByName(found.filter(F.col("node") != F.col("component")).select(
-        F.col("node").alias("a"), F.col("component").alias("b")))
-
-
 def _ordered(met: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "centre").alias("a"),
                       F.greatest("rep", "centre").alias("b")).distinct()

@@ -4,6 +4,10 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
+from sparkledger.llm import kernels as K
 from sparkledger.llm import suffix_dedup
 
 
@@ -66,3 +70,44 @@ def test_missing_ids_repeated_rows_and_empty_table(spark, make_docs, prose):
                                                with_text=True).collect()
     assert sorted((len(r.kept), r.n_spans) for r in got) == [(0, 1), (0, 1), (0, 1), (1, 0)]
     assert suffix_dedup.remove_repeated_strings(make_docs([])).count() == 0
+
+
+def test_anchors_are_the_smallest_of_their_spans():
+    rng = random.Random(5)
+    for length, gram, span in [(400, 32, 128), (12, 3, 4), (40, 5, 20), (159, 32, 128)] * 10:
+        texts = ["".join(rng.choice(letters) for _ in range(rng.choice((0, 3, 12, 400, 900))))
+                 for letters in rng.choices(("a", "ab", "abcdefghij "), k=5)] + ["b" * length]
+        batch = pa.record_batch({"text": pa.array(texts)})
+        block, = K.text_blocks([batch], "text")
+        pos = suffix_dedup.Positions(block, length, gram, span)
+        assert set(pos.kept) == {0}  # the second names are not made before they are needed
+        sums, inverse = pos.kept[0]
+        hashes = (sums[gram:] - sums[:-gram]) * inverse[:len(sums) - gram]
+        rank = [(int(h) >> 24, i) for i, h in enumerate(hashes)]
+        least, reach, want = {}, length - (span + gram - 1), []
+        for a, e in zip(block.offsets[:-1], block.offsets[1:], strict=True):
+            if e - a >= length:
+                for i in range(a, e - span - gram + 2):
+                    least[i] = min(rank[i:i + span])[1]
+                for i in range(a, e - length + 1):
+                    ends = least[i], least[i + reach]
+                    if i > a and want[-1][2:] == ends:
+                        want[-1] = (want[-1][0], want[-1][1] + 1, *ends)
+                    else:
+                        want.append((i, 1, *ends))
+        assert pos.anchors.tolist() == sorted(set(least.values()))
+        start, count, first, last = pos.runs
+        assert list(zip(start, count, pos.anchors[first], pos.anchors[last],
+                        strict=True)) == want
+
+
+def test_equal_names_may_stay_two_rows_in_a_task():
+    held = suffix_dedup._Counted([])
+    one = np.array([7, 7, 7, 3], K.U64)
+    two = np.array([1, 2, 1, 9], K.U64)
+    held.add(one, two, np.arange(4), np.arange(4))
+    rows = held.flush().to_pylist()
+    total = Counter()
+    for r in rows:
+        total[r["h1"], r["h2"]] += r["n"]
+    assert total == {(7, 1): 2, (7, 2): 1, (3, 9): 1}
