@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkledger.functions.hashing import pack_hashes, unpack_hashes
+
 # Payload columns used as the final, total tie-break after ingested_at and record_hash.
 TIE_BREAK_COLUMNS = ["payment_date", "amount_gbp", "supplier_name", "expense_category",
                      "vat_amount_gbp", "source_file"]
@@ -35,18 +37,31 @@ def latest_order(extra: list[str] | None = None, columns: list[str] | None = Non
 
 
 def keep_latest(df: DataFrame, keys: list[str] | None = None,
-                order: list[Column] | None = None) -> DataFrame:
+                order: list[Column] | None = None, first: list[Column] | None = None) -> DataFrame:
     """Keep the latest row per natural key.
 
     Default key is ``(transaction_id, source_department)``; with a single key of
-    ``transaction_id`` a missing id falls back to ``record_hash``.
+    ``transaction_id`` a missing id falls back to ``record_hash``. ``first`` sorts before the
+    default order. In that order rows go through the shuffle with packed hashes.
     """
     keys = ["transaction_id", "source_department"] if keys is None else keys
-    fallback = "record_hash" in df.columns
-    key_cols = [F.coalesce(F.col(k), F.col("record_hash")) if k == "transaction_id" and fallback
-                else F.col(k) for k in keys]
-    order = latest_order(columns=df.columns) if order is None else order
-    return keep_first(df, key_cols, order)
+    own_order = order is not None
+    order = [*(first or []), *(order if own_order else latest_order(columns=df.columns))]
+    fallback, kinds = "record_hash" in df.columns, dict(df.dtypes)
+    texts = [kinds.get("record_hash"), *[kinds[k] for k in keys if k == "transaction_id"]]
+    if own_order or set(texts) != {"string"}:
+        key_cols = [F.coalesce(F.col(k), F.col("record_hash")) if k == "transaction_id" and fallback
+                    else F.col(k) for k in keys]
+        return keep_first(df, key_cols, order)
+    columns = df.columns
+    if "transaction_id" in keys:
+        # in the id's own place: a key of its own would be shipped beside the id
+        df = df.withColumns({"_unnamed": F.col("transaction_id").isNull(), "transaction_id":
+                             F.coalesce(F.col("transaction_id"), F.col("record_hash"))})
+    kept = unpack_hashes(keep_first(pack_hashes(df), keys, order))
+    if "transaction_id" in keys:
+        kept = kept.withColumn("transaction_id", F.when(~F.col("_unnamed"), F.col("transaction_id")))
+    return kept.select(*columns)
 
 
 def keep_one(df: DataFrame, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from sparkledger.config import (LEDGER_DEPARTMENT_GROUPS, LEDGER_FEEDS, SILVER_COLUMNS,
                                 restricted_columns)
 from sparkledger.operators.cleanse import add_record_hash, type_columns
-from sparkledger.operators.enrich import (attach_assurance, department_groups,
+from sparkledger.operators.enrich import (as_lookup, attach_assurance, department_groups,
                                           prepare_approvals, prepare_suppliers)
-from sparkledger.operators.keys import keep_latest, latest_order
+from sparkledger.operators.keys import keep_latest
 from sparkledger.operators.marts import gold_metrics
 from sparkledger.operators.policy import open_layer
 from sparkledger.operators.quality import tag_rejections
 from sparkledger.sources.files import source_key
 from sparkledger.sources.ledger import approvals_ledger, spend_ledger, supplier_reference
+from sparkledger.sources.sinks import stage
 
 
 def route(df: DataFrame, mapped_sources: list[str], file_col: str = "source_file") -> DataFrame:
@@ -46,8 +47,7 @@ def latest_valid(tagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
     would inline (and so evaluate twice) every parser the rules depend on.
     """
     valid = F.col("rejection_reason").isNull()
-    order = [valid.desc()] + latest_order(columns=tagged.columns)
-    return keep_latest(tagged, keys, order).filter(valid).drop("rejection_reason")
+    return keep_latest(tagged, keys, first=[valid.desc()]).filter(valid).drop("rejection_reason")
 
 
 def build_silver(tagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -74,10 +74,24 @@ def ledger_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(ledger_tagged(spark, sf_dir))
 
 
+def assured_silver(silver: DataFrame, approvals: DataFrame, suppliers: DataFrame,
+                   scratch: str | None = None) -> DataFrame:
+    """``attach_assurance`` of silver rows that come without their record hash. It is made
+    after the joins from the columns that it is a hash of, so no shuffle carries it. The
+    suppliers are staged, and sent to the executors as long as they are small."""
+    known = as_lookup(stage(suppliers, "suppliers", scratch=scratch))
+    joined = attach_assurance(silver, approvals, known)
+    first = ["supplier_name", "transaction_id"]  # the joins' keys
+    added = [c for c in joined.columns if c not in SILVER_COLUMNS]
+    return add_record_hash(joined).select(
+        *first, *[c for c in SILVER_COLUMNS if c not in first], *added)
+
+
 def ledger_assured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attach_assurance(ledger_silver(spark, sf_dir),
-                            prepare_approvals(approvals_ledger(spark, sf_dir)),
-                            prepare_suppliers(supplier_reference(spark, sf_dir)))
+    # staged: the shuffles behind silver are freed before those of the joins are written
+    silver = stage(ledger_silver(spark, sf_dir).drop("record_hash"), "silver")
+    return assured_silver(silver, prepare_approvals(approvals_ledger(spark, sf_dir)),
+                          prepare_suppliers(supplier_reference(spark, sf_dir)))
 
 
 def ledger_open(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,8 +80,8 @@ def spend_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     # join output are products of inputs, which would otherwise make the fact table the
     # broadcast side and stream everything through one task.
     rows = (li.hint("merge").join(order_dept, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey")))
+              .join(part, F.col("l_partkey") == F.col("p_partkey"))
+              .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
 
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     ship = F.col("l_shipdate")

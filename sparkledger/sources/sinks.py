@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from sparkledger.functions.hashing import HASH_COLUMNS, pack_hashes, unpack_hashes
 from sparkledger.session import scratch_path
 from sparkledger.sources.journal import new_run_id
 from sparkledger.sources.storage import (delete_path, file_system, hadoop_path, names_in,
@@ -18,6 +20,37 @@ from sparkledger.sources.storage import (delete_path, file_system, hadoop_path,
 CODEC = "zstd"
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the queries run inside; what was set before comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def shuffles_freed(spark: SparkSession):
+    """Queries run inside delete their shuffle files when they end. Else files stay until the
+    driver's garbage collector finds their plan, which may be after many more queries."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+#: Bytes of well compressed files that a task reads at once if it sorts what it reads.
+SORTED_SCAN_BYTES = 32 << 20
+
+
+def small_scans(spark: SparkSession):
+    """Scans of queries run inside are cut into smaller tasks, so that a sort of their rows
+    (some twenty times the bytes of the files) has room in memory and spills none."""
+    now = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return _setting(spark, "spark.sql.files.maxPartitionBytes", str(min(now, SORTED_SCAN_BYTES)))
+
+
 def parquet_writer(df: DataFrame):
     return df.write.option("compression", CODEC)
 
@@ -28,9 +61,13 @@ def balanced(df: DataFrame, partition_cols: list[str] | None) -> DataFrame:
     A ``rebalance`` hint (not a plain repartition): AQE packs small output partitions
     into few tasks and splits a hot one across several, so a partition holding a third
     of the rows is written in parallel and small partitions do not get one file from
-    every upstream task.
+    every upstream task. Hashes are packed on the way.
     """
-    return df.hint("rebalance", *partition_cols) if partition_cols else df
+    if not partition_cols:
+        return df
+    hashes = tuple(c for c in HASH_COLUMNS if dict(df.dtypes).get(c) == "string"
+                   and c not in partition_cols)
+    return unpack_hashes(pack_hashes(df, hashes).hint("rebalance", *partition_cols), hashes)
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
@@ -41,9 +78,10 @@ def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
     partition per source file, read one file per task).
     """
     out = balanced(df, partition_cols) if rebalance else df
-    (parquet_writer(out).mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
+    with shuffles_freed(df.sparkSession):
+        (parquet_writer(out).mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_cols).parquet(path))
 
 
 def move_partitions(spark: SparkSession, staged_path: str, path: str, depth: int) -> None:
@@ -74,7 +112,8 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
         .option("partitionOverwriteMode", "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        writer.parquet(path)
 
 
 def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None,
@@ -90,7 +129,8 @@ def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None,
     writer = parquet_writer(balanced(df, partition_cols)).mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
+    with shuffles_freed(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
@@ -145,7 +185,8 @@ def replace_table(df: DataFrame, path: str) -> str:
     spark, path = df.sparkSession, path.rstrip("/")
     before = current_version(spark, path)
     name = f"v{new_run_id()}"
-    parquet_writer(df).parquet(f"{path}/{name}")
+    with shuffles_freed(spark):
+        parquet_writer(df).parquet(f"{path}/{name}")
     write_text(spark, f"{path}/{CURRENT}", name)
     for old in _versions(spark, path):
         if old != name and f"{path}/{old}" != before:
