@@ -139,3 +139,98 @@ def test_a_lookup_is_sent_out_only_while_it_is_small(spark):
     for df in (as_lookup(suppliers, most=50), as_lookup(suppliers.withColumn("m", F.create_map()))):
         assert "hint" not in df._jdf.queryExecution().logical().toString().lower()
     assert enrich.LOOKUP_BYTES <= 256 << 20
+
+
+ROW = ("transaction_id string, source_department string, payment_month string, "
+       "record_hash string, ingested_at int, amount_gbp int")
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame([(t, d, m, f"{t}{a}", n, a) for t, d, m, n, a in rows], ROW)
+
+
+@pytest.mark.parametrize("merge", ["latest", "hash_gated"])
+def test_merges_are_staged_a_few_departments_at_a_time(spark, tmp_path, monkeypatch, merge):
+    seen = []
+    real = pipeline._stage_at
+    monkeypatch.setattr(pipeline, "_stage_at",
+                        lambda parts, *a: (seen.append(len(parts)), real(parts, *a))[1])
+    path, names = str(tmp_path / "t"), [f"d{i}" for i in range(11)]
+    first = [(f"k{d}", d, "m1", 1, i) for i, d in enumerate(names)]
+    second = [(f"k{d}", d, "m2", 2, 50 + i) for i, d in enumerate(names[:3])] + [("n", "d9", "m3", 2, 9)]
+    for batch in (first, second):
+        pipeline.upsert_partitions(spark, path, _rows(spark, *batch), merge=merge)
+    assert seen == [pipeline.MERGE_SLICES, 4]
+    got = spark.read.schema(ROW).parquet(path).collect()
+    assert sorted((r.transaction_id, r.source_department, r.payment_month, r.amount_gbp)
+                  for r in got) == sorted(
+        [(t, d, m, a) for t, d, m, _, a in first[3:] + second])
+    # a key without the department may be anywhere: one part
+    pipeline.upsert_partitions(spark, path, _rows(spark, ("kd5", "d6", "m1", 3, 99)),
+                               keys=["transaction_id"], merge=merge)
+    assert seen[2:] == [1]
+    assert [(r.source_department, r.amount_gbp) for r in spark.read.schema(ROW).parquet(path)
+            .filter("transaction_id = 'kd5'").collect()] == [("d6", 99)]
+
+
+def test_slices_cover_every_department_once_null_too(spark):
+    values = [None, "", "a", "b", "c", "d", "e", "f", "g", "h"]
+    parts = [{"source_department": v, "payment_month": m} for v in values for m in ("1", None)]
+    slices = pipeline._slices(parts, ["source_department"])
+    rows = spark.createDataFrame([(v,) for v in values], "source_department string")
+    found = [r[0] for s in slices for r in rows.filter(s).collect()]
+    assert len(slices) == pipeline.MERGE_SLICES
+    assert sorted(map(str, found)) == sorted(map(str, values))
+
+
+def test_a_hash_gated_merge_stages_changed_partitions_only(spark, tmp_path, monkeypatch):
+    path, merged = str(tmp_path / "t"), str(tmp_path / "merged")
+    pipeline.upsert_partitions(spark, path, _rows(spark, ("a", "x", "m1", 1, 1), ("b", "x", "m2", 1, 2),
+                                                  ("c", "x", "m3", 1, 3), ("e", "y", "m1", 1, 4)))
+    again = _rows(spark, ("a", "x", "m1", 2, 1), ("b", "x", "m4", 2, 7), ("e", "y", "m1", 2, 4))
+    change = pipeline.plan_upsert(spark, path, again, merged, merge="hash_gated")
+    names = sorted(p.split("merged/")[1] for p in glob.glob(f"{merged}/*/*"))
+    assert names == ["source_department=x/payment_month=m4"]
+    assert sorted(p["payment_month"] for p in change.touched) == ["m2", "m4"]
+    assert [p["payment_month"] for p in change.emptied] == ["m2"]
+
+    def staged(*a):
+        raise AssertionError("rows were staged")
+
+    monkeypatch.setattr(pipeline, "_stage_at", staged)
+    same = _rows(spark, ("a", "x", "m1", 3, 1), ("e", "y", "m1", 3, 4))
+    assert pipeline.plan_upsert(spark, path, same, merged, merge="hash_gated").touched == []
+
+
+def test_a_run_keeps_only_the_step_it_reads(spark, tmp_path, monkeypatch):
+    from sparkledger.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    before, seen = set(glob.glob(f"{base}/run-*")), []
+
+    def left():
+        new = set(glob.glob(f"{base}/run-*")) - before
+        return {n.split("-")[0] for d in new for n in os.listdir(d)} & {
+            "rows", "tagged", "silver", "incoming"}
+
+    plan, assured, apply = pipeline.plan_upsert, pipeline.assured_silver, pipeline._apply
+    monkeypatch.setattr(pipeline, "assured_silver", lambda *a: (seen.append(left()), assured(*a))[1])
+    monkeypatch.setattr(pipeline, "plan_upsert", lambda *a, **k: (seen.append(left()), plan(*a, **k))[1])
+    monkeypatch.setattr(pipeline, "_apply", lambda *a: (seen.append(left()), apply(*a))[1])
+    raw, ref, out = landing(tmp_path)
+    pipeline.run_batch(spark, raw, ref, out, batch_ts=datetime(2026, 6, 1, 9))
+    assert seen == [{"silver"}, {"incoming"}, set()]
+    rows = pipeline.read_layer(spark, out, "silver").collect()
+    assert {len(r.record_hash) for r in rows} == {64}
+
+
+def test_reference_files_are_compressed_and_none_is_long(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(f"t{i}", f"c, \"{i}\"", None) for i in range(25)],
+                                 "transaction_id string, cost_centre string, approver string").coalesce(1)
+    for name in ("approvals_ledger", "supplier_reference"):
+        monkeypatch.setattr(filelane, name, lambda *_: rows)
+    monkeypatch.setattr(filelane, "REFERENCE_FILE_ROWS", 10)
+    filelane.write_reference_files(spark, "none", str(tmp_path))
+    parts = glob.glob(f"{tmp_path}/approvals_ledger.csv/part-*")
+    assert len(parts) == 3 and all(p.endswith(".csv.gz") for p in parts)
+    back = pipeline.read_csv_strings(spark, f"{tmp_path}/approvals_ledger.csv").drop("source_file")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
