@@ -17,7 +17,7 @@ from sparkledger.config import (LEDGER_DRIFT_COLUMNS, LEDGER_FEEDS, LEDGER_LAYOU
                                 LEDGER_SCHEMA_VERSION)
 from sparkledger.functions import casts
 from sparkledger.functions.hashing import record_hash
-from sparkledger.operators.cleanse import EVIDENCE
+from sparkledger.operators.cleanse import EVIDENCE, add_record_hash
 from sparkledger.operators.conform import conform, union_all_by_name
 from sparkledger.operators.marts import department_totals, ordered_for_display, run_summary
 from sparkledger.operators.policy import (Grant, column_policy, create_governed_view,
@@ -27,7 +27,8 @@ from sparkledger.plans import silver as S
 from sparkledger.sources.files import source_key
 from sparkledger.sources.ledger import feed_frame, spend_ledger
 from sparkledger.session import scratch_path
-from sparkledger.sources.sinks import stage
+from sparkledger.sources.sinks import small_scans, stage
+from sparkledger.sources.storage import delete_path
 
 # Split point between the "existing" and the "incoming" batch in the upsert queries
 # (a timestamp_ntz, like the ship dates it is compared with: no session time zone).
@@ -268,9 +269,11 @@ def q_denied_columns(spark, sf_dir):
 
 # ---- upserts -----------------------------------------------------------------------------------
 
-def _split_batches(spark, sf_dir):
-    # staged once: both batches read typed rows, not the ledger; silver has no evidence columns
-    tagged = stage(S.ledger_tagged(spark, sf_dir).drop(*[f"{c}_raw" for c in EVIDENCE]), "tagged")
+def _split_batches(spark, sf_dir, scratch=None):
+    # staged once: both batches read typed rows, not the ledger; silver has no evidence columns,
+    # and the record hash is made again from the rows
+    tagged = S.ledger_tagged(spark, sf_dir).drop(*[f"{c}_raw" for c in EVIDENCE], "record_hash")
+    tagged = add_record_hash(stage(tagged, "tagged", None, scratch))
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     existing = S.build_silver(tagged.filter(F.col("ingested_at") < cutoff))
     incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= cutoff))
@@ -298,13 +301,18 @@ def q_upsert_writer(spark, sf_dir):
     second delivered again, which must rewrite nothing."""
     from sparkledger.plans.pipeline import upsert_partitions
     from sparkledger.sources.sinks import read_parquet_or_none
-    existing, incoming = (stage(b.drop("raw_extras"), "batch") for b in _split_batches(spark, sf_dir))
-    path = scratch_path(spark, "upsert-table")
+    work, path = scratch_path(spark, "upsert-batches"), scratch_path(spark, "upsert-table")
+    with small_scans(spark):
+        existing, incoming = (
+            add_record_hash(stage(b.drop("raw_extras", "record_hash"), "batch", scratch=work))
+            for b in _split_batches(spark, sf_dir, f"{work}/tagged"))
+    delete_path(spark, f"{work}/tagged")
     upsert_partitions(spark, path, existing, staged=True)
     upsert_partitions(spark, path, incoming, merge="hash_gated", staged=True)
     again = upsert_partitions(spark, path, incoming, merge="hash_gated", staged=True)
     if again.touched:
         raise RuntimeError("a batch delivered again rewrote partitions")
+    delete_path(spark, work)
     return read_parquet_or_none(spark, path, existing.schema).select(*UPSERT_OUTPUT)
 
 

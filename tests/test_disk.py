@@ -234,3 +234,35 @@ def test_reference_files_are_compressed_and_none_is_long(spark, tmp_path, monkey
     assert len(parts) == 3 and all(p.endswith(".csv.gz") for p in parts)
     back = pipeline.read_csv_strings(spark, f"{tmp_path}/approvals_ledger.csv").drop("source_file")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def _tagged(spark):
+    rows = spark.createDataFrame(
+        [(t, "oak", "05/04/1998", amount, "IT", None, {"Grant Ref": "g"}, "asia",
+          "asia_spend_1998_04.csv", "v", datetime(year, 4, 5))
+         for t, amount, year in (("a", "1.00", 1998), ("a", "2.00", 1999), ("b", "3.00", 1998),
+                                 ("c", "junk", 1999))],
+        "transaction_id string, supplier_name string, payment_date string, amount string, "
+        "expense_category string, vat_amount string, raw_extras map<string,string>, "
+        "source_department string, source_file string, schema_version string, "
+        "ingested_at timestamp_ntz")
+    return silver.tag_rejections(silver.typed(rows, {"asia": "region"}))
+
+
+@pytest.mark.parametrize("query", ["upsert_latest", "upsert_hash_gated", "upsert_writer"])
+def test_upsert_batches_are_staged_without_hashes_and_removed(spark, monkeypatch, query):
+    from sparkledger.plans import catalog
+    from sparkledger.session import ensure_checkpoint_dir
+    monkeypatch.setattr(catalog.S, "ledger_tagged", lambda *_: _tagged(spark))
+    base, staged, real = ensure_checkpoint_dir(spark).replace("file:", ""), [], catalog.stage
+    monkeypatch.setattr(catalog, "stage", lambda df, *a, **k: (staged.append(df.columns),
+                                                               real(df, *a, **k))[1])
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    rows = catalog.queries()[query](spark, "none").collect()
+    assert sorted((r.transaction_id, str(r.amount_gbp)) for r in rows) == [("a", "2.00"),
+                                                                          ("b", "3.00")]
+    assert [r.record_hash for r in rows if r.transaction_id == "a"] == [
+        _hex("a|asia|1998-04-05|2.00")]
+    assert staged and not [c for columns in staged for c in columns if c == "record_hash"]
+    if query == "upsert_writer":
+        assert {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before} == {"upsert-table"}
