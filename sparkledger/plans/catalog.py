@@ -27,7 +27,7 @@ from sparkledger.plans import silver as S
 from sparkledger.sources.files import source_key
 from sparkledger.sources.ledger import feed_frame, spend_ledger
 from sparkledger.session import scratch_path
-from sparkledger.sources.sinks import small_scans, stage
+from sparkledger.sources.sinks import SORTED_FILE_ROWS, small_scans, stage
 from sparkledger.sources.storage import delete_path
 
 # Split point between the "existing" and the "incoming" batch in the upsert queries
@@ -273,7 +273,7 @@ def _split_batches(spark, sf_dir, scratch=None):
     # staged once: both batches read typed rows, not the ledger; silver has no evidence columns,
     # and the record hash is made again from the rows
     tagged = S.ledger_tagged(spark, sf_dir).drop(*[f"{c}_raw" for c in EVIDENCE], "record_hash")
-    tagged = add_record_hash(stage(tagged, "tagged", None, scratch))
+    tagged = add_record_hash(stage(tagged, "tagged", None, scratch, SORTED_FILE_ROWS))
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     existing = S.build_silver(tagged.filter(F.col("ingested_at") < cutoff))
     incoming = S.build_silver(tagged.filter(F.col("ingested_at") >= cutoff))

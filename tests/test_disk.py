@@ -133,6 +133,12 @@ def test_hashes_of_assured_rows_are_made_after_the_joins(spark, tmp_path):
     assert all("sha2" not in below for below in plan.split("Exchange hashpartitioning")[1:])
 
 
+def test_rows_that_are_sorted_when_read_are_staged_in_small_files(spark, tmp_path):
+    staged = stage(spark.range(25).coalesce(1), "s", None, str(tmp_path), 10)
+    assert len(staged.inputFiles()) == 3 and staged.count() == 25
+    assert len(stage(spark.range(25).coalesce(1), "s", None, str(tmp_path)).inputFiles()) == 1
+
+
 def test_a_lookup_is_sent_out_only_while_it_is_small(spark):
     _, _, suppliers = _assurance(spark)
     assert "broadcast" in as_lookup(suppliers)._jdf.queryExecution().logical().toString().lower()
